@@ -9,3 +9,10 @@ File trees, object stores, manifests, copy results and transfer logs are plain D
 * ``plans``      whole jobs put together from the operators
 * ``streaming``  the bandwidth monitor as a Structured Streaming job
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task code travels with the job, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.operators.skew import hot_keys, lookup_join
+from haulmark.operators.skew import hot_keys, lookup, lookup_join, one_per_key
 
 
 def _both_sides(src: DataFrame, dst: DataFrame, values: list[str]) -> DataFrame:
@@ -77,9 +77,7 @@ def skip_empty_pairs(pairs: DataFrame) -> DataFrame:
 
 def one_per_source(pairs: DataFrame) -> DataFrame:
     """Drop all but one pair of each source (the one with the smallest target)."""
-    return pairs.groupBy("src_file").agg(
-        F.min(F.struct("dest_file", "file_size")).alias("_kept")
-    ).select("src_file", "_kept.*")
+    return one_per_key(pairs.select("src_file", "dest_file", "file_size"), "src_file")
 
 
 def _digest_of(digests: DataFrame, key: str, name: str) -> DataFrame:
@@ -129,7 +127,7 @@ def verify_objects(listing: DataFrame, meta: DataFrame, digests: DataFrame, veri
     """
     user_length = F.try_element_at("user_metadata", F.lit("contentlength")).try_cast("bigint")
     expected = F.coalesce(F.try_element_at("user_metadata", F.lit("contentmd5")), F.col("content_md5"))
-    conflict = F.coalesce(user_length != F.col("content_length"), F.lit(False))
+    conflict = F.coalesce(F.col("user_length") != F.col("content_length"), F.lit(False))
     status = F.when(conflict, "LENGTH_CONFLICT").when(F.col("content_length") == 0, "OK")
     status = status.when(F.col("bytes_read").isNull(), "UNREADABLE")
     if verify:
@@ -137,11 +135,14 @@ def verify_objects(listing: DataFrame, meta: DataFrame, digests: DataFrame, veri
     status = status.when(F.col("bytes_read") != F.col("content_length"), "SHORT_READ")
     if verify:
         status = status.when(~F.col("expected_md5").eqNullSafe(F.col("md5")), "CHECKSUM_MISMATCH")
+    # Maps cannot be compared, so the two entries that count are taken out before rows are made unique.
+    promised = one_per_key(meta.select(
+        "entry_name", "content_length", user_length.alias("user_length"), expected.alias("expected_md5")
+    ), "entry_name")
+    found = one_per_key(digests.select("entry_name", "md5", "bytes_read"), "entry_name")
+    known = promised.join(found, "entry_name", "left")
     return (
-        listing.filter("is_file").select("entry_name", "file_size")
-        .join(meta, "entry_name", "left")
-        .join(digests.select("entry_name", "md5", "bytes_read"), "entry_name", "left")
-        .withColumn("expected_md5", expected)
+        lookup(listing.filter("is_file").select("entry_name", "file_size"), known, "entry_name", "left")
         .select("entry_name", "file_size", "expected_md5", "md5",
                 F.when(F.col("content_length").isNull(), "NO_METADATA").otherwise(status.otherwise("OK"))
                 .alias("status"))

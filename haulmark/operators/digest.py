@@ -161,3 +161,35 @@ def reassemble(chunks: DataFrame, file_col: str, order_col: str, data_col: str)
         .repartition("file").sortWithinPartitions("file", "no").select("file", "data")
         .mapInPandas(run, ddl).withColumnRenamed("file", file_col)
     )
+
+
+def range_coverage(listing: DataFrame, done: DataFrame) -> DataFrame:
+    """Whether the finished ranges (``entry_name, part_no, begin, end``) make up each file without gap or overlap.
+
+    ``entry_name, file_size, parts, bytes, complete``.  Repeated reports of a part count once.  Only sums travel, so
+    the number of parts of a file does not matter.
+    """
+    unique = done.groupBy("entry_name", "part_no").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+    length = F.col("end") - F.col("begin") + 1
+    # Parts are numbered from 0 and begin at number x length of a full part.  If none is longer than that, lengths that
+    # add up to the file leave no room for a gap or an overlap.
+    sums = unique.groupBy("entry_name").agg(
+        F.count("*").alias("parts"), F.sum(length).alias("bytes"), F.max("end").alias("_last"),
+        F.max("part_no").alias("_top"),
+        F.max(length).alias("_longest"),
+        # Equal only if every part begins where its number says.
+        F.min(F.try_divide(F.col("begin"), F.col("part_no"))).alias("_step_min"),
+        F.max(F.try_divide(F.col("begin"), F.col("part_no"))).alias("_step_max"),
+        F.max(F.when(F.col("part_no") == 0, F.col("begin"))).alias("_first"),
+    )
+    files = listing.filter(F.col("is_file") & (F.col("file_size") > 0)).select("entry_name", "file_size")
+    whole = (
+        (F.col("_first") == 0) & (F.col("_top") + 1 == F.col("parts")) & (F.col("bytes") == F.col("file_size"))
+        & (F.col("_last") + 1 == F.col("file_size")) & F.col("_step_min").eqNullSafe(F.col("_step_max"))
+        & ((F.col("parts") == 1) | (F.col("_longest") <= F.col("_step_min")))
+    )
+    zero = F.lit(0).cast("bigint")
+    return files.join(sums, "entry_name", "left").select(
+        "entry_name", "file_size", F.coalesce("parts", zero).alias("parts"), F.coalesce("bytes", zero).alias("bytes"),
+        F.coalesce(whole, F.lit(False)).alias("complete"),
+    )

@@ -10,27 +10,42 @@ from pyspark.sql import functions as F
 
 from haulmark.functions import paths
 from haulmark.operators.ordered import row_position
+from haulmark.operators.skew import hot_keys
 
 _SLICES = 64
 
 
 def dedupe_listing(listing: DataFrame, order_cols: Sequence[Column | str]) -> tuple[DataFrame, DataFrame]:
-    """Split into ``(kept, rejected)``: the first row of each entry name along ``order_cols``, and the others.
+    """Split into ``(kept, rejected)``: the first row of each entry name along ``order_cols``, and the others."""
+    marked = mark_first(listing, order_cols)
+    return marked.filter("kept").drop("kept"), marked.filter("not kept").drop("kept")
+
+
+def mark_first(listing: DataFrame, order_cols: Sequence[Column | str]) -> DataFrame:
+    """Add ``kept``: this is the first row of its entry name along ``order_cols``.
 
     A name cannot be a file and a directory at once, so the name alone is the key (the slash of a directory does not
-    count).  Names are first settled within slices made of the input partitions (stable when a task runs again), so a
-    name on a third of the rows is no single task's load; only slice winners go on.
+    count).  A name on a large part of the rows is settled in slices first, made of the input partitions (which stay
+    the same when a task runs again); one winner per slice goes on.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    name = F.regexp_replace("entry_name", "/$", "")
-    sliced = listing.withColumn("_name", name).withColumn("_slice", F.spark_partition_id() % _SLICES)
-    ranked = sliced.withColumn("_rank", F.row_number().over(Window.partitionBy("_name", "_slice").orderBy(*order)))
-    helpers = ("_name", "_slice", "_rank", "_final")
-    finals = ranked.filter("_rank = 1").withColumn(
-        "_final", F.row_number().over(Window.partitionBy("_name").orderBy(*order))
+    named = listing.withColumn("_name", F.regexp_replace("entry_name", "/$", ""))
+    hot = hot_keys(named, "_name")
+    if not hot:
+        first = F.row_number().over(Window.partitionBy("_name").orderBy(*order)) == 1
+        return named.withColumn("kept", first).drop("_name")
+
+    slice_id = F.when(F.col("_name").isin(hot), F.spark_partition_id() % _SLICES).otherwise(-1)
+    ranked = named.withColumn("_slice", slice_id).withColumn(
+        "_first", F.row_number().over(Window.partitionBy("_name", "_slice").orderBy(*order)) == 1
+    )
+    undecided = F.col("_first") & (F.col("_slice") >= 0)
+    decided = ranked.filter(~undecided).withColumn("kept", F.col("_first"))
+    # At most 64 rows per hot name.
+    finals = ranked.filter(undecided).withColumn(
+        "kept", F.row_number().over(Window.partitionBy("_name").orderBy(*order)) == 1
     )
-    rejected = ranked.filter("_rank > 1").drop(*helpers).unionByName(finals.filter("_final > 1").drop(*helpers))
-    return finals.filter("_final = 1").drop(*helpers), rejected
+    return decided.unionByName(finals).drop("_name", "_slice", "_first")
 
 
 def union_sources(listings: Sequence[DataFrame], roots: Sequence[str], root_at_source: bool = False) -> DataFrame:

@@ -9,7 +9,7 @@ small enough to broadcast whatever the data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame, Window
@@ -60,19 +60,25 @@ def bin_of(keys: Sequence[Column], cuts: Sequence[tuple], types: Sequence[T.Data
     """Number of boundaries not above the key, found in two steps of about sqrt(bins) comparisons."""
     if not cuts:
         return F.lit(0)
-    key = _key_struct(keys)
     step = isqrt(len(cuts)) + 1
     blocks = [cuts[i:i + step] for i in range(0, len(cuts), step)]
     firsts = F.array(*[literal_key(b[0], types) for b in blocks])
     inner = F.array(*[F.array(*[literal_key(c, types) for c in b]) for b in blocks])
 
-    def not_above(limits: Column) -> Column:
+    def not_above(limits: Column, key: Column) -> Column:
         return F.size(F.filter(limits, lambda limit: limit <= key))
 
-    block = not_above(firsts)
-    return F.when(block == 0, 0).otherwise(
-        (block - 1) * step + not_above(F.element_at(inner, F.greatest(block, F.lit(1))))
-    )
+    def within(key: Column) -> Column:
+        return bound_once(not_above(firsts, key), lambda block: F.when(block == 0, 0).otherwise(
+            (block - 1) * step + not_above(F.element_at(inner, F.greatest(block, F.lit(1))), key)
+        ))
+
+    return bound_once(_key_struct(keys), within)
+
+
+def bound_once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def with_bins(df: DataFrame, order: Sequence[Column | str], rows_per_bin: int = ROWS_PER_BIN,

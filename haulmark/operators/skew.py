@@ -37,3 +37,14 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str, hot: list
     cold_part = left.filter(~is_hot).join(right.filter(~is_hot), key, how)
     hot_part = left.filter(is_hot).join(F.broadcast(right.filter(is_hot)), key, how)
     return cold_part.unionByName(hot_part)
+
+
+def lookup(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """``lookup_join`` that finds the hot keys of ``left`` itself (one sampling job)."""
+    return lookup_join(left, right, key, how, hot_keys(left, key))
+
+
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row per ``key`` (the smallest); repeated keys shrink before the shuffle, which a join can use again."""
+    rest = [c for c in df.columns if c != key]
+    return df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row")).select(key, "_row.*")

@@ -11,15 +11,16 @@ from haulmark.functions.paths import ancestors, parent
 from haulmark.operators.ordered import (
     ROWS_PER_BIN, bin_of, boundaries, literal_key, previous_row, row_position,
 )
-from haulmark.operators.skew import hot_keys, lookup_join
+from haulmark.operators.skew import hot_keys, lookup, lookup_join, one_per_key
+from haulmark.session import pin
 
 
 def _target_side(dst: DataFrame) -> DataFrame:
     checksum = F.col("checksum") if "checksum" in dst.columns else F.lit(None).cast("string")
-    return dst.select(
+    return one_per_key(dst.select(
         "entry_name", F.col("is_file").alias("dst_is_file"), F.col("file_size").alias("dst_size"),
         checksum.alias("dst_checksum"),
-    )
+    ), "entry_name")
 
 
 def _same_file(src: DataFrame) -> Column:
@@ -32,7 +33,7 @@ def select_updates(src: DataFrame, dst: DataFrame) -> DataFrame:
 
     Same means equal length and, where both sides have a ``checksum``, equal checksums.
     """
-    joined = src.filter("is_file").join(_target_side(dst), "entry_name", "left")
+    joined = lookup(src.filter("is_file"), _target_side(dst), "entry_name", "left")
     missing = F.col("dst_size").isNull()
     return joined.filter(missing | ~_same_file(src)).select(
         *src.columns, F.when(missing, "MISSING").otherwise("DIFFERS").alias("reason")
@@ -43,7 +44,7 @@ def copy_action(src: DataFrame, dst: DataFrame, overwrite: bool = False, update:
     """Add ``action`` to every source entry: ``COPY``, ``OVERWRITE``, ``SKIP``, ``MKDIR`` or ``FAIL``."""
     if overwrite and update:
         raise ValueError("overwrite and update exclude each other")
-    joined = src.join(_target_side(dst), "entry_name", "left")
+    joined = lookup(src, _target_side(dst), "entry_name", "left")
     exists = F.col("dst_is_file").isNotNull()
     differs = ~F.coalesce(_same_file(src), F.lit(False))
     replace = F.lit(True) if overwrite else (differs if update else F.lit(False))
@@ -88,21 +89,23 @@ def extraneous(src: DataFrame, dst: DataFrame) -> DataFrame:
     both = named(src, True).unionByName(named(dst, False)).groupBy("entry_name").agg(
         F.max("in_src").alias("in_src"), F.max("in_dst").alias("in_dst"), F.max("is_file").alias("is_file"),
     )
-    gone = both.filter("in_dst and not in_src").select("entry_name", "is_file", parent("entry_name").alias("parent"))
-
-    dirs_of_dst = dst.select(parent("entry_name").alias("parent"))
-    hot_parents = hot_keys(dirs_of_dst, "parent")
-    hot_ancestors = hot_keys(
-        dirs_of_dst.select(F.explode(F.concat(ancestors("parent"), F.array("parent"))).alias("ancestor")), "ancestor"
-    )
+    # Used three times below, so the comparison of the two trees is run once and stored.
+    gone = pin(both.filter("in_dst and not in_src").select(
+        "entry_name", "is_file", parent("entry_name").alias("parent")
+    ), "gone")
+
+    def upwards(rows: DataFrame) -> DataFrame:
+        return rows.filter("parent <> ''").select(
+            "parent", F.explode(F.concat(ancestors("parent"), F.array("parent"))).alias("ancestor")
+        )
 
-    upward = gone.select("parent").filter("parent <> ''").distinct().select(
-        "parent", F.explode(F.concat(ancestors("parent"), F.array("parent"))).alias("ancestor")
-    )
+    # A directory with many entries is among its own "ancestors" here, so one list serves both lookups.
+    hot = hot_keys(upwards(gone), "ancestor")
     covered = lookup_join(
-        upward, gone.select(F.col("entry_name").alias("ancestor")), "ancestor", "left_semi", hot_ancestors
+        upwards(gone.select("parent").distinct()), gone.select(F.col("entry_name").alias("ancestor")),
+        "ancestor", "left_semi", hot,
     ).select("parent").distinct()
-    return lookup_join(gone, covered, "parent", "left_anti", hot_parents).select("entry_name", "is_file")
+    return lookup_join(gone, covered, "parent", "left_anti", hot).select("entry_name", "is_file")
 
 
 _DRIFT = {"USER": "owner", "GROUP": "grp", "PERMISSION": "permission"}
@@ -111,12 +114,12 @@ _DRIFT = {"USER": "owner", "GROUP": "grp", "PERMISSION": "permission"}
 def attr_drift(src: DataFrame, dst: DataFrame, attrs: frozenset[str]) -> DataFrame:
     """Entries on both sides whose owner, group or permission must change; null where nothing changes."""
     watched = [column for attr, column in _DRIFT.items() if attr in attrs]
-    old = dst.select("entry_name", *[F.col(c).alias(f"dst_{c}") for c in _DRIFT.values()])
+    old = one_per_key(dst.select("entry_name", *[F.col(c).alias(f"dst_{c}") for c in _DRIFT.values()]), "entry_name")
     changes = [
         F.when(~F.col(c).eqNullSafe(F.col(f"dst_{c}")) & F.lit(c in watched), F.col(c)).alias(f"new_{c}")
         for c in _DRIFT.values()
     ]
-    return src.join(old, "entry_name").select("entry_name", *changes).filter(
+    return lookup(src, old, "entry_name", "inner").select("entry_name", *changes).filter(
         F.coalesce(*[F.col(f"new_{c}") for c in _DRIFT.values()]).isNotNull()
     )
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.operators.diff import compare_content, dir_diff
+from haulmark.operators.diff import compare_content, dir_diff, skip_empty_pairs
 from haulmark.operators.digest import file_md5
+from haulmark.operators.layout import assign_groups
 from haulmark.session import pin
 from haulmark.sources import filesystem as fs
 from haulmark.sources.files import list_files
@@ -15,11 +16,12 @@ _STATUS = {"MATCH": "SAME", "MISMATCH": "CHECKSUM_MISMATCH", "UNREADABLE": "UNRE
 
 
 def compare_trees(spark: SparkSession, src_root: str, dst_root: str, checksum: bool = False,
-                  gate: bool = True) -> DataFrame:
+                  gate: bool = True, groups: int | None = None) -> DataFrame:
     """``entry_name, src_size, dst_size, status`` of every file on either side.
 
     ``checksum`` reads contents of files that agree in size.  With ``gate`` nothing is read unless the listings agree
-    completely; otherwise everything is reported at once.
+    completely; otherwise everything is reported at once.  With ``groups`` the reading is balanced by size over that
+    many tasks.
     """
     src_root, dst_root = src_root.rstrip("/"), dst_root.rstrip("/")
     diff = dir_diff(list_files(spark, src_root), list_files(spark, dst_root))
@@ -33,7 +35,7 @@ def compare_trees(spark: SparkSession, src_root: str, dst_root: str, checksum: b
         F.concat(F.lit(dst_root + "/"), "entry_name").alias("dest_file"),
         F.lit(True).alias("is_file"), F.col("src_size").alias("file_size"),
     )
-    compared = compare_pairs(pairs).select(
+    compared = compare_pairs(pairs, groups).select(
         F.substring("src_file", len(src_root) + 2, 2**31 - 1).alias("entry_name"),
         F.create_map(*[F.lit(x) for kv in _STATUS.items() for x in kv])[F.col("status")].alias("content"),
     )
@@ -42,11 +44,13 @@ def compare_trees(spark: SparkSession, src_root: str, dst_root: str, checksum: b
     )
 
 
-def compare_pairs(pairs: DataFrame) -> DataFrame:
-    """``compare_content`` of files that are read now."""
+def compare_pairs(pairs: DataFrame, groups: int | None = None) -> DataFrame:
+    """``compare_content`` of files that are read now; with ``groups``, balanced by size over that many tasks."""
     def digests(column: str) -> DataFrame:
-        return pin(file_md5(pairs.filter("file_size > 0").select(F.col(column).alias("path"), "file_size").distinct()),
-                   "digests")
+        files = skip_empty_pairs(pairs).select(F.col(column).alias("path"), "file_size").distinct()
+        if groups:
+            files = assign_groups(files.withColumn("is_file", F.lit(True)), groups, name_col="path")
+        return pin(file_md5(files, groups), "digests")
 
     return compare_content(pairs, digests("src_file"), digests("dest_file"))
 

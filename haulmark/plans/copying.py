@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from haulmark.sources.tables import read_manifest
 def copy_pairs(pairs: DataFrame, groups: int, conf: CopyConf | None = None) -> DataFrame:
     """Route every pair, balance the supported ones over ``groups`` tasks, copy; others come back as ``FAILED``."""
     routed = route(pairs).withColumn("action", F.when(F.col("route") == "UNSUPPORTED", "FAIL").otherwise("COPY"))
-    return copy_files(assign_groups(routed.drop("route"), groups), conf)
+    return copy_files(assign_groups(routed.drop("route"), groups), replace(conf or CopyConf(), tasks=groups))
 
 
 def copy_tree(spark: SparkSession, src_root: str, dst_root: str, groups: int = 200,

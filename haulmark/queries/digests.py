@@ -48,6 +48,20 @@ def ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.range_plan(fx.src_listing(spark, sf_dir), _CHUNK, _MIN).select("entry_name", "part_no", "begin", "end")
 
 
+# Of some files one range never arrived, and some parts were reported twice.
+@query("range_coverage", f"""{_RANGES}, done AS (
+  SELECT entry_name, part_no, "begin", "end" FROM ranges WHERE part_no<>1 OR strlen(entry_name)%3<>0)
+SELECT s.entry_name, s.file_size, CAST(count(d.part_no) AS BIGINT) AS parts,
+       CAST(coalesce(sum("end"-"begin"+1), 0) AS BIGINT) AS bytes,
+       coalesce(sum("end"-"begin"+1), 0)=s.file_size AS complete
+FROM src s LEFT JOIN done d USING (entry_name) WHERE s.file_size>0 GROUP BY s.entry_name, s.file_size""")
+def range_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listing = fx.src_listing(spark, sf_dir)
+    planned = ops.range_plan(listing, _CHUNK, _MIN)
+    done = planned.filter("part_no<>1 OR octet_length(entry_name)%3<>0")
+    return ops.range_coverage(listing, done.unionByName(done.filter("part_no%2=0")))
+
+
 _HEX = 'substring(hex(encode(c)), 2*"begin"+1, 2*("end"-"begin"+1))'
 
 

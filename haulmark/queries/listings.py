@@ -64,8 +64,7 @@ def dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'o'||l_orderkey||'/'||l_linenumber AS entry_name", "CAST(l_quantity AS bigint) AS file_size",
         "l_partkey AS part",
     )
-    kept, rejected = ops.dedupe_listing(rows, ["file_size", "part"])
-    return kept.withColumn("kept", F.lit(True)).unionByName(rejected.withColumn("kept", F.lit(False)))
+    return ops.mark_first(rows, ["file_size", "part"])
 
 
 @query("make_pairs", f"""WITH {fx.SRC}
