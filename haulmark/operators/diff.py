@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from haulmark.functions.digests import digest_words
 from haulmark.operators.skew import hot_keys, lookup, lookup_join, one_per_key
 
 
@@ -51,21 +54,27 @@ def diff_union(diff: DataFrame) -> DataFrame:
     return diff.filter(F.col("status") != "SAME")
 
 
+def _with_words(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.withColumns(dict(zip(names, digest_words("md5"), strict=True)))
+
+
 def content_diff(src: DataFrame, dst: DataFrame) -> DataFrame:
-    """``dir_diff`` for listings that already carry an ``md5`` column.
+    """``dir_diff`` for listings (names unique) that already carry a base64 ``md5`` column.
 
     ``SAME`` becomes ``SAME_EMPTY``, ``CHECKSUM_MISMATCH`` or ``UNREADABLE`` where that is the case.
     """
+    words = ["md5_0", "md5_1", "md5_2"]
     status = _listing_status()
-    unread = F.col("src_md5").isNull() | F.col("dst_md5").isNull()
-    return _both_sides(src, dst, ["file_size", "md5"]).select(
+    unread = F.col("src_md5_0").isNull() | F.col("dst_md5_0").isNull()
+    equal = reduce(Column.__and__, [F.col(f"src_{w}") == F.col(f"dst_{w}") for w in words])
+    return _both_sides(_with_words(src, words), _with_words(dst, words), ["file_size", *words]).select(
         "entry_name",
         F.col("src_file_size").alias("src_size"),
         F.col("dst_file_size").alias("dst_size"),
         F.when(status != "SAME", status)
         .when(F.col("src_file_size") == 0, "SAME_EMPTY")
         .when(unread, "UNREADABLE")
-        .when(F.col("src_md5") != F.col("dst_md5"), "CHECKSUM_MISMATCH")
+        .when(~equal, "CHECKSUM_MISMATCH")
         .otherwise("SAME").alias("status"),
     )
 
@@ -106,16 +115,23 @@ def compare_content(pairs: DataFrame, src_md5: DataFrame, dst_md5: DataFrame) ->
 def compare_parts(src_parts: DataFrame, dst_parts: DataFrame) -> DataFrame:
     """Compare digests per byte range (``entry_name, part_no, md5``), which spreads one huge file over many tasks.
 
-    One row per file: number of parts, parts that differ or are missing on a side, and a status.
+    One row per file: number of parts, parts that differ, are unread or missing on a side, and a status.
     """
+    words = ["md5_0", "md5_1", "md5_2"]
     keys = ["entry_name", "part_no"]
-    tagged = src_parts.select(*keys, F.col("md5").alias("s"), F.lit(None).cast("string").alias("d")).unionByName(
-        dst_parts.select(*keys, F.lit(None).cast("string").alias("s"), F.col("md5").alias("d"))
+
+    def side(parts: DataFrame, mine: str) -> DataFrame:
+        columns = [
+            (F.col(w) if s == mine else F.lit(None).cast("bigint")).alias(f"{s}_{w}") for s in "sd" for w in words
+        ]
+        return _with_words(parts.select(*keys, "md5"), words).select(*keys, *columns)
+
+    per_part = side(src_parts, "s").unionByName(side(dst_parts, "d")).groupBy(*keys).agg(
+        *[F.min(f"{s}_{w}").alias(f"{s}_{w}") for s in "sd" for w in words]
     )
-    per_part = tagged.groupBy(*keys).agg(F.min("s").alias("s"), F.min("d").alias("d"))
+    equal = reduce(Column.__and__, [F.col(f"s_{w}") == F.col(f"d_{w}") for w in words])
     return per_part.groupBy("entry_name").agg(
-        F.count("*").alias("parts"),
-        F.count_if(~F.col("s").eqNullSafe(F.col("d"))).alias("bad_parts"),
+        F.count("*").alias("parts"), F.count_if(~F.coalesce(equal, F.lit(False))).alias("bad_parts"),
     ).withColumn("status", F.when(F.col("bad_parts") == 0, "MATCH").otherwise("MISMATCH"))
 
 

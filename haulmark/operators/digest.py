@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.functions.digests import md5_base64
+from haulmark.operators.ordered import bound_once
 from haulmark.sources import filesystem as fs
 
 # Part size, smallest file that is split, part size with interim files, attempts per file.
@@ -116,18 +117,22 @@ def content_part_md5(df: DataFrame, name_col: str, content_col: str, chunk_bytes
 
     Digests are taken inside the row and only they are exploded, never copies of the content.
     """
-    content = F.col(content_col).cast("binary")
     chunk = F.lit(chunk_bytes).cast("int")
-    last = F.greatest(F.lit(0), F.floor((F.octet_length(content) - 1) / chunk)).cast("int")
 
-    def part(i):
-        data = F.substring(content, i * chunk + 1, chunk)
-        return F.struct((i + 1).cast("bigint").alias("part_no"), F.octet_length(data).cast("bigint").alias("bytes"),
-                        md5_base64(data).alias("md5"))
+    def parts(content):
+        last = F.greatest(F.lit(0), F.floor((F.octet_length(content) - 1) / chunk)).cast("int")
 
-    return df.select(name_col, F.transform(F.sequence(F.lit(0), last), part).alias("_parts")).select(
-        name_col, F.inline("_parts")
-    )
+        def part(i):
+            data = F.substring(content, i * chunk + 1, chunk)
+            return F.struct((i + 1).cast("bigint").alias("part_no"),
+                            F.octet_length(data).cast("bigint").alias("bytes"), md5_base64(data).alias("md5"))
+
+        return F.transform(F.sequence(F.lit(0), last), part)
+
+    # Every row has a part; the outer form keeps the optimizer from computing all digests once more to filter on them.
+    return df.filter(F.col(content_col).isNotNull()).select(
+        name_col, bound_once(F.col(content_col).cast("binary"), parts).alias("_parts")
+    ).select(name_col, F.inline_outer("_parts"))
 
 
 def reassemble(chunks: DataFrame, file_col: str, order_col: str, data_col: str) -> DataFrame:

@@ -149,6 +149,6 @@ def parents_of(listing: DataFrame) -> DataFrame:
     """Every directory that the names of a listing imply, as directory entries."""
     return (
         listing.select(paths.parent("entry_name").alias("parent")).filter("parent <> ''").distinct()
-        .select(F.explode(F.concat(paths.ancestors("parent"), F.array("parent"))).alias("entry_name")).distinct()
+        .select(F.explode_outer(F.concat(paths.ancestors("parent"), F.array("parent"))).alias("entry_name")).distinct()
         .select("entry_name", F.lit(False).alias("is_file"))
     )

@@ -3,7 +3,7 @@
 A window with no (or one very large) partition sorts everything in one task.  Here the order keys are cut into
 *bins*: contiguous key ranges of about ``rows_per_bin`` rows, taken from a sample.  A row's bin depends on nothing but
 its key and the boundaries, which are constants of the plan, so a task that is run again puts its rows into the same
-bins.  Each bin is windowed on its own; what one bin hands to the next is one row per bin (at most ``MAX_BINS``),
+bins.  Where sums restart per key and no key is large, an ordinary window does.  Each bin is windowed on its own; what one bin hands to the next is one row per bin (at most ``MAX_BINS``),
 small enough to broadcast whatever the data.
 """
 
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 MAX_BINS = 1024
 ROWS_PER_BIN = 200_000
 _SAMPLE_PER_BIN = 48
+_LARGE_SAMPLE = 0.01
 
 _RUNNING = (Window.unboundedPreceding, Window.currentRow)
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -88,6 +89,16 @@ def with_bins(df: DataFrame, order: Sequence[Column | str], rows_per_bin: int =
     return df.withColumn("_bin", bin_of(_key_columns(df, order), cuts, types)), len(cuts) + 1
 
 
+def has_large_group(df: DataFrame, by: Sequence[str], rows_per_bin: int = ROWS_PER_BIN) -> bool:
+    """Whether some value of ``by`` seems to have more than ``rows_per_bin`` rows, from a 1 % sample.
+
+    If none has, a plain window over ``by`` gives every task a bounded sort.  Either way results are the same.
+    """
+    sampled = df.select(F.xxhash64(*by).alias("h")).sample(fraction=_LARGE_SAMPLE, seed=23)
+    counts = sampled.groupBy("h").count()
+    return not counts.filter(F.col("count") >= max(1, int(rows_per_bin * _LARGE_SAMPLE))).isEmpty()
+
+
 def running_sum(df: DataFrame, value: Column, order: Sequence[Column | str], by: Sequence[str] = (),
                 name: str = "running", rows_per_bin: int = ROWS_PER_BIN, rows: int | None = None) -> DataFrame:
     """Add ``name``: sum of ``value`` over the rows up to and including this one.
@@ -96,6 +107,9 @@ def running_sum(df: DataFrame, value: Column, order: Sequence[Column | str], by:
     sum starts again for each of its values; a value holding most of the rows is spread over many bins.
     """
     by = list(by)
+    if by and not has_large_group(df, by, rows_per_bin):
+        plain = Window.partitionBy(*by).orderBy(*_key_columns(df, order)).rowsBetween(*_RUNNING)
+        return df.withColumn(name, F.sum(value).over(plain))
     keys = [F.col(c) for c in by] + _key_columns(df, order)
     binned, bins = with_bins(df.withColumn("_value", value), keys, rows_per_bin, rows)
     window = Window.partitionBy("_bin", *by).orderBy(*_key_columns(df, order)).rowsBetween(*_RUNNING)
@@ -132,6 +146,8 @@ def previous_row(df: DataFrame, order: Sequence[Column | str], by: Sequence[str]
     """Add ``name``: value of column ``take`` in the row before this one with the same ``by``, else null."""
     by = list(by)
     order_columns = _key_columns(df, order)
+    if by and not has_large_group(df, by, rows_per_bin):
+        return df.withColumn(name, F.lag(take).over(Window.partitionBy(*by).orderBy(*order_columns)))
     keys = [F.col(c) for c in by] + order_columns
     binned, bins = with_bins(df, keys, rows_per_bin, rows)
     here = F.lag(take).over(Window.partitionBy("_bin", *by).orderBy(*order_columns))

@@ -96,7 +96,7 @@ def extraneous(src: DataFrame, dst: DataFrame) -> DataFrame:
 
     def upwards(rows: DataFrame) -> DataFrame:
         return rows.filter("parent <> ''").select(
-            "parent", F.explode(F.concat(ancestors("parent"), F.array("parent"))).alias("ancestor")
+            "parent", F.explode_outer(F.concat(ancestors("parent"), F.array("parent"))).alias("ancestor")
         )
 
     # A directory with many entries is among its own "ancestors" here, so one list serves both lookups.
@@ -145,14 +145,18 @@ def budget_admit(files: DataFrame, max_files: int | None = None, max_bytes: int
 
 
 def _within_budget(files: DataFrame, budget: int, order: Sequence[str], rows_per_bin: int) -> Column:
-    cuts, types = boundaries(files, order, rows_per_bin)
     columns = [F.col(c) for c in order]
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(columns)])
-    sized = (
-        files.filter(F.col("file_size") <= budget)
-        .select(key.alias("key"), F.col("file_size").alias("size"), bin_of(columns, cuts, types).alias("bin"))
-        .repartition("bin").sortWithinPartitions("bin", "key").persist()
-    )
+    keyed = files.filter(F.col("file_size") <= budget).select(key.alias("key"), F.col("file_size").alias("size")).persist()
+    inner = [F.col(f"key.k{i}") for i in range(len(columns))]
+    cuts, types = boundaries(keyed, inner, rows_per_bin)
+    if cuts:
+        # Shuffled and sorted once; every round's window finds its rows in place.
+        sized = keyed.withColumn("bin", bin_of(inner, cuts, types)).repartition("bin").sortWithinPartitions(
+            "bin", "key"
+        ).persist()
+    else:
+        sized = keyed.withColumn("bin", F.lit(0))
     in_bin = Window.partitionBy("bin").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before_bin = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
 
@@ -194,4 +198,5 @@ def _within_budget(files: DataFrame, budget: int, order: Sequence[str], rows_per
             rest -= event.used + event.size
         last = here
     sized.unpersist()
+    keyed.unpersist()
     return taken
