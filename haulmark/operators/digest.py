@@ -75,7 +75,8 @@ _DIGESTED_DDL = "md5 string, bytes_read bigint, attempts int, error string"
 def _spread(df: DataFrame, tasks: int | None, key: list[str]) -> DataFrame:
     """One partition per work group where groups were assigned, else hashed over ``tasks`` partitions."""
     if "group_id" in df.columns:
-        return df.repartitionById(tasks, "group_id") if tasks else df.repartition("group_id")
+        # A number keeps adaptive execution from merging groups: their rows are few, their files are not.
+        return df.repartitionById(tasks or (df.agg(F.max("group_id")).first()[0] or 0) + 1, "group_id")
     tasks = tasks or 4 * df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(tasks, *key)
 
