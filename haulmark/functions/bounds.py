@@ -6,8 +6,9 @@ import re
 from datetime import datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _BOUND = r"^\s*(\d{4})-(\d{1,2})-(\d{1,2})-(\d{1,2})-(\d{1,2})-(\d{1,2})-(\d{1,3})\s*$"
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -37,3 +38,19 @@ def bound_millis(text: str, tz: str = "UTC") -> int:
         raise ValueError(f"hour out of range in {text!r}")
     local = datetime(year, month, day, hour % 24, minute, second, tzinfo=ZoneInfo(tz))
     return (local - _EPOCH) // timedelta(milliseconds=1) + milli
+
+
+def epoch_millis(df: DataFrame, name: str) -> Column:
+    """Epoch milliseconds of a timestamp column; one without time zone is read as UTC, whatever the session's zone."""
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(name))
+        return F.floor(micros / F.lit(1000).cast("decimal(4,0)")).cast("bigint")
+    return F.unix_millis(F.col(name))
+
+
+def moment(df: DataFrame, name: str, when: datetime) -> Column:
+    """``when`` (UTC if it names no zone) as a constant to compare column ``name`` with."""
+    aware = when if when.tzinfo else when.replace(tzinfo=timezone.utc)
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        return F.lit(aware.astimezone(timezone.utc).replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(aware)

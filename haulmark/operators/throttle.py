@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from haulmark.functions.bounds import epoch_millis
 from haulmark.operators.ordered import running_sum
 
 #: Fixed value: limit per worker in MB/s when none is given.
@@ -24,7 +25,7 @@ def required_delay(transfers: DataFrame, limit_mb_s: float, start: datetime, tie
     start_ms = int(start.timestamp() * 1000)
     summed = running_sum(transfers, F.col("bytes"), ["ts", *tie_cols], ["worker"], "cum_bytes", **kwargs)
     expected = (F.expr("cum_bytes div 1000").cast("double") / F.lit(float(limit_mb_s))).cast("bigint")
-    elapsed = F.unix_millis(F.col("ts").cast("timestamp")) - F.lit(start_ms).cast("bigint")
+    elapsed = epoch_millis(transfers, "ts") - F.lit(start_ms).cast("bigint")
     return summed.withColumn("delay_ms", F.greatest(F.lit(0).cast("bigint"), expected - elapsed))
 
 
@@ -47,11 +48,7 @@ def throttle_intervals(transfers: DataFrame, interval_ms: int, limit_mib_s: floa
 
     Works on a stream too; give it a watermark on ``ts`` first (see ``haulmark.streaming``).
     """
-    windows = (
-        transfers.withColumn("ts", F.col("ts").cast("timestamp"))
-        if not transfers.isStreaming else transfers
-    )
-    used = windows.groupBy(F.window("ts", f"{interval_ms} milliseconds").alias("_w")).agg(F.sum("bytes").alias("bytes"))
+    used = transfers.groupBy(F.window("ts", f"{interval_ms} milliseconds").alias("_w")).agg(F.sum("bytes").alias("bytes"))
     return used.select(
         F.col("_w.start").alias("interval_start"), "bytes",
         *[c.alias(n) for n, c in interval_columns(limit_mib_s, interval_ms, workers).items()],

@@ -7,11 +7,12 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from haulmark.functions.bounds import moment
+
 
 def stale_uploads(uploads: DataFrame, as_of: datetime, days: int) -> DataFrame:
     """Uploads begun strictly before ``as_of`` minus ``days`` times 24 hours (a constant the scan can prune with)."""
-    bound = F.lit((as_of - timedelta(hours=24 * days)).isoformat(sep=" "))
-    return uploads.filter(F.col("initiated") < bound.cast(uploads.schema["initiated"].dataType))
+    return uploads.filter(F.col("initiated") < moment(uploads, "initiated", as_of - timedelta(hours=24 * days)))
 
 
 def upload_sizes(uploads: DataFrame, parts: DataFrame) -> DataFrame:

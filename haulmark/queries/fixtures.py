@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haulmark.functions.bounds import epoch_millis
 from haulmark.session import new_folder
 from haulmark.sources import filesystem as fs
 
@@ -101,9 +102,9 @@ WALS = f"""wals AS (
 
 def wal_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``path, file_size`` of log files, most with an epoch at the end of their name."""
-    return table(spark, sf_dir, "events").selectExpr(
-        _WAL.format(ms="unix_millis(CAST(ts AS timestamp))") + " AS path",
-        "CAST(floor(value*1000) AS bigint) AS file_size",
+    events = table(spark, sf_dir, "events")
+    return events.withColumn("ms", epoch_millis(events, "ts")).selectExpr(
+        _WAL.format(ms="ms") + " AS path", "CAST(floor(value*1000) AS bigint) AS file_size"
     )
 
 

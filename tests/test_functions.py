@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +85,23 @@ def test_bounds(spark):
         bounds.bound_millis("2024-01-01")
 
 
+def test_moments_do_not_depend_on_the_session_zone(spark):
+    moments = [datetime(2024, 7, 1, 12, 0, 0, 123456), datetime(1969, 12, 31, 23, 59, 59, 999900)]
+    text = [m.isoformat(sep=" ") for m in moments]
+    expected = [1719835200123, -1]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(t,) for t in text], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+        assert sorted(r[0] for r in df.select(bounds.epoch_millis(df, "t")).collect()) == sorted(expected)
+        assert df.filter(F.col("t") < bounds.moment(df, "t", datetime(2024, 1, 1))).count() == 1
+        zoned = df.select(F.timestamp_millis(F.lit(1719835200123)).alias("t"))
+        assert zoned.select(bounds.epoch_millis(zoned, "t")).first()[0] == 1719835200123
+        assert zoned.filter(F.col("t") < bounds.moment(zoned, "t", datetime(2024, 7, 1, 12, 0, 1))).count() == 2
+        assert zoned.filter(F.col("t") < bounds.moment(zoned, "t", datetime(2024, 7, 1, 12))).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_attribute_letters():
     assert attributes.parse_attrs("ug") == {"USER", "GROUP"}
     assert len(attributes.parse_attrs("")) == len(attributes.parse_attrs(None)) == 5
