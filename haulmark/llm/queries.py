@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulmark.llm import line_dedup, sentencepiece_bpe
+from haulmark.llm import line_dedup, near_dup, sentencepiece_bpe
 from haulmark.llm.common import table
 from haulmark.queries.base import Query
 
@@ -55,6 +55,27 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query("op5_near_dup", rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+           FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least_of AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(b, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(b, d.doc_id) AS kept
+FROM docs d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least_of m ON m.a = d.doc_id""")
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_dup.near_duplicate_classes(table(spark, sf_dir, "documents"))
+    return classes.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 @F.pandas_udf(T.StringType())
 def ids_sha256(ids: pd.Series) -> pd.Series:
     return ids.map(lambda row: hashlib.sha256(np.asarray(row).astype("<u4").tobytes()).hexdigest())
