@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,16 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch, each of about ``size`` bytes of ``column`` or one row: what is unpacked at a time."""
+    lengths = pc.fill_null(pc.binary_length(batch[column].cast(pa.binary())), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(lengths) // size
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for start, stop in zip(cuts, cuts[1:]):
+        if stop > start:
+            yield batch.slice(start, stop - start)
+
+
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[dict[str, object]]],
               schema: str) -> DataFrame:
     """``mapInArrow`` for a function that yields one dict of columns at a time."""

@@ -18,12 +18,11 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.llm.common import id_and_text, map_arrow
+from haulmark.llm.common import id_and_text, map_arrow, slices
 
 SPACE = "▁"
-#: Words in a worker's table after which it starts anew, and characters encoded at a time: both bound the memory.
-WORDS_KEPT = 600_000
-CHARS_AT_ONCE = 4_000_000
+#: Words in a worker's table after which it starts anew, so that its memory is bounded.
+WORDS_KEPT = 200_000
 _NONE = np.iinfo(np.int32).max
 
 
@@ -176,18 +175,6 @@ def load(path: str) -> BpeModel:
     return BpeModel(path)
 
 
-def _portions(texts: list[str]) -> Iterator[list[str]]:
-    portion, chars = [], 0
-    for text in texts:
-        portion.append(text)
-        chars += len(text)
-        if chars >= CHARS_AT_ONCE:
-            yield portion
-            portion, chars = [], 0
-    if portion:
-        yield portion
-
-
 def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id`` and ``ids array<int>`` of every row's whole text, begin and end ids included.
 
@@ -197,14 +184,11 @@ def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         bpe = load(model)
         for batch in batches:
-            at = 0
-            for texts in _portions([t or "" for t in batch["text"].to_pylist()]):
-                packed = bpe.encode(texts)
+            for part in slices(batch):
+                packed = bpe.encode([t or "" for t in part["text"].to_pylist()])
                 offsets = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
                 values = np.frombuffer(b"".join(packed), "<i4")
-                yield {"id": batch["id"].slice(at, len(texts)),
-                       "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))}
-                at += len(texts)
+                yield {"id": part["id"], "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))}
 
     return map_arrow(id_and_text(df, id_col, text_col), run, "id bigint, ids array<int>")
 
