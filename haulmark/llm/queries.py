@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulmark.llm import line_dedup, near_dup, sentencepiece_bpe
+from haulmark.llm import decontaminate, line_dedup, near_dup, sentencepiece_bpe, toxicity
 from haulmark.llm.common import table
 from haulmark.queries.base import Query
 
@@ -89,3 +89,18 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"),
         ids_sha256("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_chain(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select(F.col("id").alias("doc_id"), "p_quality", "p_toxic", F.col("rejected").alias("toxic"))
+
+
+@query("op9_decontamination")
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.col("start").alias("start_char"),
+                        F.col("stop").alias("end_char"), "edits")
