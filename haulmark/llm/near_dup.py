@@ -207,3 +207,10 @@ def _finish_buckets(in_bucket: DataFrame, tested: DataFrame, labels: DataFrame |
             tested = tested.unionByName(pairs)
             open_members = divided(open_members)
         after, upto = upto, 2 * upto
+
+
+def keep_one_of_each_class(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
+    """Rows of ``df`` whose id is the smallest of its component, all columns as they are; rows without id stay."""
+    classes = near_duplicate_classes(df, id_col, text_col, **options)
+    gone = classes.filter(~F.col("kept")).select(F.col("id").alias("_gone")).distinct()
+    return df.join(gone, df[id_col].cast("bigint") == gone["_gone"], "left_anti")
