@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulmark.llm import decontaminate, line_dedup, near_dup, sentencepiece_bpe, toxicity
+from haulmark.llm import decontaminate, html_text, line_dedup, near_dup, sentencepiece_bpe, toxicity
 from haulmark.llm.common import table
 from haulmark.queries.base import Query
 
@@ -104,3 +104,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.col("start").alias("start_char"),
                         F.col("stop").alias("end_char"), "edits")
+
+
+@query("op10_html_text")
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    extracted = html_text.extract_text(pages, html_text.page_weights(pages))
+    return extracted.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
