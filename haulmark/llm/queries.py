@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulmark.llm import decontaminate, html_text, line_dedup, near_dup, sentencepiece_bpe, toxicity
+from haulmark.llm import (
+    decontaminate, fingerprints, html_text, line_dedup, near_dup, sentencepiece_bpe, token_counts, toxicity,
+)
 from haulmark.llm.common import table
 from haulmark.queries.base import Query
 
@@ -111,3 +113,18 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     extracted = html_text.extract_text(pages, html_text.page_weights(pages))
     return extracted.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), piece_model())
+    return counted.select(F.col("id").alias("doc_id"), "n_tokens", "n_words", "score")
+
+
+@query("op6_fingerprints")
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
+    return compared.select(
+        F.col("id").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next",
+    )
