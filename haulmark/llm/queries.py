@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulmark.llm import (
-    decontaminate, fingerprints, html_text, line_dedup, near_dup, sentencepiece_bpe, token_counts, toxicity,
+    decontaminate, fingerprints, html_text, line_dedup, near_dup, sentencepiece_bpe, token_counts, toxicity, warc,
 )
 from haulmark.llm.common import table
 from haulmark.queries.base import Query
@@ -128,3 +128,25 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
         "edited_fingerprint", "near_edited", "near_next",
     )
+
+
+#: SHA-1 in base 32: eight characters for each ten hexadecimal digits.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, {10 * block + 1}, 10))::BIGINT >> {35 - 5 * i}) & 31)::INT, 1)"
+    for block in range(4) for i in range(8)
+)
+
+
+@query("op4_warc", f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+last AS (SELECT h, max(page_id) AS holder FROM p GROUP BY h)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id < holder THEN holder END AS refers_to
+FROM p JOIN last USING (h)""")
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = warc.write_archives(table(spark, sf_dir, "pages"))
+    index = warc.capture_index(runs)
+    records = warc.read_archives(runs).drop("payload", "page_id", "captured")
+    return index.join(records, ["file", "start"]).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
