@@ -89,7 +89,8 @@ def writing(path: str) -> Iterator[BinaryIO]:
             yield stream
         return
     store, inner = _remote(path)
-    with store.open_output_stream(inner) as stream:
+    # Not by the name: a file called x.gz is written as it is.
+    with store.open_output_stream(inner, compression=None) as stream:
         yield stream
 
 
