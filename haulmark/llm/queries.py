@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulmark.llm import (
-    decontaminate, fingerprints, html_text, line_dedup, near_dup, sentencepiece_bpe, token_counts, toxicity, warc,
+    decontaminate, fingerprints, html_text, line_dedup, near_dup, sentencepiece_bpe, substring_dedup,
+    token_counts, toxicity, warc,
 )
 from haulmark.llm.common import table
 from haulmark.queries.base import Query
@@ -42,6 +43,22 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+@query("op1_substring_dedup", r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs WHERE len(w) >= 50)),
+least_of AS (SELECT h, min(doc_id) AS first FROM windows GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM windows JOIN least_of USING (h) WHERE first < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs),
+judged AS (SELECT w.doc_id, w.i, word, g.i IS NOT NULL AS gone FROM words w LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.i = w.i)
+SELECT d.doc_id, count(j.i) AS n_words, count(j.i) FILTER (gone) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY j.i) FILTER (NOT gone), '')) AS kept_sha256
+FROM docs d LEFT JOIN judged j ON j.doc_id = d.doc_id GROUP BY d.doc_id""")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeated_passages(table(spark, sf_dir, "documents"))
+    return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op2_line_dedup", f"""
 WITH lines AS (
   SELECT doc_id, i, line, {_LOWER.format(f"trim(line, {_BLANKS})")} AS k
