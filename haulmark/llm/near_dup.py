@@ -205,7 +205,8 @@ def _finish_buckets(in_bucket: DataFrame, tested: DataFrame, labels: DataFrame |
         if not pairs.isEmpty():
             labels = merge_components(labels, confirmed(pairs))
             tested = tested.unionByName(pairs)
-            open_members = divided(open_members)
+            # Stored, or the plan would double with every round.
+            open_members = pin(divided(open_members), "open-buckets")
         after, upto = upto, 2 * upto
 
 
