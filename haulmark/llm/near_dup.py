@@ -6,8 +6,8 @@ Each permutation of the shingle hashes gives two signature values, its minimum a
 
 Documents with the same set are one class from the start.  A band's bucket is not expanded into pairs: its members are
 compared with its first member, components are formed, and only members that then still are in different components are
-compared further, with twice as many members of the bucket each round.  So a bucket of near copies costs one comparison
-per member, and yet no link between components is left out.
+compared further, eight times as many members of the bucket each round, and only where their sets can be similar enough.
+So a bucket of near copies costs about one comparison per member, and yet no link between components is left out.
 """
 
 from __future__ import annotations
@@ -162,7 +162,7 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
         return some.join(right, "b").join(left, "a").filter(similar("left", "right")).select("a", "b")
 
     labels = merge_components(None, confirmed(pairs))
-    labels = _finish_buckets(in_bucket, pairs, labels, confirmed)
+    labels = _finish_buckets(in_bucket, pairs, sets, labels, confirmed, min_percent)
 
     found = classes.select("s1", "s2", "rep")
     joined = signed.select("id", "n_shingles", "s1", "s2").join(
@@ -174,8 +174,21 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
     return out.select("id", "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def _finish_buckets(in_bucket: DataFrame, tested: DataFrame, labels: DataFrame | None, confirmed) -> DataFrame | None:
-    """Compare what shares a bucket but not yet a component, with members 2, then 3-4, 5-8, ... of each bucket."""
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        sets = [np.frombuffer(s, np.int64) for s in batch["shingles"].to_pylist()]
+        sizes = [len(s) for s in sets]
+        if sizes:
+            yield {"shingle": np.concatenate(sets), "id": np.repeat(batch["id"].to_numpy(), sizes), "n": np.repeat(sizes, sizes)}
+
+
+def _finish_buckets(in_bucket: DataFrame, tested: DataFrame, sets: DataFrame, labels: DataFrame | None, confirmed,
+                    percent: int) -> DataFrame | None:
+    """Compare what shares a bucket but not yet a component, with members 2-8, 9-64, ... of each bucket.
+
+    Two sets share at most the shingles that each has in common with any set left; that bound, and the sizes, rule most
+    pairs out before they are made.
+    """
     def placed(df: DataFrame) -> DataFrame:
         with_label = df.withColumn("label", F.col("rep"))
         return with_label if labels is None else relabel(with_label, "label", labels)
@@ -187,18 +200,29 @@ def _finish_buckets(in_bucket: DataFrame, tested: DataFrame, labels: DataFrame |
         ).filter("low < high AND n > 2").select("key")
         return df.join(keys, "key", "left_semi")
 
+    left = pin(divided(in_bucket).select("key", "rep"), "open-buckets")
+    shingles = map_arrow(sets.join(left.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), _shingles,
+                         "shingle bigint, id bigint, n int")
+    common = shingles.groupBy("shingle").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
+    sizes = (
+        shingles.join(common.select("shingle"), "shingle", "left_semi").groupBy(F.col("id").alias("rep"))
+        .agg(F.max("n").alias("n"), F.count("*").alias("m")).filter(100 * F.col("m") >= percent * F.col("n"))
+    )
     turn = Window.partitionBy("key").orderBy("rep")
-    open_members = pin(divided(in_bucket).select("key", "rep").withColumn("turn", F.row_number().over(turn)), "open-buckets")
-    after, upto = 1, 2
+    open_members = pin(left.join(sizes, "rep").withColumn("turn", F.row_number().over(turn)), "open-buckets")
+    after, upto = 0, 8
     while True:
         here = pin(placed(open_members), "open-buckets")
         pivots = here.filter((F.col("turn") > after) & (F.col("turn") <= upto)).select(
-            "key", F.col("rep").alias("p"), F.col("turn").alias("p_turn"), F.col("label").alias("p_label"))
+            "key", *[F.col(c).alias(f"p_{c}") for c in ("rep", "turn", "label", "n", "m")])
         if pivots.isEmpty():
             return labels
+        most = F.least("m", "p_m")
+        possible = (F.col("turn") > F.col("p_turn")) & (F.col("label") != F.col("p_label")) & (
+            100 * most >= percent * (F.col("n") + F.col("p_n") - most))
         pairs = (
-            here.join(pivots, "key").filter("turn > p_turn AND label <> p_label")
-            .select(F.least("p", "rep").alias("a"), F.greatest("p", "rep").alias("b")).distinct()
+            here.withColumnRenamed("key", "_key").join(pivots, (F.col("_key") == F.col("key")) & possible)
+            .select(F.least("p_rep", "rep").alias("a"), F.greatest("p_rep", "rep").alias("b")).distinct()
             .join(tested, ["a", "b"], "left_anti")
         )
         pairs = pin(pairs, "pairs")
@@ -207,7 +231,7 @@ def _finish_buckets(in_bucket: DataFrame, tested: DataFrame, labels: DataFrame |
             tested = tested.unionByName(pairs)
             # Stored, or the plan would double with every round.
             open_members = pin(divided(open_members), "open-buckets")
-        after, upto = upto, 2 * upto
+        after, upto = upto, 8 * upto
 
 
 def keep_one_of_each_class(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
