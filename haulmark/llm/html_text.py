@@ -54,30 +54,35 @@ _WORD_LIMIT, _TAG_LEAST, _TAG_MOST, _MARK_TAG = 2.0, -2.0, -0.1, -8.0
 _FURNITURE_TAG = -0.3
 
 
-def _is_furniture(name: str, attributes: str, marked: bool) -> bool:
-    """Whether an element never belongs to the text; the header of a marked content does."""
+def _is_furniture(name: str, attributes: str, marked: bool) -> str:
+    """Why an element never belongs to the text ("" if it may); the header of a marked content does."""
     if name in _FURNITURE and not (marked and name == "header"):
-        return True
+        return name
     if not attributes or name in _WHOLE_PAGE:
-        return False
+        return ""
     for groups in _NAMING.findall(attributes):
         for token in "".join(groups).lower().split():
             words = re.split(r"[-_]+", token)
             if words[0] not in _NOT and not _NAMES.isdisjoint(words) and not (marked and "header" in words):
-                return True
-    return False
+                return token
+    return ""
+
+
+def _inside_mark(stack: list[tuple[str, str]]) -> bool:
+    """Whether a mark is open that is not itself furniture, as an article of the comments is."""
+    return any(name in _MARKS and not furniture for name, furniture in stack)
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
     """(tag, place, in a link, inside a mark, text) of each tag and stretch of text; in furniture the place is empty."""
-    stack: list[tuple[str, bool]] = []
+    stack: list[tuple[str, str]] = []
     for match in _TOKEN.finditer(page):
         text = match["text"]
         if text is None:
             name = (match["name"] or "").lower()
             if not name:
                 continue
-            marked, shut = any(n in _MARKS for n, _ in stack), any(furniture for _, furniture in stack)
+            marked, shut = _inside_mark(stack), any(furniture for _, furniture in stack)
             if match["end"]:
                 if any(n == name for n, _ in stack):
                     while stack.pop()[0] != name:
@@ -92,14 +97,15 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
                     limits = {"ul", "ol", "table", "td", "th", "article", "section", "div", "main", "nav", "aside"}
                     if limits.isdisjoint(open_names[last + 1:]):
                         del stack[last:]
-                if name in _MARKS and not _is_furniture("div", match["attributes"], marked):
-                    stack = [(n, False) for n, _ in stack]
-                stack.append((name, _is_furniture(name, match["attributes"], marked)
-                              or (name in _MARKS and marked and _is_furniture("div", match["attributes"], marked))))
+                named = _is_furniture("div" if name in _MARKS else name, match["attributes"], marked)
+                if name in _MARKS and not named and not any(n in _FURNITURE or "comment" in why for n, why in stack):
+                    # Whatever the page calls the elements around it: this is its content.
+                    stack = [(n, "") for n, _ in stack]
+                stack.append((name, named))
             shut = shut or any(furniture for _, furniture in stack)
             yield name, "" if shut else name, False, marked, ""
             continue
-        marked = any(n in _MARKS for n, _ in stack)
+        marked = _inside_mark(stack)
         place = "" if any(furniture for _, furniture in stack) else next(
             (n for n, _ in reversed(stack) if n in _PLACES), "body")
         yield "", place, any(n == "a" for n, _ in stack), marked, text
@@ -111,17 +117,14 @@ def _count_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         inside, outside = Counter(), Counter()
         for part in slices(batch):
             for page in part["text"].to_pylist():
-                lower = (page or "").lower()
-                if "<article" not in lower and "<main" not in lower:
-                    continue
-                for tag, place, link, marked, text in tokens(page):
-                    side = inside if marked else outside
-                    if not place:
-                        continue
-                    if tag:
-                        side[f"<{tag}" if tag in _TAGS else "<"] += 1
-                    else:
-                        side[f"{place} {int(link)}"] += len(text.split())
+                own = Counter(), Counter()
+                for tag, place, link, marked, text in tokens(page or ""):
+                    if place:
+                        name = f"{place} {int(link)}" if not tag else f"<{tag}" if tag in _TAGS else "<"
+                        own[0 if marked else 1][name] += len(text.split()) if not tag else 1
+                if own[0]:
+                    inside.update(own[0])
+                    outside.update(own[1])
         keys = sorted({*inside, *outside})
         yield {"key": keys, "inside": [inside[k] for k in keys], "outside": [outside[k] for k in keys]}
 

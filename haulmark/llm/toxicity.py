@@ -185,6 +185,8 @@ def _fit_rows(rows: list, categories: tuple[str, ...], names: tuple[int, ...]) -
         odds = np.zeros(count)
         for out in range(FOLDS):
             inside = fold != out
+            if not inside.any():
+                continue
             number = np.cumsum(inside) - 1
             used = inside[at]
             w, e, b = _fit_linear(number[at[used]], columns[used], unseen[inside], target[inside], width)
