@@ -6,11 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from haulmark.queries import ORACLES, QUERIES
 from tests.conftest import SF
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -48,5 +48,9 @@ def test_query_equals_sql(spark, duck, name):
     assert rows_of(result.columns, got) == rows_of(list(expected_types), want)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
+
+
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
