@@ -63,7 +63,8 @@ def _digest_row(path: str, begin: int, length: int, whole: bool) -> tuple[str |
             error = f"read {count} of {length} bytes"
         except FileNotFoundError as e:
             return None, 0, attempt, str(e)
-        except OSError as e:
+        except (OSError, ValueError) as e:
+            # Also a path that no file system here can open.
             error = str(e)
     return None, count, TRIES, error
 
@@ -172,15 +173,19 @@ def reassemble(chunks: DataFrame, file_col: str, order_col: str, data_col: str)
 def range_coverage(listing: DataFrame, done: DataFrame) -> DataFrame:
     """Whether the finished ranges (``entry_name, part_no, begin, end``) make up each file without gap or overlap.
 
-    ``entry_name, file_size, parts, bytes, complete``.  Repeated reports of a part count once.  Only sums travel, so
-    the number of parts of a file does not matter.
+    ``entry_name, file_size, parts, bytes, complete``.  Repeated reports of a part count once; if they do not agree the
+    file is not complete.  Only sums travel, so the number of parts of a file does not matter.
     """
-    unique = done.groupBy("entry_name", "part_no").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+    unique = done.groupBy("entry_name", "part_no").agg(
+        F.min("begin").alias("begin"), F.max("end").alias("end"),
+        ((F.min("begin") == F.max("begin")) & (F.min("end") == F.max("end"))).alias("agreed"),
+    )
     length = F.col("end") - F.col("begin") + 1
     # Parts are numbered from 0 and begin at number x length of a full part.  If none is longer than that, lengths that
     # add up to the file leave no room for a gap or an overlap.
     sums = unique.groupBy("entry_name").agg(
         F.count("*").alias("parts"), F.sum(length).alias("bytes"), F.max("end").alias("_last"),
+        F.min(F.coalesce("agreed", F.lit(False))).alias("_agreed"),
         F.max("part_no").alias("_top"),
         F.max(length).alias("_longest"),
         # Equal only if every part begins where its number says.
@@ -190,7 +195,7 @@ def range_coverage(listing: DataFrame, done: DataFrame) -> DataFrame:
     )
     files = listing.filter(F.col("is_file") & (F.col("file_size") > 0)).select("entry_name", "file_size")
     whole = (
-        (F.col("_first") == 0) & (F.col("_top") + 1 == F.col("parts")) & (F.col("bytes") == F.col("file_size"))
+        F.col("_agreed") & (F.col("_first") == 0) & (F.col("_top") + 1 == F.col("parts")) & (F.col("bytes") == F.col("file_size"))
         & (F.col("_last") + 1 == F.col("file_size")) & F.col("_step_min").eqNullSafe(F.col("_step_max"))
         & ((F.col("parts") == 1) | (F.col("_longest") <= F.col("_step_min")))
     )

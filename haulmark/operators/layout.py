@@ -18,22 +18,19 @@ DIR_WEIGHT = 1000
 BYTES_PER_TASK = 256 * 1024 * 1024
 TASKS_PER_NODE = 20
 
-#: Items up to which balancing is exact item by item, and pieces per group beyond it.
-EXACT_LIMIT = 10_000
+#: An item above one such part of a group's share of the weight is placed by itself.
 _PIECES = 20
 
 
 def with_weight(pairs: DataFrame) -> DataFrame:
-    """Add ``weight``."""
-    return pairs.withColumn(
-        "weight",
-        F.when(F.col("is_file"), F.col("file_size") + FILE_WEIGHT).otherwise(DIR_WEIGHT).cast("bigint"),
-    )
+    """Add ``weight``; an unknown size weighs nothing by itself."""
+    size = F.coalesce("file_size", F.lit(0))
+    return pairs.withColumn("weight", F.when(F.col("is_file"), size + FILE_WEIGHT).otherwise(DIR_WEIGHT).cast("bigint"))
 
 
 def _size_order(name_col: str) -> list:
-    """Files before directories, large before small, names ascending."""
-    return [~F.col("is_file"), -F.col("file_size"), F.col(name_col)]
+    """Files before directories, large before small (an unknown size last), names ascending."""
+    return [~F.col("is_file"), -F.coalesce("file_size", F.lit(0)), F.col(name_col)]
 
 
 def _longest_first(weights: Sequence[int], groups: int) -> tuple[list[int], list[int]]:
@@ -62,26 +59,24 @@ def _water_level(loads: Sequence[int], amount: int) -> int:
     return 0
 
 
-def assign_groups(pairs: DataFrame, n: int, exact_limit: int = EXACT_LIMIT, name_col: str = "src_file",
-                  rows_per_bin: int = ROWS_PER_BIN) -> DataFrame:
+def assign_groups(pairs: DataFrame, n: int, name_col: str = "src_file", rows_per_bin: int = ROWS_PER_BIN) -> DataFrame:
     """Add ``group_id`` (0 to n-1) so that the groups weigh about the same.
 
-    Up to ``exact_limit`` items (``name_col`` identifies one): longest first, each to the lightest group.  Beyond, only
-    the heavy items are placed that way.  An item is heavy above 1/(20 n) of the total weight, so there are fewer than
-    20 n of them, and their weights are all the driver sees.  The light ones fill what is missing in each group up to a
-    common level: laid end to end they form one line, the gaps another, and an item goes to the gap its start falls in.
-    A group then ends at most one light item above the level.
+    One rule at every size.  An item (``name_col`` identifies one) is heavy above 1/(20 n) of the total weight, so fewer
+    than 20 n are, and their weights are all the driver sees: longest first, each goes to the lightest group.  The light
+    items fill what is missing in each group up to a common level: laid end to end they form one line, the gaps another,
+    and an item goes to the gap its start falls in.  A group then ends at most one light item, a twentieth of its share,
+    above the level.
     """
     weighted = with_weight(pairs)
-    items, total = weighted.agg(F.count("*"), F.sum("weight")).first()
-    if not items:
+    total = weighted.agg(F.sum("weight")).first()[0]
+    if not total:
         return pairs.withColumn("group_id", F.lit(0))
-    exact = items <= exact_limit
-    heavy = F.lit(True) if exact else F.col("weight") * (n * _PIECES) > F.lit(total)
+    heavy = F.col("weight") * (n * _PIECES) > F.lit(total)
     order = _size_order(name_col)
 
     head = weighted.filter(heavy)
-    # At most max(exact_limit, 20 n) rows, so one window task and one collect are bounded.
+    # Fewer than 20 n rows, so one window task and one collect are bounded.
     ranked = head.withColumn("_rank", F.row_number().over(Window.orderBy(*order)))
     weights = [row.weight for row in ranked.select("weight", "_rank").sort("_rank").collect()]
     chosen, loads = _longest_first(weights, n)
@@ -89,7 +84,7 @@ def assign_groups(pairs: DataFrame, n: int, exact_limit: int = EXACT_LIMIT, name
         [(i, g) for i, g in enumerate(chosen, start=1)], "_rank int, group_id int"
     )
     placed = ranked.join(F.broadcast(table), "_rank").select(*pairs.columns, "group_id")
-    if exact or total == sum(weights):
+    if total == sum(weights):
         return placed
 
     level = _water_level(loads, total - sum(weights))
@@ -136,10 +131,11 @@ def split_plan(rows: DataFrame, num_splits: int, order_col: str, rows_per_bin: i
     return summed.withColumn("split_id", F.least(split, F.lit(num_splits - 1)).cast("int")).drop("_end")
 
 
-def task_count(pairs: DataFrame, bytes_per_task: int = BYTES_PER_TASK, cap: int = TASKS_PER_NODE) -> DataFrame:
-    """One row: bytes in all and the number of tasks worth starting (``cap``: 20 per node)."""
+def task_count(pairs: DataFrame, nodes: int, bytes_per_task: int = BYTES_PER_TASK,
+               per_node: int = TASKS_PER_NODE) -> DataFrame:
+    """One row: bytes in all and the number of tasks worth starting, at most ``per_node`` for each of ``nodes``."""
     total = F.coalesce(F.sum("file_size"), F.lit(0)).cast("bigint")
     return pairs.agg(total.alias("total_bytes")).withColumn(
         "tasks",
-        F.greatest(F.lit(1), F.least(F.floor(F.col("total_bytes") / bytes_per_task), F.lit(cap))).cast("bigint"),
+        F.greatest(F.lit(1), F.least(F.floor(F.col("total_bytes") / bytes_per_task), F.lit(nodes * per_node))).cast("bigint"),
     )

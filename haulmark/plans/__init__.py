@@ -1,11 +1,11 @@
 """Whole jobs: compare two trees, copy a tree or a manifest, plan and run a sync, clean up."""
 
 from haulmark.plans.cleanup import cleanup_dir, cleanup_uploads
-from haulmark.plans.compare import compare_file, compare_trees
+from haulmark.plans.compare import compare_file, compare_pairs, compare_trees
 from haulmark.plans.copying import copy_manifest, copy_pairs, copy_tree
 from haulmark.plans.sync import SyncPlan, plan_sync
 
 __all__ = [
-    "SyncPlan", "cleanup_dir", "cleanup_uploads", "compare_file", "compare_trees", "copy_manifest", "copy_pairs",
+    "SyncPlan", "cleanup_dir", "cleanup_uploads", "compare_file", "compare_pairs", "compare_trees", "copy_manifest", "copy_pairs",
     "copy_tree", "plan_sync",
 ]

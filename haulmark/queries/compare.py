@@ -12,7 +12,6 @@ from haulmark.operators.sync import extraneous
 from haulmark.plans.compare import compare_pairs
 from haulmark.queries import fixtures as fx
 from haulmark.queries.base import query
-from haulmark.sources.files import list_files
 
 _DIFF = f"""WITH {fx.SRC}, {fx.DST}, diff AS (
   SELECT coalesce(s.entry_name, d.entry_name) AS entry_name, s.file_size AS src_size, d.file_size AS dst_size,
@@ -79,18 +78,21 @@ def _digests(listing: DataFrame, root: str) -> DataFrame:
 # Contents of files numbered 7, 14, ... at the target could not be read.
 _COMPARED = f"""WITH {fx.PAIRS}, {fx.DST}, digests AS (
   SELECT '{fx.DST_ROOT}/'||entry_name AS path, md5 FROM dst WHERE doc_id%7<>0)
-SELECT p.src_file, p.dest_file, p.file_size, s.md5 AS src_md5, d.md5 AS dst_md5,
-       CASE WHEN p.file_size=0 THEN 'MATCH' WHEN d.md5 IS NULL THEN 'UNREADABLE'
+SELECT p.src_file, p.dest_file, p.file_size, t.file_size AS dest_size, s.md5 AS src_md5, d.md5 AS dst_md5,
+       CASE WHEN t.file_size IS NULL THEN 'MISSING' WHEN p.file_size<>t.file_size THEN 'SIZE_MISMATCH'
+            WHEN p.file_size=0 THEN 'MATCH' WHEN d.md5 IS NULL THEN 'UNREADABLE'
             WHEN s.md5=d.md5 THEN 'MATCH' ELSE 'MISMATCH' END AS status
-FROM pairs p JOIN src s ON s.doc_id=p.doc_id LEFT JOIN digests d ON d.path=p.dest_file"""
+FROM pairs p JOIN src s ON s.doc_id=p.doc_id LEFT JOIN digests d ON d.path=p.dest_file
+LEFT JOIN dst t ON '{fx.DST_ROOT}/'||t.entry_name=p.dest_file"""
 
 
 @query("compare_content", _COMPARED)
 def compare_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = fx.grouped_pairs(spark, sf_dir).drop("group_id")
-    dst = fx.dst_listing(spark, sf_dir, True).filter("doc_id%7<>0")
+    dst = fx.dst_listing(spark, sf_dir, True)
+    sizes = dst.select(F.concat(F.lit(fx.DST_ROOT + "/"), "entry_name").alias("dest_file"), F.col("file_size").alias("dest_size"))
+    pairs = fx.grouped_pairs(spark, sf_dir).drop("group_id").join(sizes, "dest_file", "left")
     return diff.compare_content(
-        pairs, _digests(fx.src_listing(spark, sf_dir, True), fx.SRC_ROOT), _digests(dst, fx.DST_ROOT)
+        pairs, _digests(fx.src_listing(spark, sf_dir, True), fx.SRC_ROOT), _digests(dst.filter("doc_id%7<>0"), fx.DST_ROOT)
     )
 
 
@@ -99,20 +101,27 @@ def skip_empty_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff.skip_empty_pairs(fx.grouped_pairs(spark, sf_dir)).select("src_file", "dest_file", "file_size")
 
 
-@query("compare_file", f"""{_CONTENT}
-SELECT entry_name, CASE status WHEN 'CHECKSUM_MISMATCH' THEN 'MISMATCH' ELSE 'MATCH' END AS status
-FROM full_diff WHERE status IN ('SAME', 'SAME_EMPTY', 'CHECKSUM_MISMATCH')""")
-def compare_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Real files: both trees are written and listed, and every pair of equal size is read and compared."""
-    src = fx.written_tree(spark, sf_dir, "src", fx.src_content(spark, sf_dir))
+@query("compare_file", f"""WITH {fx.SRC}, {fx.DST}, paired AS (
+  SELECT s.entry_name, true AS with_target, s.file_size AS src_size, d.file_size AS dst_size, s.md5=d.md5 AS same
+  FROM src s LEFT JOIN dst d ON d.entry_name=s.entry_name
+  UNION ALL SELECT entry_name, false, file_size, NULL, true FROM src WHERE doc_id%3=0),
+judged AS (SELECT *, CASE WHEN NOT with_target THEN 'READABLE' WHEN dst_size IS NULL THEN 'MISSING'
+    WHEN src_size<>dst_size THEN 'SIZE_MISMATCH' WHEN same THEN 'MATCH' ELSE 'MISMATCH' END AS status FROM paired)
+SELECT entry_name, with_target, src_size, dst_size, status,
+  CASE WHEN status IN ('MATCH', 'MISMATCH', 'READABLE') AND src_size>0 THEN (src_size+1023)//1024 END AS parts
+FROM judged""")
+def compare_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Real files: every source against its target, which may be missing, longer or empty, and a third by themselves."""
+    content = fx.src_content(spark, sf_dir)
+    src = fx.written_tree(spark, sf_dir, "src", content)
     dst = fx.written_tree(spark, sf_dir, "dst", fx.dst_content(spark, sf_dir))
-    same = diff.dir_diff(list_files(spark, src), list_files(spark, dst)).filter("status = 'SAME'")
-    pairs = same.select(
-        F.concat(F.lit(src + "/"), "entry_name").alias("src_file"),
-        F.concat(F.lit(dst + "/"), "entry_name").alias("dest_file"),
-        F.lit(True).alias("is_file"), F.col("src_size").alias("file_size"),
+    source = F.concat(F.lit(src + "/"), "entry_name").alias("src_file")
+    pairs = content.select(source, F.concat(F.lit(dst + "/"), "entry_name").alias("dest_file")).unionByName(
+        content.filter("doc_id%3=0").select(source, F.lit(None).cast("string").alias("dest_file")))
+    return compare_pairs(pairs, chunk_bytes=1024).select(
+        F.expr(f"substring(src_file, {len(src) + 2})").alias("entry_name"), (F.col("dest_file") != "").alias("with_target"),
+        "src_size", "dst_size", "status", "parts",
     )
-    return compare_pairs(pairs).select(F.expr(f"substring(src_file, {len(src) + 2})").alias("entry_name"), "status")
 
 
 @query("verify_objects", f"""WITH {fx.SRC}, meta AS (

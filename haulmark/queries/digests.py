@@ -92,9 +92,11 @@ def content_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("compare_parts", f"""WITH {fx.SRC}, {fx.DST}, {_parts_sql('src')}, {_parts_sql('dst')}, b AS (
   SELECT coalesce(s.entry_name, d.entry_name) AS entry_name,
-         CASE WHEN s.entry_name IS NULL OR d.entry_name IS NULL OR md5(s.data)<>md5(d.data) THEN 1 ELSE 0 END AS bad
+         CASE WHEN s.entry_name IS NULL OR d.entry_name IS NULL OR md5(s.data)<>md5(d.data) THEN 1 ELSE 0 END AS bad,
+         CASE WHEN s.entry_name IS NULL OR d.entry_name IS NULL THEN 1 ELSE 0 END AS unread
   FROM src_parts s FULL OUTER JOIN dst_parts d ON s.entry_name=d.entry_name AND s.part_no=d.part_no)
 SELECT entry_name, CAST(count(*) AS BIGINT) AS parts, CAST(sum(bad) AS BIGINT) AS bad_parts,
+       CAST(sum(unread) AS BIGINT) AS unread_parts,
        CASE WHEN sum(bad)=0 THEN 'MATCH' ELSE 'MISMATCH' END AS status FROM b GROUP BY entry_name""")
 def compare_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff.compare_parts(

@@ -111,3 +111,20 @@ def list_files(spark: SparkSession, root: str, max_depth: int | None = None, dir
         F.lit(root).alias("base_dir"), "entry_name", "is_file", "file_size",
         F.when(~F.col("is_marker"), F.col("mtime_s").cast("timestamp")).alias("mtime"),
     )
+
+
+def file_sizes(paths: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``path, size`` of files by ``path``; the size is null where there is no such file or it cannot be looked up."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes = []
+            for path in batch["path"]:
+                try:
+                    exists, is_file, size = fs.stat(path)
+                except (OSError, ValueError):
+                    exists, is_file, size = False, False, 0
+                sizes.append(size if exists and is_file else None)
+            yield pd.DataFrame({"path": batch["path"], "size": pd.array(sizes, dtype="Int64")})
+
+    tasks = tasks or 4 * paths.sparkSession.sparkContext.defaultParallelism
+    return paths.select("path").repartition(tasks, "path").mapInPandas(run, "path string, size bigint")

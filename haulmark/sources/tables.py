@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haulmark.session import pin
+
 
 def listing_from_table(df: DataFrame, path_col: str, size_col: str, root: str) -> DataFrame:
     """LISTING of the rows below ``root`` (``dir`` does not take in ``dir2``); names ending in ``/`` are markers."""
@@ -71,9 +73,16 @@ def missing_sources(uris: DataFrame, present: DataFrame) -> DataFrame:
 
 
 def check_sources(uris: DataFrame, present: DataFrame) -> None:
-    """Raise once, with the number of missing sources and the first names, if any is missing."""
-    missing = missing_sources(uris, present)
+    """Raise once if any source is missing; the error names a table (column ``uri``) that holds every missing one."""
+    missing = pin(missing_sources(uris, present), "missing-sources")
     count = missing.count()
     if count:
-        names = [r.uri for r in missing.orderBy("uri").limit(100).collect()]
-        raise FileNotFoundError(f"{count} missing sources: " + ", ".join(names))
+        raise MissingSources(count, missing)
+
+
+class MissingSources(FileNotFoundError):
+    """``count`` sources are missing: the rows of ``table``."""
+
+    def __init__(self, count: int, table: DataFrame):
+        super().__init__(f"{count} missing sources, listed in {table.inputFiles()[0].rsplit('/', 1)[0]}")
+        self.count, self.table = count, table

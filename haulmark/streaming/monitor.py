@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from haulmark.operators.throttle import throttle_intervals
-from haulmark.session import new_folder
 
 
 def bandwidth_monitor(transfers: DataFrame, interval_ms: int, limit_mib_s: float, workers: int = 1,
@@ -16,10 +15,14 @@ def bandwidth_monitor(transfers: DataFrame, interval_ms: int, limit_mib_s: float
 
 
 def start_monitor(intervals: DataFrame, path: str) -> StreamingQuery:
-    """Append closed intervals to a parquet folder, working off what is available."""
+    """Append closed intervals to a parquet folder, working off what is available.
+
+    The stream's own state lies inside that folder (readers skip it), so a later start with the same path goes on where
+    the one before ended: every interval is written once.
+    """
     return (
         intervals.writeStream.format("parquet").outputMode("append")
         .option("path", path)
-        .option("checkpointLocation", new_folder(intervals.sparkSession, "monitor"))
+        .option("checkpointLocation", f"{path.rstrip('/')}/_monitor")
         .trigger(availableNow=True).start()
     )

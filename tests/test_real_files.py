@@ -15,11 +15,12 @@ from haulmark.operators.layout import assign_groups
 from haulmark.operators.listing import make_pairs, union_sources
 from haulmark.operators.sync import copy_action
 from haulmark.operators.transfer import CopyConf, copy_files
-from haulmark.plans import cleanup_dir, compare_file, compare_trees, copy_manifest, copy_tree, plan_sync
+from haulmark.plans import cleanup_dir, compare_file, compare_pairs, compare_trees, copy_manifest, copy_tree, plan_sync
 from haulmark.sources import logs
 from haulmark.sources.files import list_files
 from haulmark.sources.plan_store import read_plan, write_plan
 from haulmark.sources.tables import check_sources, read_uri_list
+from haulmark.streaming import bandwidth_monitor, start_monitor
 
 TREE = {
     "a": b"1", "a.b": b"22", "dir/one.txt": b"one", "dir/.hidden": b"h", "dir/_SUCCESS": b"",
@@ -117,7 +118,7 @@ def test_copy_then_compare(spark, tmp_path, tree):
     assert set(compare_trees(spark, tree, str(target)).select("status").distinct().collect()) == {("SAME",)}
 
     (target / "dir/one.txt").write_bytes(b"onf")
-    checked = statuses(compare_trees(spark, tree, str(target), checksum=True, groups=2))
+    checked = statuses(compare_trees(spark, tree, str(target), checksum=True, tasks=2))
     assert checked.pop("dir/one.txt") == "CHECKSUM_MISMATCH" and set(checked.values()) == {"SAME"}
 
     (target / "a").unlink()
@@ -253,17 +254,68 @@ def test_missing_sources_are_named_together(spark, tmp_path, tree):
     uris = tmp_path / "uris.txt"
     uris.write_text(f"{tree}/a\n{tree}/gone1\n{tree}/gone2\n{tree}/gone1\n")
     present = list_files(spark, tree).select(F.concat("base_dir", F.lit("/"), "entry_name").alias("uri"))
-    with pytest.raises(FileNotFoundError, match="2 missing sources: .*gone1, .*gone2"):
+    with pytest.raises(FileNotFoundError, match="2 missing sources, listed in ") as caught:
         check_sources(read_uri_list(spark, str(uris)), present)
+    assert {r.uri for r in caught.value.table.collect()} == {f"{tree}/gone1", f"{tree}/gone2"}
+    many = spark.range(500).selectExpr("concat('/none/', id) AS uri")
+    with pytest.raises(FileNotFoundError, match="500 missing") as caught:
+        check_sources(many, present)
+    assert caught.value.table.count() == 500
     check_sources(present, present)
 
 
-def test_compare_single_files(spark, tree):
-    assert statuses(compare_file(spark, f"{tree}/a", f"{tree}/a"), "src_file") == {f"{tree}/a": "MATCH"}
-    assert statuses(compare_file(spark, f"{tree}/a", f"{tree}/a.b"), "src_file") == {f"{tree}/a": "UNREADABLE"}
-    assert statuses(compare_file(spark, f"{tree}/a", f"{tree}/none"), "src_file") == {f"{tree}/a": "UNREADABLE"}
-    [alone] = compare_file(spark, f"{tree}/a").collect()
-    assert alone.status == "READABLE" and alone.src_md5 == b64(b"1")
+def test_compare_single_files(spark, tree, tmp_path):
+    (tmp_path / "none-in-it").write_bytes(b"")
+    (tmp_path / "empty-too").write_bytes(b"")
+    (tmp_path / "other").write_bytes(b"2")
+    empty, missing = f"{tmp_path}/none-in-it", f"{tree}/none"
+    expected = {
+        (f"{tree}/a", f"{tree}/a"): "MATCH", (f"{tree}/a", f"{tree}/a.b"): "SIZE_MISMATCH", (f"{tree}/a", missing): "MISSING",
+        (empty, f"{tree}/a"): "SIZE_MISMATCH", (empty, missing): "MISSING", (empty, f"{tmp_path}/empty-too"): "MATCH",
+        (missing, empty): "MISSING_SOURCE", (f"{tree}/a", f"{tmp_path}/other"): "MISMATCH", (f"{tree}/a", None): "READABLE",
+        (empty, None): "READABLE", (missing, None): "MISSING_SOURCE", (f"{tree}/a", "webhdfs://h/x"): "MISSING",
+    }
+    for (src, dst), status in expected.items():
+        assert [r.status for r in compare_file(spark, src, dst).collect()] == [status], (src, dst)
+
+
+def test_compare_by_ranges(spark, tmp_path):
+    data = bytes(range(256)) * 40
+    changed = data[:5000] + b"!" + data[5001:]
+    for name, content in (("big", data), ("same", data), ("changed", changed)):
+        (tmp_path / name).write_bytes(content)
+    pairs = spark.createDataFrame([(f"{tmp_path}/big", f"{tmp_path}/{n}") for n in ("same", "changed")],
+                                  "src_file string, dest_file string")
+    found = {os.path.basename(r.dest_file): (r.parts, r.bad_parts, r.status) for r in
+             compare_pairs(pairs, chunk_bytes=100).collect()}
+    assert found == {"same": (103, 0, "MATCH"), "changed": (103, 1, "MISMATCH")}
+
+
+def test_repeated_names_are_not_mixed(spark):
+    schema = "entry_name string, is_file boolean, file_size bigint, md5 string"
+    a, b, c = (b64(x) for x in (b"a", b"b", b"c"))
+    src = spark.createDataFrame([("x", True, 1, a), ("x", True, 1, b), ("y", True, 1, a), ("y", True, 1, a)], schema)
+    dst = spark.createDataFrame([("x", True, 1, c), ("y", True, 1, a)], schema)
+    assert statuses(diff.content_diff(src, dst)) == {"x": "DUPLICATE_NAME", "y": "SAME"}
+    sizes = spark.createDataFrame([("x", True, 1, a), ("x", True, 2, a)], schema)
+    assert statuses(diff.dir_diff(sizes, dst)) == {"x": "DUPLICATE_NAME", "y": "MISSING_AT_SRC"}
+
+
+def test_monitor_goes_on_where_it_ended(spark, tmp_path):
+    def day(n: int) -> None:
+        spark.range(0, 24 * 60).selectExpr(
+            f"timestamp_seconds(1700000000 + {n} * 86400 + id * 60) AS ts", "1048576 AS bytes",
+        ).write.mode("append").parquet(f"{tmp_path}/in")
+
+    counts = []
+    for n in range(3):
+        day(n)
+        stream = spark.readStream.schema("ts timestamp, bytes bigint").parquet(f"{tmp_path}/in")
+        start_monitor(bandwidth_monitor(stream, 3_600_000, 0.01), f"{tmp_path}/out").awaitTermination()
+        found = spark.read.parquet(f"{tmp_path}/out")
+        counts.append(found.count())
+        assert found.select("interval_start").distinct().count() == counts[-1]
+    assert counts[0] > 20 and counts[1] - counts[0] == counts[2] - counts[1] == 24
 
 
 def test_cleanup(spark, tmp_path):
@@ -319,6 +371,8 @@ def test_lost_part_is_noticed(spark):
     shifted = done.withColumn("end", F.expr("if(entry_name = 'z' and part_no = 3, `end` + 5, `end`)"))
     short = shifted.withColumn("end", F.expr("if(entry_name = 'z' and part_no = 4, `end` - 5, `end`)"))
     assert complete(short) == {"x": True, "y": True, "z": False}
+    claims = spark.createDataFrame([("x", 0, 0, 99), ("x", 0, 9900, 9999)], done.select("entry_name", "part_no", "begin", "end").schema)
+    assert complete(claims)["x"] is False
 
 
 def test_verification_rules(spark):

@@ -106,26 +106,45 @@ def pairs_of(spark, sizes: list[int], dirs: int = 0):
     return spark.createDataFrame(rows, "src_file string, dest_file string, is_file boolean, file_size bigint")
 
 
-def test_groups_beyond_the_exact_limit(spark):
+def test_groups_are_balanced(spark):
     rng = random.Random(5)
     sizes = [int(rng.paretovariate(1.1) * 1000) for _ in range(3000)]
     pairs = pairs_of(spark, sizes, dirs=50)
-    grouped = layout.assign_groups(pairs, 12, exact_limit=100, rows_per_bin=200)
-    summary = layout.group_summary(grouped).collect()
+    summary = layout.group_summary(layout.assign_groups(pairs, 12, rows_per_bin=200)).collect()
     assert sum(r.files for r in summary) == 3000 and sum(r.dirs for r in summary) == 50
-    assert grouped.select("src_file").distinct().count() == 3050
-    total = sum(r.weight for r in summary)
-    exact = layout.group_summary(layout.assign_groups(pairs, 12)).agg(F.max("weight")).first()[0]
-    assert max(r.weight for r in summary) <= exact + total / (12 * 20)
+    total, largest = sum(r.weight for r in summary), max(sizes) + layout.FILE_WEIGHT
+    assert max(r.weight for r in summary) <= max(largest, total / 12) + total / (12 * 20)
+    # The same rule however the light items are cut into bins.
+    plain = layout.assign_groups(pairs, 12).select("src_file", "group_id")
+    assert plain.exceptAll(layout.assign_groups(pairs, 12, rows_per_bin=90).select("src_file", "group_id")).count() == 0
+
+
+def test_groups_of_the_larger_table(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").selectExpr(
+        "concat('/s/', doc_id) AS src_file", "true AS is_file", "CAST(octet_length(text) AS bigint) AS file_size")
+    weights = [r.weight for r in layout.group_summary(layout.assign_groups(documents, 50)).collect()]
+    assert len(weights) == 50 and max(weights) <= 1.05 * sum(weights) / 50
 
 
 def test_groups_with_few_items(spark):
     assert layout.assign_groups(pairs_of(spark, []), 4).count() == 0
     assert sorted(r.group_id for r in layout.assign_groups(pairs_of(spark, [5, 3]), 4).collect()) == [0, 1]
-    heavy = layout.assign_groups(pairs_of(spark, [10**6] * 30), 40, exact_limit=3)
+    heavy = layout.assign_groups(pairs_of(spark, [10**6] * 30), 40)
     assert heavy.select("group_id").distinct().count() == 30
 
 
+def test_unknown_sizes_stay_in_the_plan(spark):
+    pairs = pairs_of(spark, list(range(50)) * 10)
+    unknown = pairs.withColumn("file_size", F.expr("nullif(file_size, 7)"))
+    grouped = layout.assign_groups(unknown, 3)
+    assert grouped.count() == 500 and grouped.filter("file_size IS NULL").count() == 10
+
+
+def test_task_count_follows_the_nodes(spark):
+    pairs = spark.createDataFrame([(10**15,)], "file_size bigint")
+    assert [layout.task_count(pairs, n).first().tasks for n in (1, 50)] == [20, 1000]
+
+
 def test_splits_are_contiguous_and_even(spark):
     rng = random.Random(8)
     sizes = [rng.randrange(1000) for _ in range(2000)] + [0, 0]
