@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.functions.digests import digest_words
-from haulmark.operators.skew import hot_keys, lookup, lookup_join, one_per_key
+from haulmark.operators.skew import hot_keys, lookup_join, one_per_key
 
 
 def _both_sides(src: DataFrame, dst: DataFrame, values: list[str]) -> DataFrame:
@@ -181,7 +181,7 @@ def verify_objects(listing: DataFrame, meta: DataFrame, digests: DataFrame, veri
     found = one_per_key(digests.select("entry_name", "md5", "bytes_read"), "entry_name")
     known = promised.join(found, "entry_name", "left")
     return (
-        lookup(listing.filter("is_file").select("entry_name", "file_size"), known, "entry_name", "left")
+        listing.filter("is_file").select("entry_name", "file_size").join(known, "entry_name", "left")
         .select("entry_name", "file_size", "expected_md5", "md5",
                 F.when(F.col("content_length").isNull(), "NO_METADATA").otherwise(status.otherwise("OK"))
                 .alias("status"))

@@ -88,6 +88,11 @@ def _membership(a: DataFrame, b: DataFrame) -> DataFrame:
     return tagged.groupBy(*key).agg(F.max("a").alias("in_a"), F.max("b").alias("in_b"))
 
 
+def presence(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Every entry once, with ``in_a`` and ``in_b``: one pass over both listings."""
+    return _membership(a, b)
+
+
 def only_in(a: DataFrame, b: DataFrame) -> DataFrame:
     """Entries of ``a`` that ``b`` does not have."""
     return _membership(a, b).filter("in_a and not in_b").select("entry_name", "is_file")

@@ -11,7 +11,7 @@ from haulmark.functions.paths import ancestors, parent
 from haulmark.operators.ordered import (
     ROWS_PER_BIN, bin_of, boundaries, literal_key, previous_row, row_position,
 )
-from haulmark.operators.skew import hot_keys, lookup, lookup_join, one_per_key
+from haulmark.operators.skew import hot_keys, lookup_join, one_per_key
 from haulmark.session import pin
 
 
@@ -33,7 +33,7 @@ def select_updates(src: DataFrame, dst: DataFrame) -> DataFrame:
 
     Same means equal length and, where both sides have a ``checksum``, equal checksums.
     """
-    joined = lookup(src.filter("is_file"), _target_side(dst), "entry_name", "left")
+    joined = src.filter("is_file").join(_target_side(dst), "entry_name", "left")
     missing = F.col("dst_size").isNull()
     return joined.filter(missing | ~_same_file(src)).select(
         *src.columns, F.when(missing, "MISSING").otherwise("DIFFERS").alias("reason")
@@ -44,7 +44,7 @@ def copy_action(src: DataFrame, dst: DataFrame, overwrite: bool = False, update:
     """Add ``action`` to every source entry: ``COPY``, ``OVERWRITE``, ``SKIP``, ``MKDIR`` or ``FAIL``."""
     if overwrite and update:
         raise ValueError("overwrite and update exclude each other")
-    joined = lookup(src, _target_side(dst), "entry_name", "left")
+    joined = src.join(_target_side(dst), "entry_name", "left")
     exists = F.col("dst_is_file").isNotNull()
     differs = ~F.coalesce(_same_file(src), F.lit(False))
     replace = F.lit(True) if overwrite else (differs if update else F.lit(False))
@@ -119,7 +119,7 @@ def attr_drift(src: DataFrame, dst: DataFrame, attrs: frozenset[str]) -> DataFra
         F.when(~F.col(c).eqNullSafe(F.col(f"dst_{c}")) & F.lit(c in watched), F.col(c)).alias(f"new_{c}")
         for c in _DRIFT.values()
     ]
-    return lookup(src, old, "entry_name", "inner").select("entry_name", *changes).filter(
+    return src.join(old, "entry_name").select("entry_name", *changes).filter(
         F.coalesce(*[F.col(f"new_{c}") for c in _DRIFT.values()]).isNotNull()
     )
 

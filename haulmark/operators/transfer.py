@@ -82,7 +82,8 @@ def _pour(sources: list[str], target: str | None) -> tuple[str, int]:
     return _b64(digest), count
 
 
-def _copy_once(sources: list[str], dest: str, size: int, expected: str | None, conf: CopyConf) -> tuple[str, str, int]:
+def _copy_once(sources: list[str], dest: str, size: int, expected: str | None, allow_size_change: bool,
+               conf: CopyConf) -> tuple[str, str, int]:
     """``(status, md5, bytes)``.  The target appears complete and checked or not at all."""
     if not dest:
         md5, count = _pour(sources, None)
@@ -95,7 +96,7 @@ def _copy_once(sources: list[str], dest: str, size: int, expected: str | None, c
     temp = f"{dest}._tmp_{uuid.uuid4().hex}"
     try:
         md5, count = _pour(sources, temp)
-        if count != size and not conf.allow_size_change:
+        if count != size and not allow_size_change:
             raise _SizeChanged(f"copied {count} of {size} bytes")
         if expected and md5 != expected:
             raise _Mismatch(f"read {md5}, expected {expected}")
@@ -123,7 +124,7 @@ def _copy_row(row, conf: CopyConf) -> tuple:
         try:
             fs.make_dir(row.dest_file)
             status = "MKDIR"
-        except OSError as e:
+        except (OSError, ValueError) as e:
             error = str(e)
     else:
         parts = int(row.parts)
@@ -135,7 +136,8 @@ def _copy_row(row, conf: CopyConf) -> tuple:
                 if exists and not is_file:
                     error = "target is a directory"
                     break
-                status, md5, count = _copy_once(sources, row.dest_file, size, expected, conf)
+                status, md5, count = _copy_once(sources, row.dest_file, size, expected,
+                                                conf.allow_size_change or bool(row.may_grow), conf)
                 error = None
                 break
             except FileNotFoundError as e:
@@ -149,9 +151,10 @@ def _copy_row(row, conf: CopyConf) -> tuple:
                 status, error = "SIZE_CHANGED", str(e)
             except _Mismatch as e:
                 status, error = "CHECKSUM_MISMATCH", str(e)
-            except OSError as e:
+            except (OSError, ValueError) as e:
+                # Also a path that no file system here can open.
                 status, error = "FAILED", str(e)
-        for part_no in range(parts):
+        for part_no in range(parts):  # only there if the ranges could be written
             fs.remove(_interim(row.dest_file, part_no))
     elapsed = int((time.monotonic() - begun) * 1000)
     return (row.src_file, row.dest_file, status, attempts, size, count, md5, elapsed, error)
@@ -185,7 +188,7 @@ def _fetch_range(row, conf: CopyConf) -> tuple:
                     count += len(block)
             if count == length:
                 return row.src_file, row.dest_file, True
-        except OSError:
+        except (OSError, ValueError):
             continue
     return row.src_file, row.dest_file, False
 
@@ -218,8 +221,8 @@ def _fetch_ranges(large: DataFrame, conf: CopyConf, tasks: int) -> DataFrame:
 def copy_files(plan: DataFrame, conf: CopyConf | None = None) -> DataFrame:
     """Run a plan of pairs now and return one RESULT row per pair.
 
-    ``plan`` is PAIR, optionally with ``group_id`` (a group is one task), ``action`` (from ``copy_action``) and
-    ``expected_md5``.  Targets are written under a name of their own, checked, then moved into place, so a task that
+    ``plan`` is PAIR, optionally with ``group_id`` (a group is one task), ``action`` (from ``copy_action``),
+    ``expected_md5`` and ``may_grow`` (the source may be a log that is still written).  Targets are written under a name of their own, checked, then moved into place, so a task that
     runs again does no harm.  The results are stored, so that looking at them does not copy again.
     """
     conf = conf or CopyConf()
@@ -232,7 +235,7 @@ def copy_files(plan: DataFrame, conf: CopyConf | None = None) -> DataFrame:
 
     rows = plan.select(
         "src_file", "dest_file", "is_file", "file_size", optional("action", "string", "COPY"),
-        optional("expected_md5", "string"), F.lit(0).alias("parts"),
+        optional("expected_md5", "string"), optional("may_grow", "boolean", False), F.lit(0).alias("parts"),
         *(["group_id"] if "group_id" in plan.columns else []),
     )
     tasks = conf.tasks or 4 * spark.sparkContext.defaultParallelism
@@ -286,12 +289,12 @@ def transfer_rate(result: DataFrame) -> DataFrame:
 def _deleter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         status, errors = [], []
-        for path in batch["path"]:
+        for path, is_file in zip(batch["path"], batch.pop("is_file")):
             try:
-                fs.remove(path)
+                (fs.remove if is_file else fs.remove_tree)(path)
                 status.append("DELETED")
                 errors.append(None)
-            except OSError as e:
+            except (OSError, ValueError) as e:
                 status.append("FAILED")
                 errors.append(str(e))
         yield batch.assign(status=status, error=errors)
@@ -300,11 +303,14 @@ def _deleter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def delete_files(candidates: DataFrame, dry_run: bool = True, tasks: int | None = None) -> DataFrame:
     """Delete the files of ``candidates`` (``path, file_size``); a dry run only reports the same rows.
 
-    A file that is already gone counts as deleted, so a task may run again.
+    With an ``is_file`` column, rows that are none are directories and go with all they hold.  What is already gone
+    counts as deleted, so a task may run again.
     """
-    files = candidates.select("path", "file_size")
+    is_file = F.col("is_file") if "is_file" in candidates.columns else F.lit(True)
+    files = candidates.select("path", "file_size", is_file.alias("is_file"))
     if dry_run:
-        return files.withColumn("status", F.lit("WOULD_DELETE")).withColumn("error", F.lit(None).cast("string"))
+        return files.drop("is_file").withColumn("status", F.lit("WOULD_DELETE")).withColumn(
+            "error", F.lit(None).cast("string"))
     tasks = tasks or 4 * candidates.sparkSession.sparkContext.defaultParallelism
     return pin(
         files.repartition(tasks, "path").mapInPandas(

@@ -3,9 +3,9 @@
 from haulmark.plans.cleanup import cleanup_dir, cleanup_uploads
 from haulmark.plans.compare import compare_file, compare_pairs, compare_trees
 from haulmark.plans.copying import copy_manifest, copy_pairs, copy_tree
-from haulmark.plans.sync import SyncPlan, plan_sync
+from haulmark.plans.sync import SyncPlan, SyncResult, plan_sync, run_sync
 
 __all__ = [
-    "SyncPlan", "cleanup_dir", "cleanup_uploads", "compare_file", "compare_pairs", "compare_trees", "copy_manifest", "copy_pairs",
-    "copy_tree", "plan_sync",
+    "SyncPlan", "SyncResult", "cleanup_dir", "cleanup_uploads", "compare_file", "compare_pairs", "compare_trees",
+    "copy_manifest", "copy_pairs", "copy_tree", "plan_sync", "run_sync",
 ]

@@ -2,26 +2,40 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from haulmark.operators.layout import assign_groups
 from haulmark.operators.listing import parents_of
 from haulmark.operators.sync import (
     attr_drift, budget_admit, copy_action, duplicate_dests, extraneous, select_updates,
 )
+from haulmark.operators.transfer import CopyConf, copy_files, delete_files
 
 _ATTRIBUTES = {"owner", "grp", "permission"}
 
 
 @dataclass(frozen=True)
 class SyncPlan:
-    """``todo``: PAIR with ``action``; ``delete``: topmost target entries; ``drift``: attribute changes, or None."""
+    """``todo``: PAIR with ``action``; ``delete``: topmost target entries; ``drift``: attribute changes, or None.
+
+    ``delete_files``: every target file that goes, those below a topmost directory included.
+    """
 
     todo: DataFrame
     delete: DataFrame | None
     drift: DataFrame | None
+    delete_files: DataFrame | None = None
+
+
+@dataclass(frozen=True)
+class SyncResult:
+    """``copied``: RESULT rows; ``deleted``: one row per file and per topmost directory, or None."""
+
+    copied: DataFrame
+    deleted: DataFrame | None
 
 
 def plan_sync(src: DataFrame, dst: DataFrame, dest_root: str, overwrite: bool = False, update: bool = False,
@@ -34,6 +48,9 @@ def plan_sync(src: DataFrame, dst: DataFrame, dest_root: str, overwrite: bool =
     """
     if overwrite and update:
         raise ValueError("overwrite and update exclude each other")
+    lacking = _ATTRIBUTES - (set(src.columns) & set(dst.columns)) if attrs is not None else set()
+    if lacking:
+        raise ValueError(f"both listings need the columns {sorted(lacking)} to compare attributes")
     if delete and not (overwrite or update):
         raise ValueError("delete needs overwrite or update")
     clashes = duplicate_dests(src.select(F.col("entry_name").alias("dest_file"),
@@ -53,11 +70,27 @@ def plan_sync(src: DataFrame, dst: DataFrame, dest_root: str, overwrite: bool =
         F.concat(F.lit(dest_root.rstrip("/") + "/"), "entry_name").alias("dest_file"),
         "is_file", "file_size", "action",
     )
-    gone = None
+    gone = files = None
     if delete:
         names = src.select("entry_name", "is_file").unionByName(parents_of(src))
-        gone = extraneous(names, dst)
-    drift = None
-    if attrs is not None and _ATTRIBUTES <= set(src.columns) & set(dst.columns):
-        drift = attr_drift(src, dst, attrs)
-    return SyncPlan(todo, gone, drift)
+        # The listing of the target may leave out directories that hold something.
+        gone = extraneous(names, dst.select("entry_name", "is_file").unionByName(parents_of(dst)))
+        files = dst.filter("is_file").select("entry_name", "file_size").join(src.select("entry_name"), "entry_name", "left_anti")
+    drift = attr_drift(src, dst, attrs) if attrs is not None else None
+    return SyncPlan(todo, gone, drift, files)
+
+
+def run_sync(plan: SyncPlan, dest_root: str, groups: int = 200, conf: CopyConf | None = None,
+             dry_run_deletes: bool = True) -> SyncResult:
+    """Carry a plan out: copy ``todo``, balanced over ``groups`` tasks, then delete.
+
+    Files go first, each a row of some task; what is left of the topmost directories is then empty and goes with them.
+    """
+    copied = copy_files(assign_groups(plan.todo, groups), replace(conf or CopyConf(), tasks=groups))
+    if plan.delete is None:
+        return SyncResult(copied, None)
+    path = F.concat(F.lit(dest_root.rstrip("/") + "/"), "entry_name").alias("path")
+    files = delete_files(plan.delete_files.select(path, "file_size"), dry_run_deletes)
+    dirs = delete_files(plan.delete.filter("not is_file").select(path, F.lit(0).cast("bigint").alias("file_size"), "is_file"),
+                        dry_run_deletes)
+    return SyncResult(copied, files.unionByName(dirs))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from haulmark.functions.paths import ancestors, parent
 from haulmark.operators import diff
-from haulmark.operators.listing import in_both, only_in, parents_of, totals_match
+from haulmark.operators.listing import parents_of, totals_match
+from haulmark.operators.listing import presence as listing_presence
 from haulmark.operators.sync import extraneous
 from haulmark.plans.compare import compare_pairs
 from haulmark.queries import fixtures as fx
@@ -55,12 +56,9 @@ SELECT entry_name, 'ONLY_SRC' AS presence FROM src WHERE entry_name NOT IN (SELE
 UNION ALL SELECT entry_name, 'ONLY_DST' FROM dst WHERE entry_name NOT IN (SELECT entry_name FROM src)
 UNION ALL SELECT entry_name, 'BOTH' FROM src WHERE entry_name IN (SELECT entry_name FROM dst)""")
 def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src, dst = fx.src_listing(spark, sf_dir), fx.dst_listing(spark, sf_dir)
-    found = [(only_in(src, dst), "ONLY_SRC"), (only_in(dst, src), "ONLY_DST"), (in_both(src, dst), "BOTH")]
-    first, *rest = [df.select("entry_name", F.lit(name).alias("presence")) for df, name in found]
-    for df in rest:
-        first = first.unionByName(df)
-    return first
+    found = listing_presence(fx.src_listing(spark, sf_dir), fx.dst_listing(spark, sf_dir))
+    where = F.when(~F.col("in_b"), "ONLY_SRC").when(~F.col("in_a"), "ONLY_DST").otherwise("BOTH")
+    return found.select("entry_name", where.alias("presence"))
 
 
 @query("totals_match", f"""WITH {fx.SRC}, {fx.DST}

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from haulmark.functions.attributes import parse_attrs
 from haulmark.operators import sync as ops
+from haulmark.operators.digest import file_md5
 from haulmark.operators.routing import route
+from haulmark.plans.sync import plan_sync, run_sync
 from haulmark.queries import fixtures as fx
 from haulmark.queries.base import query
+from haulmark.sources.files import list_files
 
 
 @query("select_updates", f"""WITH {fx.SRC}, {fx.DST}
@@ -139,3 +142,21 @@ def budget_admit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def budget_admit_both_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A byte limit and a file limit, as a sync may be given."""
     return _admitted(spark, sf_dir, 120, 400_000)
+
+
+@query("run_sync", f"""WITH {fx.SRC}, {fx.DST}
+SELECT entry_name, file_size, md5, 'THERE' AS state FROM src
+UNION ALL SELECT entry_name, file_size, NULL, 'DELETED' FROM dst WHERE entry_name NOT IN (SELECT entry_name FROM src)""")
+def run_sync_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Real trees: the target is made equal to the source, deletions included; what is there after, and what went."""
+    src = fx.written_tree(spark, sf_dir, "src", fx.src_content(spark, sf_dir))
+    dst = fx.written_tree(spark, sf_dir, "dst", fx.dst_content(spark, sf_dir))
+    plan = plan_sync(list_files(spark, src), list_files(spark, dst), dst, overwrite=True, delete=True)
+    result = run_sync(plan, dst, groups=8, dry_run_deletes=False)
+    there = list_files(spark, dst).filter("is_file").select(
+        F.concat(F.lit(dst + "/"), "entry_name").alias("path"), "file_size")
+    digested = file_md5(there).select("path", "file_size", F.when(F.col("file_size") >= 0, F.col("md5")).alias("md5"),
+                                      F.lit("THERE").alias("state"))
+    gone = result.deleted.filter("status = 'DELETED' AND file_size > 0").select(
+        "path", "file_size", F.lit(None).cast("string").alias("md5"), F.lit("DELETED").alias("state"))
+    return digested.unionByName(gone).select(F.expr(f"substring(path, {len(dst) + 2})").alias("entry_name"), "file_size", "md5", "state")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 from collections.abc import Iterator
 from contextlib import contextmanager
 from typing import BinaryIO, NamedTuple
@@ -39,8 +40,9 @@ def children(path: str) -> Iterator[Child]:
     if local is not None:
         with os.scandir(local) as entries:
             for e in entries:
+                # A link counts as a file, with the size of what reading it gives; links are not walked into.
                 is_file = not e.is_dir(follow_symlinks=False)
-                stat = e.stat(follow_symlinks=False)
+                stat = e.stat(follow_symlinks=e.is_symlink() and os.path.isfile(e.path))
                 yield Child(e.name, is_file, stat.st_size if is_file else 0, stat.st_mtime)
         return
     from pyarrow import fs
@@ -126,6 +128,23 @@ def remove(path: str) -> None:
         store.delete_file(inner)
 
 
+def remove_tree(path: str) -> None:
+    """Delete a file, or a directory with all it holds, if it is there."""
+    local = local_path(path)
+    if local is not None:
+        if os.path.isdir(local) and not os.path.islink(local):
+            shutil.rmtree(local)
+        else:
+            remove(path)
+        return
+    exists, is_file, _ = stat(path)
+    if exists and not is_file:
+        store, inner = _remote(path)
+        store.delete_dir(inner)
+    elif exists:
+        remove(path)
+
+
 def blocks(stream: BinaryIO, begin: int = 0, length: int | None = None) -> Iterator[bytes]:
     """Contents from ``begin`` on, in 1 MiB pieces."""
     if begin:

@@ -15,7 +15,7 @@ from haulmark.operators.layout import assign_groups
 from haulmark.operators.listing import make_pairs, union_sources
 from haulmark.operators.sync import copy_action
 from haulmark.operators.transfer import CopyConf, copy_files
-from haulmark.plans import cleanup_dir, compare_file, compare_pairs, compare_trees, copy_manifest, copy_tree, plan_sync
+from haulmark.plans import cleanup_dir, compare_file, compare_pairs, compare_trees, copy_manifest, copy_tree, plan_sync, run_sync
 from haulmark.sources import logs
 from haulmark.sources.files import list_files
 from haulmark.sources.plan_store import read_plan, write_plan
@@ -318,6 +318,36 @@ def test_monitor_goes_on_where_it_ended(spark, tmp_path):
     assert counts[0] > 20 and counts[1] - counts[0] == counts[2] - counts[1] == 24
 
 
+def test_sync_is_carried_out(spark, tmp_path, tree):
+    target = tmp_path / "target"
+    plant(target, {"a": b"9", "gone/x": b"1", "gone/deep/y": b"22", "a.b": b"22", "dir/old": b"o"}, ["gone/empty"])
+    plan = plan_sync(list_files(spark, tree), list_files(spark, str(target)), str(target), overwrite=True, delete=True)
+    assert {r.entry_name for r in plan.delete.collect()} == {"gone", "dir/old"}
+    dry = run_sync(plan, str(target), groups=3)
+    assert {r.status for r in dry.deleted.collect()} == {"WOULD_DELETE"} and (target / "gone" / "x").exists()
+    done = run_sync(plan, str(target), groups=3, dry_run_deletes=False)
+    assert {r.status for r in done.deleted.collect()} == {"DELETED"}
+    assert harvest(target) == TREE and not (target / "gone").exists()
+    with pytest.raises(ValueError, match="owner"):
+        plan_sync(list_files(spark, tree).drop("owner"), list_files(spark, tree), str(target), attrs=frozenset({"USER"}))
+
+
+def test_links_have_the_size_of_their_target(spark, tmp_path):
+    (tmp_path / "t" / "d").mkdir(parents=True)
+    (tmp_path / "t" / "data").write_bytes(b"x" * 24)
+    (tmp_path / "t" / "d" / "link").symlink_to(tmp_path / "t" / "data")
+    sizes = {r.entry_name: r.file_size for r in list_files(spark, f"{tmp_path}/t").filter("is_file").collect()}
+    assert sizes == {"data": 24, "d/link": 24}
+    copied = copy_tree(spark, f"{tmp_path}/t", f"{tmp_path}/u", groups=2)
+    assert {r.status for r in copied.collect()} == {"COPIED"}
+
+
+def test_unknown_file_systems_are_result_rows(spark, tmp_path):
+    pairs = spark.createDataFrame([("webhdfs://h/x", f"{tmp_path}/x", True, 3)],
+                                  "src_file string, dest_file string, is_file boolean, file_size bigint")
+    assert [r.status for r in copy_files(pairs, CopyConf(tries=1)).collect()] == ["FAILED"]
+
+
 def test_cleanup(spark, tmp_path):
     names = {"x.1412021673465": b"old!", "x.1712021673465": b"new", "x.1412021673465.tmp": b"t",
              "x.99999999999999999999": b"far", "sub/y.1000": b"old"}
