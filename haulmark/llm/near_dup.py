@@ -101,21 +101,15 @@ def _stored_sets(size: int):
     return run
 
 
-def _similar(percent: int):
-    @F.pandas_udf(T.BooleanType())
-    def similar(left, right):
-        out = []
-        for a, b in zip(left, right):
-            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
-                out.append(False)
-                continue
-            at = np.minimum(np.searchsorted(a, b), len(a) - 1)
-            both = int((a[at] == b).sum())
-            out.append(100 * both >= percent * (len(a) + len(b) - both))
-        return pd.Series(out, dtype=bool)
-
-    return similar
+@F.pandas_udf(T.LongType())
+def _shared(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Number of shingles that two stored sets have in common."""
+    out = []
+    for a, b in zip(left, right):
+        a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+        out.append(int((a[at] == b).sum()))
+    return pd.Series(out, dtype="int64")
 
 
 def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -154,15 +148,18 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
                   "id bigint, shingles binary"),
         "shingle-sets",
     )
-    similar = _similar(min_percent)
-
-    def confirmed(some: DataFrame) -> DataFrame:
+    def compared(some: DataFrame) -> DataFrame:
+        """Pairs (a, b) with ``both``, the number of shared shingles, and whether they are ``linked``."""
         left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
         right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
-        return some.join(right, "b").join(left, "a").filter(similar("left", "right")).select("a", "b")
+        sizes = (F.length("left") + F.length("right")) / F.lit(8)
+        counted = some.join(right, "b").join(left, "a").select("a", "b", _shared("left", "right").alias("both"), sizes.alias("n"))
+        return counted.select(
+            "a", "b", "both", (100 * F.col("both") >= min_percent * (F.col("n") - F.col("both"))).alias("linked"))
 
-    labels = merge_components(None, confirmed(pairs))
-    labels = _finish_buckets(in_bucket, pairs, sets, labels, confirmed, min_percent)
+    first_round = pin(compared(pairs), "compared")
+    labels = merge_components(None, first_round.filter("linked").select("a", "b"))
+    labels = _finish_buckets(in_bucket, classes, first_round, sets, labels, compared, min_percent)
 
     found = classes.select("s1", "s2", "rep")
     joined = signed.select("id", "n_shingles", "s1", "s2").join(
@@ -182,12 +179,13 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {"shingle": np.concatenate(sets), "id": np.repeat(batch["id"].to_numpy(), sizes), "n": np.repeat(sizes, sizes)}
 
 
-def _finish_buckets(in_bucket: DataFrame, tested: DataFrame, sets: DataFrame, labels: DataFrame | None, confirmed,
-                    percent: int) -> DataFrame | None:
+def _finish_buckets(in_bucket: DataFrame, classes: DataFrame, first_round: DataFrame, sets: DataFrame,
+                    labels: DataFrame | None, compared, percent: int) -> DataFrame | None:
     """Compare what shares a bucket but not yet a component, with members 2-8, 9-64, ... of each bucket.
 
-    Two sets share at most the shingles that each has in common with any set left; that bound, and the sizes, rule most
-    pairs out before they are made.
+    Of the shingles that two members share, some are among the bucket's first member's, at most as many as either shares
+    with that one, and some are not, at most as many as either has in common with any set left.  The sum of the two
+    bounds, with the sizes, rules most pairs out before they are made.  A pair is made in its first common band only.
     """
     def placed(df: DataFrame) -> DataFrame:
         with_label = df.withColumn("label", F.col("rep"))
@@ -200,7 +198,8 @@ def _finish_buckets(in_bucket: DataFrame, tested: DataFrame, sets: DataFrame, la
         ).filter("low < high AND n > 2").select("key")
         return df.join(keys, "key", "left_semi")
 
-    left = pin(divided(in_bucket).select("key", "rep"), "open-buckets")
+    left = pin(divided(in_bucket), "open-buckets")
+    tested = first_round.select("a", "b")
     shingles = map_arrow(sets.join(left.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), _shingles,
                          "shingle bigint, id bigint, n int")
     common = shingles.groupBy("shingle").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
@@ -209,17 +208,23 @@ def _finish_buckets(in_bucket: DataFrame, tested: DataFrame, sets: DataFrame, la
         .agg(F.max("n").alias("n"), F.count("*").alias("m")).filter(100 * F.col("m") >= percent * F.col("n"))
     )
     turn = Window.partitionBy("key").orderBy("rep")
-    open_members = pin(left.join(sizes, "rep").withColumn("turn", F.row_number().over(turn)), "open-buckets")
+    with_first = first_round.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), F.col("both").cast("bigint").alias("own"))
+    open_members = left.join(sizes, "rep").join(with_first, ["pivot", "rep"], "left").join(
+        classes.select("rep", "bands"), "rep").select(
+        "key", "rep", "bands", "n", F.coalesce("own", F.col("n").cast("bigint")).alias("own"), "m")
+    open_members = pin(open_members.withColumn("other", F.greatest(F.col("m") - F.col("own"), F.lit(0))).drop("m").withColumn(
+        "turn", F.row_number().over(turn)), "open-buckets")
     after, upto = 0, 8
     while True:
         here = pin(placed(open_members), "open-buckets")
         pivots = here.filter((F.col("turn") > after) & (F.col("turn") <= upto)).select(
-            "key", *[F.col(c).alias(f"p_{c}") for c in ("rep", "turn", "label", "n", "m")])
+            "key", *[F.col(c).alias(f"p_{c}") for c in ("rep", "turn", "label", "n", "own", "other", "bands")])
         if pivots.isEmpty():
             return labels
-        most = F.least("m", "p_m")
+        most = F.least("own", "p_own") + F.least("other", "p_other")
         possible = (F.col("turn") > F.col("p_turn")) & (F.col("label") != F.col("p_label")) & (
-            100 * most >= percent * (F.col("n") + F.col("p_n") - most))
+            100 * most >= percent * (F.col("n") + F.col("p_n") - most)) & (
+            F.element_at(F.array_intersect("bands", "p_bands"), 1) == F.col("key"))
         pairs = (
             here.withColumnRenamed("key", "_key").join(pivots, (F.col("_key") == F.col("key")) & possible)
             .select(F.least("p_rep", "rep").alias("a"), F.greatest("p_rep", "rep").alias("b")).distinct()
@@ -227,7 +232,7 @@ def _finish_buckets(in_bucket: DataFrame, tested: DataFrame, sets: DataFrame, la
         )
         pairs = pin(pairs, "pairs")
         if not pairs.isEmpty():
-            labels = merge_components(labels, confirmed(pairs))
+            labels = merge_components(labels, compared(pairs).filter("linked").select("a", "b"))
             tested = tested.unionByName(pairs)
             # Stored, or the plan would double with every round.
             open_members = pin(divided(open_members), "open-buckets")
