@@ -23,8 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only the two columns an operator works on, under fixed names: ``id`` (bigint) and ``text``."""
-    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    """Only the two columns an operator works on, under fixed names: ``id`` (bigint) and ``text``.
+
+    A column that already is as it should be is taken as it is: an alias that changes nothing would make two plans of
+    the same table differ, and their exchange would not be shared.
+    """
+    def fixed(column: str, name: str, kind: T.DataType) -> Column:
+        same = column == name and df.schema[column].dataType == kind
+        return F.col(column) if same else F.col(column).cast(kind).alias(name)
+
+    return df.select(fixed(id_col, "id", T.LongType()), fixed(text_col, "text", T.StringType()))
 
 
 def text_key(text: Column | str) -> Column:

@@ -31,6 +31,8 @@ from haulmark.llm.common import WordHashes, as_bytes, gram_hashes, id_and_text,
 from haulmark.session import pin
 
 WINDOW, ANCHOR = 50, 10
+#: Windows of one part of a passage.
+_PART = 100
 
 _STRETCH = "anchor bigint, stretch bigint, id bigint, start int, n int"
 _LOW = np.uint64(0xFFFFFFFF)
@@ -142,10 +144,13 @@ def _passages(window: int, anchor: int):
                         recurs[at[own[at] == span["anchor"]]] = True
                     edges = np.flatnonzero(np.diff(np.append(False, recurs).astype(np.int8)))
                     for begin, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
-                        out["owner"].append(key)
-                        out["begin"].append(begin)
-                        out["anchors"].append(np.unique(own[begin:end]))
-                        out["passage"].append(b" ".join(words[begin:end - 1 + window]).decode())
+                        # In parts that overlap by a window, so that a document gets no more than what is near its anchors.
+                        for at in range(begin, end, _PART):
+                            stop = min(at + _PART, end)
+                            out["owner"].append(key)
+                            out["begin"].append(at)
+                            out["anchors"].append(np.unique(own[at:stop]))
+                            out["passage"].append(b" ".join(words[at:stop - 1 + window]).decode())
                 if out:
                     yield out
 
