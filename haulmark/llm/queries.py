@@ -164,6 +164,7 @@ FROM p JOIN last USING (h)""")
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = warc.write_archives(table(spark, sf_dir, "pages"))
     index = warc.capture_index(runs)
-    records = warc.read_archives(runs).drop("payload", "page_id", "captured")
+    # Both sides grow with the pages, whatever the planner takes them for.
+    records = warc.read_archives(runs).drop("payload", "page_id", "captured").hint("merge")
     return index.join(records, ["file", "start"]).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
