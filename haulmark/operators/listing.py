@@ -25,17 +25,18 @@ def mark_first(listing: DataFrame, order_cols: Sequence[Column | str]) -> DataFr
     """Add ``kept``: this is the first row of its entry name along ``order_cols``.
 
     A name cannot be a file and a directory at once, so the name alone is the key (the slash of a directory does not
-    count).  A name on a large part of the rows is settled in slices first, made of the input partitions (which stay
-    the same when a task runs again); one winner per slice goes on.
+    count).  A name on a large part of the rows is settled in slices first; one winner per slice goes on.  Slices and
+    ties in the order are settled by a hash of the whole row, so every reading of the result agrees.
     """
-    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    row = F.xxhash64(*[F.col(c) for c in listing.columns])
+    order = [F.col(c) if isinstance(c, str) else c for c in order_cols] + [row]
     named = listing.withColumn("_name", F.regexp_replace("entry_name", "/$", ""))
     hot = hot_keys(named, "_name")
     if not hot:
         first = F.row_number().over(Window.partitionBy("_name").orderBy(*order)) == 1
         return named.withColumn("kept", first).drop("_name")
 
-    slice_id = F.when(F.col("_name").isin(hot), F.spark_partition_id() % _SLICES).otherwise(-1)
+    slice_id = F.when(F.col("_name").isin(hot), F.pmod(row, F.lit(_SLICES))).otherwise(-1)
     ranked = named.withColumn("_slice", slice_id).withColumn(
         "_first", F.row_number().over(Window.partitionBy("_name", "_slice").orderBy(*order)) == 1
     )

@@ -59,10 +59,14 @@ def copy_action(src: DataFrame, dst: DataFrame, overwrite: bool = False, update:
 
 
 def duplicate_dests(pairs: DataFrame) -> DataFrame:
-    """Targets that more than one source would write, with two of the sources by name."""
-    return pairs.groupBy("dest_file").agg(
-        F.count("*").alias("sources"), F.min("src_file").alias("first_source"), F.max("src_file").alias("last_source"),
-    ).filter("sources > 1")
+    """Targets that more than one source would write, with two of the sources by name.
+
+    Targets are counted by hash; names, which would be sorted, are looked at only for those that clash.
+    """
+    counted = pairs.groupBy("dest_file").agg(F.count("*").alias("sources")).filter("sources > 1")
+    named = pairs.select("dest_file", "src_file").join(counted.select("dest_file"), "dest_file", "left_semi")
+    names = named.groupBy("dest_file").agg(F.min("src_file").alias("first_source"), F.max("src_file").alias("last_source"))
+    return counted.join(names, "dest_file").select("dest_file", "sources", "first_source", "last_source")
 
 
 def prev_dest(pairs: DataFrame, **kwargs: int) -> DataFrame:
