@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Entries after which a worker's word table starts anew, so that its memory is bounded.
-WORD_TABLE_LIMIT = 400_000
+WORD_TABLE_LIMIT = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.llm.common import id_and_text, map_arrow, mix
+from haulmark.llm.common import id_and_text, map_arrow, mix, slices
 
 Q = 8
 MAX_EDIT_SHARE = 0.08
@@ -196,9 +196,9 @@ def find_items(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 def _search(rows: list[tuple[int, str]], q: int, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         index = GramIndex(rows, q, share)
-        for batch in batches:
+        for part in (part for batch in batches for part in slices(batch)):
             found = []
-            for doc, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist()):
+            for doc, text in zip(part["id"].to_pylist(), part["text"].to_pylist()):
                 found += [(doc, index.items[i], *place) for i, place in index.matches(normalise(text)).items()]
             ids, items, starts, stops, edits = zip(*found) if found else ((),) * 5
             yield {"id": ids, "item": items, "start": starts, "stop": stops, "edits": edits}

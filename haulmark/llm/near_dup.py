@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulmark.llm.common import WordHashes, as_bytes, gram_hashes, id_and_text, map_arrow, mix
+from haulmark.llm.common import WordHashes, as_bytes, gram_hashes, id_and_text, map_arrow, mix, slices
 from haulmark.llm.components import merge_components, relabel
 from haulmark.session import pin
 
@@ -78,7 +78,7 @@ def _portions(sets: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
 def _signatures(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch)):
             at = 0
             for sets in _portions(shingle_set(text, hashes, size) for text in as_bytes(batch["text"])):
                 some = [s for s in sets if len(s)]
@@ -94,9 +94,9 @@ def _signatures(size: int):
 def _stored_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         hashes = WordHashes()
-        for batch in batches:
-            yield {"id": batch["id"],
-                   "shingles": [shingle_set(text, hashes, size).tobytes() for text in as_bytes(batch["text"])]}
+        for part in (part for batch in batches for part in slices(batch)):
+            yield {"id": part["id"],
+                   "shingles": [shingle_set(text, hashes, size).tobytes() for text in as_bytes(part["text"])]}
 
     return run
 

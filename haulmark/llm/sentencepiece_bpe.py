@@ -22,7 +22,7 @@ from haulmark.llm.common import id_and_text, map_arrow, slices
 
 SPACE = "▁"
 #: Words in a worker's table after which it starts anew, so that its memory is bounded.
-WORDS_KEPT = 200_000
+WORDS_KEPT = 100_000
 _NONE = np.iinfo(np.int32).max
 
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.llm.common import WORD_TABLE_LIMIT, id_and_text, map_arrow
+from haulmark.llm.common import id_and_text, map_arrow, slices
 from haulmark.session import pin
 
 SAMPLE_LIMIT = 16_000
@@ -33,6 +33,9 @@ MIN_CHI2 = 12.0
 _STEMS = (3, 4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 _ODDS_LIMIT = 10.0
+#: Words in a task's table after which it starts anew, and bytes of text counted at a time: both bound the memory.
+_WORDS_KEPT = 100_000
+_COUNTED_AT_ONCE = 4_000_000
 
 
 class _WordFeatures(dict):
@@ -43,7 +46,7 @@ class _WordFeatures(dict):
         self.place = known
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= WORD_TABLE_LIMIT:
+        if len(self) >= _WORDS_KEPT:
             self.clear()
         names = [word] + [word[:n] + "*" for n in _STEMS if len(word) > n]
         hashes = [xxhash.xxh3_64_intdigest(n.encode()) >> 1 for n in names]
@@ -113,13 +116,11 @@ def _best_threshold(scores: np.ndarray, truth: np.ndarray) -> float:
 def _count_features(categories: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         words = _WordFeatures()
-        for batch in batches:
-            found = [words.of(t) for t in batch["text"].to_pylist()]
-            if not found:
-                continue
+        for part in (part for batch in batches for part in slices(batch, size=_COUNTED_AT_ONCE)):
+            found = [words.of(t) for t in part["text"].to_pylist()]
             names, where = np.unique(np.concatenate(found), return_inverse=True)
             spans = [len(f) for f in found]
-            labels = {c: np.repeat(batch[c].to_numpy().astype(float), spans) for c in categories}
+            labels = {c: np.repeat(part[c].to_numpy().astype(float), spans) for c in categories}
             yield {"feature": names, "n": np.bincount(where, minlength=len(names)),
                    **{c: np.bincount(where, labels[c], len(names)).astype(np.int64) for c in categories}}
 
@@ -151,36 +152,40 @@ def fit_chain(df: DataFrame, labels: DataFrame, categories: Sequence[str] = ("qu
         empty = tuple(np.zeros(1) for _ in categories)
         return ChainModel(tuple(categories), (), empty, tuple(np.zeros(c) for c in range(len(categories))),
                           (-_ODDS_LIMIT,) * len(categories), 1.0)
-    chosen: set[int] = set()
+    chosen: list[set[int]] = []
     for c in categories:
         expected = F.col("n") * (totals[c] / totals["n"])
         spread = expected * (1 - totals[c] / totals["n"]) + 1e-9
         telling = counts.withColumn("chi2", (F.col(c) - expected) ** 2 / spread).filter(F.col("chi2") >= MIN_CHI2)
         top = telling.orderBy(F.col("chi2").desc(), "feature").limit(features).select("feature")
-        chosen.update(row[0] for row in top.collect())
-    names = tuple(sorted(chosen))
+        chosen.append({row[0] for row in top.collect()})
+    names = tuple(sorted(set().union(*chosen)))
+    own = [np.array([name in some for name in names], bool) for some in chosen]
 
     place = {name: i for i, name in enumerate(names)}
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         words = _WordFeatures(place)
-        for batch in batches:
-            yield {"id": batch["id"], "found": [words.of(t) for t in batch["text"].to_pylist()],
-                   **{c: batch[c] for c in categories}}
+        for part in (part for batch in batches for part in slices(batch)):
+            yield {"id": part["id"], "found": [words.of(t) for t in part["text"].to_pylist()],
+                   **{c: part[c] for c in categories}}
 
     rows = map_arrow(texts, present, "id bigint, found array<bigint>, " + ", ".join(f"{c} int" for c in categories)).collect()
     rows.sort(key=lambda row: (row["id"], row["found"]))
-    return _fit_rows(rows, tuple(categories), names)
+    return _fit_rows(rows, tuple(categories), names, own)
 
 
-def _fit_rows(rows: list, categories: tuple[str, ...], names: tuple[int, ...]) -> ChainModel:
+def _fit_rows(rows: list, categories: tuple[str, ...], names: tuple[int, ...], own: list[np.ndarray]) -> ChainModel:
+    """Fit each category on its own features (``own``: which of ``names`` those are) and the earlier log-odds."""
     count, width = len(rows), max(1, len(names))
     fold = np.array([xxhash.xxh3_64_intdigest(str(row["id"]).encode()) % FOLDS for row in rows])
-    at = np.repeat(np.arange(count), [len(row["found"]) for row in rows])
-    columns = np.array([f for row in rows for f in row["found"]], np.int64)
+    every_row = np.repeat(np.arange(count), [len(row["found"]) for row in rows])
+    every_column = np.array([f for row in rows for f in row["found"]], np.int64)
     unseen = np.zeros((count, 0))
     weights, earlier, biases, threshold = [], [], [], 1.0
-    for c in categories:
+    for c, allowed in zip(categories, own):
+        picked = allowed[every_column] if len(every_column) else np.zeros(0, bool)
+        at, columns = every_row[picked], every_column[picked]
         target = np.array([row[c] for row in rows], float)
         odds = np.zeros(count)
         for out in range(FOLDS):
@@ -216,11 +221,9 @@ def score(df: DataFrame, model: ChainModel, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         words = _WordFeatures(place)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            p = model.probabilities([words.of(t) for t in batch["text"].to_pylist()])
-            yield {"id": batch["id"], **{c: p[:, i] for i, c in enumerate(columns)}, "rejected": p[:, -1] > model.threshold}
+        for part in (part for batch in batches for part in slices(batch)):
+            p = model.probabilities([words.of(t) for t in part["text"].to_pylist()])
+            yield {"id": part["id"], **{c: p[:, i] for i, c in enumerate(columns)}, "rejected": p[:, -1] > model.threshold}
 
     schema = ", ".join(["id bigint", *[f"{c} double" for c in columns], "rejected boolean"])
     return map_arrow(id_and_text(df, id_col, text_col), run, schema)
