@@ -8,11 +8,11 @@ A passage repeats if a window of ``WINDOW`` consecutive words of it occurs in se
 2. *Confirm.*  All windows of one anchor in a document are one stretch.  Equal stretches are counted as one; only where
    an anchor has different stretches are their windows compared one by one.  Each recurring window belongs to the
    smallest document that holds it; consecutive ones of a document are a recurring passage.
-3. *Locate.*  A document gets the passages that share an anchor with it.  Tasks compile the anchors of the passages of a
-   slice of documents into an Aho-Corasick automaton, stream the slice through it, and extend every hit along its
-   diagonal, word by word: what agrees over a whole window is removed.
+3. *Locate.*  Documents are dealt into small shards by a hash of their id.  A shard gets, once each, the passages that
+   share an anchor with one of its documents, compiles their anchors into an Aho-Corasick automaton, streams its documents
+   through it, and extends every hit along its diagonal, word by word: what agrees over a whole window is removed.
 
-All counting is by hash aggregation with map-side combination; no group is collected, and texts are moved once, by id.
+All counting is by hash aggregation with map-side combination; no group is collected, and texts are moved twice.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.llm.common import WordHashes, as_bytes, gram_hashes, id_and_text, map_arrow, mix, slices
@@ -33,6 +33,8 @@ from haulmark.session import pin
 WINDOW, ANCHOR = 50, 10
 #: Windows of one part of a passage.
 _PART = 100
+#: Documents of one shard, on average.
+SHARD_DOCUMENTS = 1_000
 
 _STRETCH = "anchor bigint, stretch bigint, id bigint, start int, n int"
 _LOW = np.uint64(0xFFFFFFFF)
@@ -164,12 +166,14 @@ class PhraseAutomaton:
         self.window = window
         self.number: dict[bytes, int] = {}
         self.owners = [owner for owner, _ in passages]
-        self.words = []
+        self.words, self.numbers = [], []
+        self.half = (window - anchor + 1) // 2
         hashes = WordHashes()
         seeds = defaultdict(list)
         for i, (_, text) in enumerate(passages):
             words = text.split()
             ids = [self.number.setdefault(w, len(self.number) + 1) for w in words]
+            self.numbers.append(tuple(ids))
             self.words.append(np.array(ids, np.int64))
             for at in Stretches(hashes.of(words), window, anchor).place.tolist():
                 seeds[tuple(ids[at:at + anchor])].append((i, at))
@@ -192,6 +196,12 @@ class PhraseAutomaton:
                 shift = end - length + 1 - at
                 if self.owners[passage] >= doc or (passage, shift) in done:
                     continue
+                # A window around the anchor has half of its other words on one side.
+                known, half, after = self.numbers[passage], self.half, at + length
+                if known[after:after + half] != numbers[end + 1:end + 1 + half] or len(known) < after + half:
+                    left = max(0, at - half)
+                    if at < half or known[left:at] != numbers[max(0, left + shift):at + shift]:
+                        continue
                 done.add((passage, shift))
                 low, high = max(0, shift), min(len(text), shift + len(self.words[passage]))
                 same = np.concatenate([[False], text[low:high] == self.words[passage][low - shift:high - shift], [False]])
@@ -203,22 +213,30 @@ class PhraseAutomaton:
 
 
 def _remove(window: int, anchor: int):
+    """Rows by shard, its passages before its documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            for part in slices(batch):
-                phrases = part["phrases"].to_pylist()
-                known = sorted({(p["owner"], p["passage"].encode()) for row in phrases if row for p in row})
-                automaton = PhraseAutomaton(known, window, anchor) if known else None
-                out = defaultdict(list)
-                for key, text, own in zip(part["id"].to_pylist(), as_bytes(part["text"]), phrases):
-                    words = text.split()
-                    covered = automaton.covered(key, words) if own else np.zeros(len(words), bool)
-                    turns = np.flatnonzero(np.diff(np.concatenate([[0], covered.view(np.int8), [0]])))
-                    out["id"].append(key)
-                    out["n_words"].append(len(words))
-                    out["n_removed"].append(int(covered.sum()))
-                    out["removed"].append([{"start": a, "stop": b} for a, b in turns.reshape(-1, 2).tolist()])
-                    out["kept"].append(b" ".join([w for w, gone in zip(words, covered.tolist()) if not gone]).decode())
+        shard, passages, automaton = None, [], None
+        for part in (part for batch in batches for part in slices(batch)):
+            out = defaultdict(list)
+            for place, is_document, key, text in zip(
+                    part["shard"].to_pylist(), part["is_document"].to_pylist(), part["id"].to_pylist(), as_bytes(part["text"])):
+                if place != shard:
+                    shard, passages, automaton = place, [], None
+                if not is_document:
+                    passages.append((key, text))
+                    continue
+                if automaton is None:
+                    automaton = PhraseAutomaton(passages, window, anchor)
+                    passages = []
+                words = text.split()
+                covered = automaton.covered(key, words) if key is not None else np.zeros(len(words), bool)
+                turns = np.flatnonzero(np.diff(np.concatenate([[0], covered.view(np.int8), [0]])))
+                out["id"].append(key)
+                out["n_words"].append(len(words))
+                out["n_removed"].append(int(covered.sum()))
+                out["removed"].append([{"start": a, "stop": b} for a, b in turns.reshape(-1, 2).tolist()])
+                out["kept"].append(b" ".join([w for w, gone in zip(words, covered.tolist()) if not gone]).decode())
+            if out:
                 yield out
 
     return run
@@ -238,8 +256,12 @@ def remove_repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: st
     """
     rows = id_and_text(df, id_col, text_col)
     named = rows.filter("id IS NOT NULL")
-    # One exchange of the texts, by id, serves all three joins below.
+    # One exchange of the texts, by id, serves both joins with what their documents have to look at.
     by_id = named.repartition("id")
+    shards = max(1, rows.count() // SHARD_DOCUMENTS)
+
+    def shard(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(shards)).cast("int")
 
     stretches = map_arrow(named, _find(window, anchor), _STRETCH)
     common = (
@@ -268,13 +290,12 @@ def remove_repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: st
                          "owner bigint, begin int, anchors array<bigint>, passage string")
     routes = (
         passages.select("owner", "begin", F.explode("anchors").alias("anchor")).distinct()
-        .join(shared.select("anchor", "id").distinct(), "anchor").filter("owner < id").select("id", "owner", "begin").distinct()
-    )
-    phrases = (
-        routes.join(passages.select("owner", "begin", "passage"), ["owner", "begin"])
-        .groupBy("id").agg(F.collect_set(F.struct("owner", "passage")).alias("phrases"))
+        .join(shared.select("anchor", F.col("id"), shard("id").alias("shard")), "anchor").filter("owner < id")
+        .select("shard", "owner", "begin").distinct()
     )
-    joined = by_id.join(phrases.hint("shuffle_hash"), "id", "left")
-    nobody = rows.filter("id IS NULL").withColumn("phrases", F.lit(None).cast(phrases.schema["phrases"].dataType))
-    return map_arrow(joined.unionByName(nobody), _remove(window, anchor), (
+    phrases = routes.join(passages.select("owner", "begin", "passage"), ["owner", "begin"]).select(
+        "shard", F.lit(False).alias("is_document"), F.col("owner").alias("id"), F.col("passage").alias("text"))
+    documents = rows.select(shard("id").alias("shard"), F.lit(True).alias("is_document"), "id", "text")
+    streamed = phrases.unionByName(documents).repartition("shard").sortWithinPartitions("shard", "is_document")
+    return map_arrow(streamed, _remove(window, anchor), (
         "id bigint, n_words bigint, n_removed bigint, removed array<struct<start:bigint,stop:bigint>>, kept string"))
