@@ -31,8 +31,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item occurs."""
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Documents in which no benchmark item occurs, nor a long part of one: line dedup may have taken lines out of it."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), part_chars=decontaminate.PART_CHARS)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

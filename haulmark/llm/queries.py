@@ -120,7 +120,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_decontamination")
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                     part_chars=decontaminate.PART_CHARS)
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.col("start").alias("start_char"),
                         F.col("stop").alias("end_char"), "edits")
 

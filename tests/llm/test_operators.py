@@ -11,6 +11,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import corpus_pipeline
 from haulmark.llm import (
     components, decontaminate, fingerprints, html_text, line_dedup, near_dup, sentencepiece_bpe, substring_dedup,
     token_counts, toxicity, warc,
@@ -301,6 +302,56 @@ def test_items_with_edits(spark):
     assert {r.doc_id for r in kept.collect()} == {k for k, _ in rows if k is None or k not in {i for i, _ in got}}
 
 
+def least_part(text: str, item: str, size: int) -> int:
+    """Edits of the window of the item that fits best anywhere in the text, the plain way."""
+    best = size
+    for begin in range(len(item) - size + 1):
+        row = [0] * (len(text) + 1)
+        for i, x in enumerate(item[begin:begin + size], 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(text, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        best = min(best, *row)
+    return best
+
+
+def test_parts_of_items(spark):
+    size, budget = 40, decontaminate.edit_budget(40, decontaminate.MAX_EDIT_SHARE)
+    items = [(i, " ".join(words(14, 4100 + i))) for i in range(3)] + [(9, " ".join(words(3, 4200)))]
+    rows = []
+    for i in range(36):
+        text = items[i % 3][1]
+        begin = random.Random(i).randrange(len(text) - 30)
+        part = list(text[begin:begin + 30 + i])
+        for place in random.Random(i).sample(range(3, len(part) - 3), i % 6):
+            part[place] = "" if place % 2 else "#"
+        rows.append((i, " ".join(words(4, i)) + " " + "".join(part) + " " + " ".join(words(4, i + 1))))
+    # At either end of the text there is nothing beside the part.
+    rows += [(100, items[0][1][:50]), (101, items[1][1][-50:]), (102, items[3][1][:-4]), (103, items[2][1])]
+    found = decontaminate.find_items(frame(spark, rows), spark.createDataFrame(items, "item_id bigint, text string"),
+                                     part_chars=size).collect()
+    texts, plain = dict(rows), dict(items)
+    want = {(k, i) for k, t in rows for i, item in items if len(item) > size and least_part(t, item, size) <= budget}
+    assert {(r.id, r.item) for r in found if len(plain[r.item]) > size} == want
+    assert {(100, 0), (101, 1), (103, 2)} < want and any(k % 6 > 2 for k, _ in want) and len(want) < 36
+    for r in found:
+        assert distance(texts[r.id][r.start:r.stop], plain[r.item]) == r.edits
+    assert {r.id: (r.start, r.stop, r.edits) for r in found if r.id > 99} == {
+        100: (0, 50, len(items[0][1]) - 50), 101: (0, 50, len(items[1][1]) - 50), 103: (0, len(items[2][1]), 0)}
+
+
+def test_item_that_lost_a_line_to_line_dedup(spark, tmp_path):
+    first, lost, last = (" ".join(words(n, 4300 + n)) for n in (22, 12, 25))
+    spark.createDataFrame([(1, f"{first}\n{lost}\n{last}")], "item_id bigint, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet"))
+    docs = frame(spark, [
+        (1, lost + "\n" + " ".join(words(60, 71))), (2, " ".join(words(50, 72)) + f"\n{first}\n{lost}\n{last}"),
+        (3, " ".join(words(50, 73)))])
+    deduped = corpus_pipeline.drop_lines(spark, docs, str(tmp_path))
+    assert lost not in {r.doc_id: r.text for r in deduped.collect()}[2]
+    assert {r.doc_id for r in corpus_pipeline.drop_benchmark(spark, deduped, str(tmp_path)).collect()} == {1, 3}
+
+
 def distance(a: str, b: str) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

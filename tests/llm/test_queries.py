@@ -168,6 +168,17 @@ def test_pipeline_equals_plain_version(spark, documents, duck):
     assert sorted((r.doc_id, r.n_tokens, r.ids, r.decoded) for r in rows) == plain_pipeline(spark, documents, duck)
 
 
+def test_pipeline_drops_parts_that_line_dedup_left(spark, documents, duck):
+    """Beside the plain version, which looks for whole items only: what else is dropped holds 100 characters of one."""
+    plain = {d: text for d, _, _, text in plain_pipeline(spark, documents, duck)}
+    items = [re.sub(r"\s", " ", t.lower()) for (t,) in duck.execute("SELECT text FROM benchmark").fetchall()]
+    runs = {i[at:at + 100] for i in items for at in range(len(i) - 99)}
+    texts = {d: re.sub(r"\s", " ", t.lower()) for d, t in plain.items()}
+    partial = {d for d, t in texts.items() if any(t[at:at + 100] in runs for at in range(len(t) - 99))}
+    assert partial
+    assert {r.doc_id for r in corpus_pipeline.run(spark, SF).collect()} == plain.keys() - partial
+
+
 def test_stages_keep_the_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 60")
     assert [name for name, _ in corpus_pipeline.STAGES] == [
