@@ -194,7 +194,9 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
 
 def read_archives(index: DataFrame) -> DataFrame:
     """All records (``RECORD``) of the archives that an index names; each archive is read by one task, as a stream."""
-    files = index.select("file").distinct()
+    # A fixed number of tasks: to adaptive execution a few paths are one partition, whatever the archives hold.
+    tasks = 4 * index.sparkSession.sparkContext.defaultParallelism
+    files = index.select("file").distinct().repartition(tasks, "file")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:

@@ -10,6 +10,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from haulmark.llm import (
@@ -472,6 +473,16 @@ def test_best_run(scores):
 # --- all -----------------------------------------------------------------------------------------------------------
 
 
+def test_archives_are_read_by_many_tasks(spark, tmp_path):
+    paths = [str(tmp_path / f"{i}.warc.gz") for i in range(24)]
+    for i, path in enumerate(paths):
+        with open(path, "wb") as out:
+            out.write(warc.record(i, "http://a.org/", 0, b"page", None))
+    records = warc.read_archives(spark.createDataFrame([(p,) for p in paths] * 2, "file string"))
+    tasks = {r.page_id: r.task for r in records.select("page_id", F.spark_partition_id().alias("task")).collect()}
+    assert records.count() == len(tasks) == 24 and len(set(tasks.values())) > 8
+
+
 def test_empty_tables(spark):
     docs, labels = frame(spark, []), spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     bench, pages = spark.createDataFrame([], "item_id bigint, text string"), spark.createDataFrame([], "page_id bigint, url string, html string")
