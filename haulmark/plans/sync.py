@@ -32,7 +32,7 @@ class SyncPlan:
 
 @dataclass(frozen=True)
 class SyncResult:
-    """``copied``: RESULT rows; ``deleted``: one row per file and per topmost directory, or None."""
+    """``copied``: RESULT rows; ``deleted``: one row per file and per topmost directory, told apart by ``is_file``, or None."""
 
     copied: DataFrame
     deleted: DataFrame | None
@@ -93,4 +93,6 @@ def run_sync(plan: SyncPlan, dest_root: str, groups: int = 200, conf: CopyConf |
     files = delete_files(plan.delete_files.select(path, "file_size"), dry_run_deletes)
     dirs = delete_files(plan.delete.filter("not is_file").select(path, F.lit(0).cast("bigint").alias("file_size"), "is_file"),
                         dry_run_deletes)
-    return SyncResult(copied, files.unionByName(dirs))
+    # A file may be empty, so sizes do not tell the two apart.
+    deleted = files.withColumn("is_file", F.lit(True)).unionByName(dirs.withColumn("is_file", F.lit(False)))
+    return SyncResult(copied, deleted)

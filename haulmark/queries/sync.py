@@ -157,6 +157,6 @@ def run_sync_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(dst + "/"), "entry_name").alias("path"), "file_size")
     digested = file_md5(there).select("path", "file_size", F.when(F.col("file_size") >= 0, F.col("md5")).alias("md5"),
                                       F.lit("THERE").alias("state"))
-    gone = result.deleted.filter("status = 'DELETED' AND file_size > 0").select(
+    gone = result.deleted.filter("status = 'DELETED' AND is_file").select(
         "path", "file_size", F.lit(None).cast("string").alias("md5"), F.lit("DELETED").alias("state"))
     return digested.unionByName(gone).select(F.expr(f"substring(path, {len(dst) + 2})").alias("entry_name"), "file_size", "md5", "state")

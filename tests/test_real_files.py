@@ -16,6 +16,7 @@ from haulmark.operators.listing import make_pairs, union_sources
 from haulmark.operators.sync import copy_action
 from haulmark.operators.transfer import CopyConf, copy_files
 from haulmark.plans import cleanup_dir, compare_file, compare_pairs, compare_trees, copy_manifest, copy_tree, plan_sync, run_sync
+from haulmark.queries.sync import run_sync_query
 from haulmark.sources import logs
 from haulmark.sources.files import list_files
 from haulmark.sources.plan_store import read_plan, write_plan
@@ -318,6 +319,17 @@ def test_monitor_goes_on_where_it_ended(spark, tmp_path):
     assert counts[0] > 20 and counts[1] - counts[0] == counts[2] - counts[1] == 24
 
 
+def test_sync_reports_deleted_empty_files(spark, tmp_path):
+    """Beside ``.extra`` files of some bytes, the target alone holds an empty one."""
+    rows = [(1, "en", "web", "one"), (17, "en", "web", "new"), (19, "de", "web", ""), (38, "en", "books", "more")]
+    spark.createDataFrame(rows, "doc_id bigint, lang string, source string, text string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    found = run_sync_query(spark, str(tmp_path)).collect()
+    assert sorted((r.entry_name, r.file_size) for r in found if r.state == "DELETED") == [
+        ("de/web/doc19.txt.extra", 0), ("en/books/doc38.txt.extra", 4)]
+    assert sorted(r.file_size for r in found if r.state == "THERE") == [0, 3, 3, 4]
+
+
 def test_sync_is_carried_out(spark, tmp_path, tree):
     target = tmp_path / "target"
     plant(target, {"a": b"9", "gone/x": b"1", "gone/deep/y": b"22", "a.b": b"22", "dir/old": b"o"}, ["gone/empty"])
