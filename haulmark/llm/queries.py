@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulmark.llm import (
-    decontaminate, fingerprints, html_text, line_dedup, near_dup, sentencepiece_bpe, substring_dedup,
-    token_counts, toxicity, warc,
+    decontaminate, filter_audit, fingerprints, html_text, line_dedup, near_dup, sentencepiece_bpe, substring_dedup,
+    token_counts, token_files, toxicity, vector_codes, warc,
 )
 from haulmark.llm.common import table
 from haulmark.queries.base import Query
@@ -169,3 +169,92 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read_archives(runs).drop("payload", "page_id", "captured").hint("merge")
     return index.join(records, ["file", "start"]).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def byte_model() -> str:
+    """Path of the public byte-level BPE model, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op11_token_files")
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write_token_files(table(spark, sf_dir, "documents"), byte_model())
+    return token_files.read_token_files(files, ids=False).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+@query("op12_filter_audit", r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+least_of AS (SELECT t, min(doc_id) AS least FROM docs GROUP BY t),
+marks AS (SELECT doc_id, max(coalesce(quality = 1, false)::INT) AS good, max(coalesce(toxic = 1, false)::INT) AS toxic
+          FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+         + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t))::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > least, false)::INT AS mask
+  FROM docs JOIN least_of USING (t) LEFT JOIN marks USING (doc_id)),
+counts AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY ALL),
+steps(filter_order, step, bit, before) AS (
+  SELECT l, 1, 1 << (ascii(l) - 65), 0 FROM (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l)
+  UNION ALL
+  SELECT filter_order || l, step + 1, 1 << (ascii(l) - 65), before | bit
+  FROM steps, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) WHERE NOT contains(filter_order, l)),
+orders AS (SELECT o.filter_order, s.step, s.bit, s.before FROM steps o JOIN steps s ON starts_with(o.filter_order, s.filter_order)
+           WHERE length(o.filter_order) = 5),
+hits AS (SELECT part, filter_order, step, mask = bit AS only_this, (mask & bit) <> 0 AS fails, (mask & before) <> 0 AS gone,
+                n, good, toxic, bit_count(mask) AS k FROM counts, orders)
+SELECT part, filter_order, step::INT AS step,
+       coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept,
+       coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
+       coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
+       coalesce(sum(n) FILTER (only_this), 0)::BIGINT AS unique_fails,
+       coalesce(sum(good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost,
+       coalesce(sum(toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost,
+       coalesce(sum(n * 120 // greatest(k, 1)) FILTER (fails), 0)::BIGINT AS shapley
+FROM hits GROUP BY part, filter_order, step""")
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _round_sql(i: int) -> str:
+    """One round of assignment: squared distances, the nearest entry, and the entries it moves to."""
+    return f"""
+a{i} AS MATERIALIZED (
+  SELECT vec_id, j, min(d * 64 + e) AS best FROM (
+    SELECT vec_id, p.j, e, list_sum(list_transform(list_zip(a, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM parts p JOIN c{i} ON p.j = c{i}.j) GROUP BY vec_id, j)"""
+
+
+def _moved_sql(i: int) -> str:
+    return f"""
+m{i} AS (SELECT j, e, k, sum(x) AS s, count(*) AS n FROM (
+    SELECT a{i}.j, best % 64 AS e, unnest(a) AS x, generate_subscripts(a, 1) AS k FROM a{i} JOIN parts p ON p.vec_id = a{i}.vec_id AND p.j = a{i}.j)
+  GROUP BY ALL),
+c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.j, c{i}.e, coalesce(moved, c) AS c FROM c{i} LEFT JOIN (
+    SELECT j, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY k) AS moved FROM m{i} GROUP BY j, e) m ON m.j = c{i}.j AND m.e = c{i}.e)"""
+
+
+@query("op13_vector_codes", f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, j, v[j * w + 1:(j + 1) * w] AS a FROM (SELECT vec_id, v, len(v) // 16 AS w, unnest(range(16)) AS j FROM kept)),
+c0 AS MATERIALIZED (
+  SELECT j, e, a AS c FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept
+                                       ORDER BY vec_id LIMIT 64) USING (vec_id)),
+{_round_sql(0)},{_moved_sql(0)},{_round_sql(1)},{_moved_sql(1)},{_round_sql(2)},
+coded AS (SELECT vec_id, string_agg(printf('%02x', best % 64), '' ORDER BY j) AS code, sum(best // 64)::BIGINT AS error
+          FROM a2 GROUP BY vec_id),
+book AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY j, e, k)) AS h
+         FROM (SELECT j, e, unnest(c) AS x, generate_subscripts(c, 1) AS k FROM c2))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, h AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id), book""")
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compress_vectors(table(spark, sf_dir, "embeddings"))
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")

@@ -36,7 +36,7 @@ def documents(duck):
 
 def test_names():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
 
 
