@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -24,63 +25,83 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.llm.common import WORD_TABLE_LIMIT, id_and_text, map_arrow, slices, text_key
+from haulmark.llm.common import id_and_text, map_arrow, slices, text_key
 from haulmark.operators.ordered import running_sum
 from haulmark.session import new_folder, pin
 from haulmark.sources.filesystem import make_dir, reading, writing
 
 #: A file is closed once it holds so many ids.
 TOKENS_PER_FILE = 1 << 24
-#: Ids that are packed or unpacked at a time.
+#: Words after which a worker's table grows old; it holds twice as many at most.
+WORDS_KEPT = 400_000
+#: Ids that are unpacked at a time.
 SEGMENT = 1 << 18
 
 # Fixed values of the format.
 MAGIC = b"DACIDS01"
 RANK_EVERY = 512
-WIDEST = 16
+#: Eight chunks fit into 64 bits.
+WIDEST = 8
 
 FILE = "part int, seq int, file string, n_docs bigint, n_tokens bigint, n_bytes bigint"
 
 #: White space before, and white space or the end after a space: there a text is not split.
-_INSIDE_BLANKS = re.compile("[\\s᠎​﻿] (?:[\\s᠎​﻿]|\\Z)")
-_BEFORE_WORD = re.compile("(?= [^\\s᠎​﻿])")
-_BEFORE_NEWLINE = re.compile("(?<=[^\\s᠎​﻿])(?=\n)")
+_INSIDE_BLANKS = re.compile("[\\s\u180e\u200b\ufeff] (?:[\\s\u180e\u200b\ufeff]|\\Z)")
+_BEFORE_WORD = re.compile("(?= [^\\s\u180e\u200b\ufeff])")
+#: Letters of the Latin alphabets; what follows them is a word of its own if it is no letter.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_AFTER_LETTERS = re.compile(f"(?<=[{_LETTERS}])(?=[!-/:-@\\[-`{{-~\\s])")
+_WORD = re.compile(f" ?[{_LETTERS}]+")
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """The character that stands for each byte in byte-level models: printable ones for themselves, others from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class _Words(dict):
-    """Ids, as bytes, of words with what stands before each; filled by the library, emptied when it grows too large."""
+    """Ids, as bytes, of words with what stands before each.
 
-    def __init__(self, library, before: str, whole: _Words | None = None):
+    When the table is full it becomes the older half, which gives its words back when they are asked for again: words
+    that come often stay.
+    """
+
+    def __init__(self, ids: Callable[[str], bytes], before: str):
         super().__init__()
-        self.library, self.before, self.whole = library, before, whole
+        self.ids, self.before, self.older = ids, before, {}
 
     def __missing__(self, word: str) -> bytes:
-        text = self.before + word
-        lines = _BEFORE_NEWLINE.split(text)
-        if len(lines) > 1:
-            table = self if self.whole is None else self.whole
-            return b"".join([table[line] for line in lines])
-        if len(self) >= WORD_TABLE_LIMIT:
+        found = self.older.get(word)
+        if found is None:
+            found = self.ids(self.before + word)
+        if len(self) >= WORDS_KEPT:
+            self.older = dict(self)
             self.clear()
-        ids = self[word] = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return ids
+        self[word] = found
+        return found
 
 
 class Encoder:
     """Ids of a text as the ``tokenizers`` library gives them.
 
-    Byte-level models cut a text into words before they look at a word's bytes, and always before a space that follows
-    or precedes something else than white space.  So words are encoded by the library once each and their ids joined.
-    Models of any other kind encode whole texts.
+    Byte-level models cut a text into words before they look at a word's bytes: always before a space that follows or
+    precedes something else than white space, and between a letter and what is none.  So the library's model is asked
+    once for each word, and their ids are joined.  Models of any other kind encode whole texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.by_words = self._cuts_at_spaces(json.loads(self.library.to_str()))
-        self.heads = _Words(self.library, "")
-        self.words = _Words(self.library, " ", self.heads)
+        model = json.loads(self.library.to_str())
+        self.by_words = self._cuts_at_spaces(model)
+        self.added = [t["content"] for t in model.get("added_tokens", [])]
+        self.alphabet = _byte_alphabet()
+        self.parts = _Words(self._part, "")
+        self.heads = _Words(self._text, "")
+        self.words = _Words(self._text, " ")
 
     @staticmethod
     def _cuts_at_spaces(model: dict) -> bool:
@@ -91,10 +112,31 @@ class Encoder:
                     for t in model.get("added_tokens", []))
         return bool(plain and byte_level and added)
 
+    def _text(self, text: str) -> bytes:
+        """Of a text without inner spaces."""
+        if _WORD.fullmatch(text) and text not in self.added:
+            return self._word(text)
+        if any(token in text for token in self.added):
+            return self._whole(text)
+        pieces = _AFTER_LETTERS.split(text)
+        return self._part(text) if len(pieces) == 1 else b"".join([self.parts[p] for p in pieces])
+
+    def _part(self, text: str) -> bytes:
+        return self._word(text) if _WORD.fullmatch(text) else self._whole(text)
+
+    def _word(self, text: str) -> bytes:
+        """One word: the model itself, without what would look for words."""
+        spelt = text.encode().decode("latin-1").translate(self.alphabet) if not text.isascii() else text.replace(" ", self.alphabet[32])
+        found = self.library.model.tokenize(spelt)
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def ids(self, text: str) -> bytes:
         """The ids as unsigned 32-bit integers."""
         if not self.by_words:
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return self._whole(text)
         if not text:
             return b""
         if _INSIDE_BLANKS.search(text):
@@ -124,20 +166,25 @@ def best_widths(ids: np.ndarray) -> list[int]:
 
 
 def _pack(values: np.ndarray, width: int) -> bytes:
-    """Values of ``width`` bits one after the other; a multiple of 8 of them at a time ends at a whole byte."""
-    out = []
-    for i in range(0, len(values), SEGMENT):
-        two = np.ascontiguousarray(values[i:i + SEGMENT], "<u2").view(np.uint8).reshape(-1, 2)
-        out.append(np.packbits(np.unpackbits(two, axis=1, bitorder="little")[:, :width], bitorder="little").tobytes())
-    return b"".join(out)
-
-
-def _unpack(data: bytes, skip: int, count: int, width: int) -> np.ndarray:
-    """``count`` values of ``width`` bits after ``skip`` bits."""
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little")[skip:skip + count * width]
-    padded = np.zeros((count, 16), np.uint8)
-    padded[:, :width] = bits.reshape(count, width)
-    return np.packbits(padded, axis=1, bitorder="little").view("<u2").ravel().astype(np.uint32)
+    """Values of ``width`` bits one after the other: eight of them fill ``width`` bytes of a 64-bit word."""
+    eights = np.zeros((-(-len(values) // 8), 8), np.uint64)
+    eights.reshape(-1)[:len(values)] = values
+    words = eights[:, 0].copy()
+    for i in range(1, 8):
+        words |= eights[:, i] << np.uint64(i * width)
+    return words.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _unpack(data: bytes, width: int) -> np.ndarray:
+    """All values of whole groups of eight."""
+    groups = len(data) // width
+    padded = np.zeros((groups, 8), np.uint8)
+    padded[:, :width] = np.frombuffer(data, np.uint8).reshape(groups, width)
+    words, mask = padded.view("<u8").ravel(), np.uint64((1 << width) - 1)
+    out = np.empty((groups, 8), np.uint32)
+    for i in range(8):
+        out[:, i] = (words >> np.uint64(i * width)) & mask
+    return out.reshape(-1)
 
 
 def file_bytes(ids: np.ndarray, doc_ids: list[int | None], ends: list[int]) -> bytes:
@@ -212,10 +259,9 @@ class TokenFile:
             if begin == end:
                 break
             width = level["width"]
-            first = begin * width // 8
-            chunks = _unpack(self._section(level["chunks"], first, (end * width + 7) // 8 - first),
-                             begin * width - 8 * first, end - begin, width)
-            out[places] |= chunks << np.uint32(shift)
+            group = begin // 8
+            chunks = _unpack(self._section(level["chunks"], group * width, (-(-end // 8) - group) * width), width)
+            out[places] |= chunks[begin - 8 * group:end - 8 * group] << np.uint32(shift)
             if "more" in level:
                 first = begin // 8
                 bits = np.frombuffer(self._section(level["more"], first, (end + 7) // 8 - first), np.uint8)
