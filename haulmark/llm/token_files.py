@@ -13,9 +13,9 @@ from __future__ import annotations
 
 import json
 import re
-import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -45,13 +45,20 @@ WIDEST = 8
 
 FILE = "part int, seq int, file string, n_docs bigint, n_tokens bigint, n_bytes bigint"
 
-#: White space before, and white space or the end after a space: there a text is not split.
-_INSIDE_BLANKS = re.compile("[\\s\u180e\u200b\ufeff] (?:[\\s\u180e\u200b\ufeff]|\\Z)")
-_BEFORE_WORD = re.compile("(?= [^\\s\u180e\u200b\ufeff])")
+_BLANK = "\\s\u180e\u200b\ufeff"
+_BEFORE_WORD = re.compile(f"(?= [^{_BLANK}])")
 #: Letters of the Latin alphabets; what follows them is a word of its own if it is no letter.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _AFTER_LETTERS = re.compile(f"(?<=[{_LETTERS}])(?=[!-/:-@\\[-`{{-~\\s])")
 _WORD = re.compile(f" ?[{_LETTERS}]+")
+#: Where this is found, a text is not as plain as ``_plain_pieces`` wants it.
+_NOT_PLAIN = re.compile(f"[{_BLANK}][{_BLANK}]|(?<![{_LETTERS}0-9])[.,]|\x00")
+
+
+def _plain_pieces(text: str) -> list[str]:
+    """Cut before single spaces, around single newlines, and before a full stop or comma after a letter or digit."""
+    marked = text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").replace(".", "\x00.").replace(",", "\x00,")
+    return marked.split("\x00")
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -68,14 +75,14 @@ class _Words(dict):
     that come often stay.
     """
 
-    def __init__(self, ids: Callable[[str], bytes], before: str):
+    def __init__(self, ids: Callable[[str], bytes]):
         super().__init__()
-        self.ids, self.before, self.older = ids, before, {}
+        self.ids, self.older = ids, {}
 
     def __missing__(self, word: str) -> bytes:
         found = self.older.get(word)
         if found is None:
-            found = self.ids(self.before + word)
+            found = self.ids(word)
         if len(self) >= WORDS_KEPT:
             self.older = dict(self)
             self.clear()
@@ -86,8 +93,8 @@ class _Words(dict):
 class Encoder:
     """Ids of a text as the ``tokenizers`` library gives them.
 
-    Byte-level models cut a text into words before they look at a word's bytes: always before a space that follows or
-    precedes something else than white space, and between a letter and what is none.  So the library's model is asked
+    Byte-level models cut a text into words before they look at a word's bytes: always before a space that something else
+    than white space follows, and between a letter and what is none.  So the library's model is asked
     once for each word, and their ids are joined.  Models of any other kind encode whole texts.
     """
 
@@ -98,10 +105,8 @@ class Encoder:
         model = json.loads(self.library.to_str())
         self.by_words = self._cuts_at_spaces(model)
         self.added = [t["content"] for t in model.get("added_tokens", [])]
-        self.alphabet = _byte_alphabet()
-        self.parts = _Words(self._part, "")
-        self.heads = _Words(self._text, "")
-        self.words = _Words(self._text, " ")
+        self.alphabet, self.tokenize = _byte_alphabet(), self.library.model.tokenize
+        self.words = _Words(self._word)
 
     @staticmethod
     def _cuts_at_spaces(model: dict) -> bool:
@@ -112,37 +117,25 @@ class Encoder:
                     for t in model.get("added_tokens", []))
         return bool(plain and byte_level and added)
 
-    def _text(self, text: str) -> bytes:
-        """Of a text without inner spaces."""
-        if _WORD.fullmatch(text) and text not in self.added:
-            return self._word(text)
-        if any(token in text for token in self.added):
-            return self._whole(text)
-        pieces = _AFTER_LETTERS.split(text)
-        return self._part(text) if len(pieces) == 1 else b"".join([self.parts[p] for p in pieces])
-
-    def _part(self, text: str) -> bytes:
-        return self._word(text) if _WORD.fullmatch(text) else self._whole(text)
-
     def _word(self, text: str) -> bytes:
-        """One word: the model itself, without what would look for words."""
-        spelt = text.encode().decode("latin-1").translate(self.alphabet) if not text.isascii() else text.replace(" ", self.alphabet[32])
-        found = self.library.model.tokenize(spelt)
-        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        if not _WORD.fullmatch(text):
+            return self._whole(text)
+        # One word is for the model itself, without what would look for words.
+        spelt = text.replace(" ", self.alphabet[32]) if text.isascii() else text.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.tokenize(spelt)]).tobytes()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
         """The ids as unsigned 32-bit integers."""
-        if not self.by_words:
+        if not self.by_words or any(token in text for token in self.added):
             return self._whole(text)
-        if not text:
-            return b""
-        if _INSIDE_BLANKS.search(text):
-            return b"".join([self.heads[word] for word in _BEFORE_WORD.split(text)])
-        first, *rest = text.split(" ")
-        return (self.heads[first] if first else b"") + b"".join(map(self.words.__getitem__, rest))
+        if not _NOT_PLAIN.search(text):
+            pieces = _plain_pieces(text)
+        else:
+            pieces = [piece for word in _BEFORE_WORD.split(text) for piece in _AFTER_LETTERS.split(word)]
+        return b"".join(map(self.words.__getitem__, pieces))
 
 
 @lru_cache(maxsize=2)
@@ -152,7 +145,12 @@ def encoder(path: str) -> Encoder:
 
 def best_widths(ids: np.ndarray) -> list[int]:
     """Chunk widths of all levels that take the fewest bits, continuation bits and rank directory included."""
-    bits = np.bincount(np.frexp(ids.astype(np.float64))[1], minlength=1)
+    top = int(ids.max()).bit_length() if len(ids) else 0
+    if top <= 24:
+        by_id = np.bincount(ids, minlength=1)
+        bits = np.add.reduceat(by_id, [0, *[1 << b for b in range(top) if 1 << b < len(by_id)]])
+    else:
+        bits = np.bincount(np.frexp(ids.astype(np.float64))[1], minlength=1)
     longest = max(1, len(bits) - 1)
     # Ids that reach the level that begins at bit s.
     reach = [len(ids), *(len(ids) - np.cumsum(bits))[1:].tolist()]
