@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmark import schemas
-from haulmark.operators.digest import INTERIM_CHUNK_BYTES, TRIES, range_plan
+from haulmark.operators.digest import INTERIM_CHUNK_BYTES, TRIES, range_coverage, range_plan
 from haulmark.session import pin
 from haulmark.sources import filesystem as fs
 from haulmark.sources.logs import failures, is_done
@@ -34,9 +34,12 @@ class CopyConf:
     #: Copies in flight per task, to hide the latency of a store.
     threads: int = 4
     tries: int = TRIES
-    #: Files of at least this size are read in parallel ranges through interim files; None: never.
-    ranged_from: int | None = None
+    #: Files of at least this size are copied in parallel ranges; None: never.
+    ranged_from: int | None = 2 * INTERIM_CHUNK_BYTES
     chunk_bytes: int = INTERIM_CHUNK_BYTES
+    #: Read a file that was copied in ranges once more, in one task, for the digest of the whole.  Without it ``src_md5``
+    #: is null for such files, each range being checked by itself, and no task reads more than a range.
+    whole_md5: bool = True
     #: Number of tasks; None: one per work group, or four per core without groups.
     tasks: int | None = None
 
@@ -109,6 +112,23 @@ def _copy_once(sources: list[str], dest: str, size: int, expected: str | None, a
     return "COPIED" if count == size else "SIZE_CHANGED", md5, count
 
 
+def _commit(row, size: int, expected: str | None, conf: CopyConf) -> tuple[str, str | None, int]:
+    """Put a file whose ranges are all written in its place: ``(status, md5, bytes)``."""
+    found = fs.stat(row.src_file)[2]
+    if found != size:
+        raise _SizeChanged(f"the source has {found} of {size} bytes")
+    if not fs.stat(row.temp)[0]:
+        # An earlier run of this task has moved it; nobody else does.
+        if fs.stat(row.dest_file)[2] != size:
+            raise FileNotFoundError(row.temp)
+        return "COPIED", _md5_of(row.dest_file) if conf.whole_md5 or expected else None, size
+    md5 = _md5_of(row.temp) if conf.whole_md5 or expected else None
+    if expected and md5 != expected:
+        raise _Mismatch(f"read {md5}, expected {expected}")
+    fs.move(row.temp, row.dest_file)
+    return "COPIED", md5, size
+
+
 def _copy_row(row, conf: CopyConf) -> tuple:
     """One RESULT row; trouble with a file is a status, never a failed task."""
     begun = time.monotonic()
@@ -128,7 +148,8 @@ def _copy_row(row, conf: CopyConf) -> tuple:
             error = str(e)
     else:
         parts = int(row.parts)
-        sources = [row.src_file] if not parts else [_interim(row.dest_file, i) for i in range(parts)]
+        in_place = bool(row.temp)
+        sources = [row.src_file] if not parts or in_place else [_interim(row.dest_file, i) for i in range(parts)]
         while attempts < conf.tries:
             attempts += 1
             try:
@@ -136,25 +157,32 @@ def _copy_row(row, conf: CopyConf) -> tuple:
                 if exists and not is_file:
                     error = "target is a directory"
                     break
-                status, md5, count = _copy_once(sources, row.dest_file, size, expected,
-                                                conf.allow_size_change or bool(row.may_grow), conf)
+                if in_place and parts:
+                    status, md5, count = _commit(row, size, expected, conf)
+                else:
+                    status, md5, count = _copy_once(sources, row.dest_file, size, expected,
+                                                    conf.allow_size_change or bool(row.may_grow), conf)
                 error = None
                 break
             except FileNotFoundError as e:
-                if sources != [row.src_file]:
-                    # An earlier run of this task already used the interim files up.
-                    sources, attempts = [row.src_file], attempts - 1
+                if parts:
+                    # An earlier run of this task already used the interim files up: copy in one piece.
+                    sources, parts, attempts = [row.src_file], 0, attempts - 1
                     continue
                 status, error = "OPEN_FAILED", str(e)
                 break
             except _SizeChanged as e:
+                # A source that grew while its ranges were read is copied in one piece.
+                sources, parts = [row.src_file], 0
                 status, error = "SIZE_CHANGED", str(e)
             except _Mismatch as e:
                 status, error = "CHECKSUM_MISMATCH", str(e)
             except (OSError, ValueError) as e:
                 # Also a path that no file system here can open.
                 status, error = "FAILED", str(e)
-        for part_no in range(parts):  # only there if the ranges could be written
+        if in_place:
+            fs.remove(row.temp)
+        for part_no in range(0 if in_place else int(row.parts)):  # only there if the ranges could be written
             fs.remove(_interim(row.dest_file, part_no))
     elapsed = int((time.monotonic() - begun) * 1000)
     return (row.src_file, row.dest_file, status, attempts, size, count, md5, elapsed, error)
@@ -174,23 +202,37 @@ def _copier(conf: CopyConf):
     return run
 
 
+_FETCHED = "src_file string, dest_file string, part_no bigint, begin bigint, end bigint, ok boolean"
+
+
 def _fetch_range(row, conf: CopyConf) -> tuple:
-    """Copy one byte range into its interim file: ``(src_file, part_no, ok)``."""
-    length = int(row.end - row.begin + 1)
-    target = _interim(row.dest_file, row.part_no)
+    """Copy one byte range: to its place in the new file, or on a store into an interim file of its own."""
+    begin, length = int(row.begin), int(row.end - row.begin + 1)
+    in_place = bool(row.temp)
+    target = row.temp if in_place else _interim(row.dest_file, row.part_no)
+    ok = False
     for _ in range(conf.tries):
         try:
             fs.make_dir(target.rpartition("/")[0] or "/")
-            count = 0
-            with fs.reading(row.src_file) as stream, fs.writing(target) as out:
-                for block in fs.blocks(stream, int(row.begin), length):
+            digest, count = hashlib.md5(usedforsecurity=False), 0
+            opened = fs.writing_at(target, int(row.file_size), begin) if in_place else fs.writing(target)
+            with fs.reading(row.src_file) as stream, opened as out:
+                for block in fs.blocks(stream, begin, length):
                     out.write(block)
+                    digest.update(block)
                     count += len(block)
-            if count == length:
-                return row.src_file, row.dest_file, True
+            ok = count == length
+            if ok and conf.verify_checksum:
+                back = hashlib.md5(usedforsecurity=False)
+                with fs.reading(target) as stream:
+                    for block in fs.blocks(stream, begin if in_place else 0, length):
+                        back.update(block)
+                ok = back.digest() == digest.digest()
+            if ok:
+                break
         except (OSError, ValueError):
-            continue
-    return row.src_file, row.dest_file, False
+            ok = False
+    return row.src_file, row.dest_file, row.part_no, row.begin, row.end, ok
 
 
 def _fetcher(conf: CopyConf):
@@ -198,23 +240,31 @@ def _fetcher(conf: CopyConf):
         with ThreadPoolExecutor(conf.threads) as pool:
             for batch in batches:
                 rows = list(pool.map(lambda row: _fetch_range(row, conf), batch.itertuples(index=False)))
-                yield pd.DataFrame(rows, columns=["src_file", "dest_file", "ok"])
+                yield pd.DataFrame(rows, columns=["src_file", "dest_file", "part_no", "begin", "end", "ok"])
 
     return run
 
 
 def _fetch_ranges(large: DataFrame, conf: CopyConf, tasks: int) -> DataFrame:
-    """Read large files in parallel; adds ``parts`` (0 where a range could not be had: copy in one piece)."""
+    """Copy the ranges of large files in parallel; adds ``temp`` and ``parts`` (0 unless all ranges are there).
+
+    Phase one of two.  A range is written at its offset into one file of full length under a name of its own, the same
+    in every run of the task; a stored row tells that it is there.  Phase two moves a file into its place, and only if
+    the rows make up the whole file.
+    """
+    remote = F.col("dest_file").contains("://") & ~F.col("dest_file").startswith("file:")
+    # Two sources of one target do not write into one file.
+    own = F.concat("dest_file", F.lit(f"._tmp_{uuid.uuid4().hex}_"), F.hex(F.xxhash64("src_file")))
+    large = large.withColumn("temp", F.when(~remote, own))
     ranges = range_plan(large, conf.chunk_bytes, 0, "src_file")
     fetched = pin(
-        ranges.select("src_file", "dest_file", "part_no", "begin", "end")
-        .repartition(tasks, "src_file", "part_no")
-        .mapInPandas(_fetcher(conf), "src_file string, dest_file string, ok boolean"),
+        ranges.select("src_file", "dest_file", "file_size", "temp", "part_no", "begin", "end")
+        .repartition(tasks, "src_file", "part_no").mapInPandas(_fetcher(conf), _FETCHED),
         "ranges",
     )
-    found = fetched.groupBy("src_file", "dest_file").agg(
-        F.when(F.bool_and("ok"), F.count("*")).otherwise(0).cast("int").alias("parts")
-    )
+    pair = F.struct("src_file", "dest_file").alias("entry_name")
+    covered = range_coverage(large.select(pair, "is_file", "file_size").distinct(), fetched.filter("ok").select(pair, "part_no", "begin", "end"))
+    found = covered.select("entry_name.*", F.when(F.col("complete"), F.col("parts")).otherwise(0).cast("int").alias("parts"))
     return large.drop("parts").join(found, ["src_file", "dest_file"]).select(large.columns)
 
 
@@ -236,14 +286,17 @@ def copy_files(plan: DataFrame, conf: CopyConf | None = None) -> DataFrame:
     rows = plan.select(
         "src_file", "dest_file", "is_file", "file_size", optional("action", "string", "COPY"),
         optional("expected_md5", "string"), optional("may_grow", "boolean", False), F.lit(0).alias("parts"),
+        F.lit(None).cast("string").alias("temp"),
         *(["group_id"] if "group_id" in plan.columns else []),
     )
     tasks = conf.tasks or 4 * spark.sparkContext.defaultParallelism
     if conf.ranged_from is not None:
         is_large = F.col("is_file") & (F.col("file_size") >= conf.ranged_from) & (F.col("dest_file") != "") & (
             F.col("file_size") > 0) & ~F.col("action").isin("SKIP", "FAIL")
-        small, large = rows.filter(~is_large), rows.filter(is_large)
-        rows = small.unionByName(_fetch_ranges(large, conf, tasks))
+        if not rows.filter(is_large).isEmpty():
+            # Null sizes and actions are not large.
+            small = rows.filter(~F.coalesce(is_large, F.lit(False)))
+            rows = small.unionByName(_fetch_ranges(rows.filter(is_large), conf, tasks))
     if "group_id" in rows.columns:
         groups = conf.tasks or (rows.agg(F.max("group_id")).first()[0] or 0) + 1
         spread = rows.repartitionById(groups, "group_id").drop("group_id")

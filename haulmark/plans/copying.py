@@ -15,14 +15,18 @@ from haulmark.sources.files import list_files
 from haulmark.sources.tables import read_manifest
 
 
-def copy_pairs(pairs: DataFrame, groups: int, conf: CopyConf | None = None) -> DataFrame:
-    """Route every pair, balance the supported ones over ``groups`` tasks, copy; others come back as ``FAILED``.
+def routed(pairs: DataFrame) -> DataFrame:
+    """Pairs with ``action`` (``FAIL`` if the route is not supported) and ``may_grow``.
 
     Within one kind of file system a source may be a log that is still written; downloads must have the planned size.
     """
-    routed = route(pairs).withColumn("action", F.when(F.col("route") == "UNSUPPORTED", "FAIL").otherwise("COPY")).withColumn(
-        "may_grow", F.col("route") == "INTERNAL_COPY")
-    return copy_files(assign_groups(routed.drop("route"), groups), replace(conf or CopyConf(), tasks=groups))
+    return route(pairs).withColumn("action", F.when(F.col("route") == "UNSUPPORTED", "FAIL").otherwise("COPY")).withColumn(
+        "may_grow", F.col("route") == "INTERNAL_COPY").drop("route")
+
+
+def copy_pairs(pairs: DataFrame, groups: int, conf: CopyConf | None = None) -> DataFrame:
+    """Route every pair, balance the supported ones over ``groups`` tasks, copy; others come back as ``FAILED``."""
+    return copy_files(assign_groups(routed(pairs), groups), replace(conf or CopyConf(), tasks=groups))
 
 
 def copy_tree(spark: SparkSession, src_root: str, dst_root: str, groups: int = 200,

@@ -184,14 +184,19 @@ def _tree_writer(root: str):
 _trees: dict[tuple[str, str, str], str] = {}
 
 
+def fresh_tree(spark: SparkSession, label: str, content: DataFrame) -> str:
+    """Write ``entry_name, c`` as real files (names ending in ``/``: directories) into a folder of their own."""
+    root = new_folder(spark, f"tree-{label}")
+    tasks = spark.sparkContext.defaultParallelism
+    content.select("entry_name", "c").repartition(tasks, "entry_name").mapInPandas(
+        _tree_writer(root), "entry_name string"
+    ).write.format("noop").mode("overwrite").save()
+    return root
+
+
 def written_tree(spark: SparkSession, sf_dir: str, label: str, content: DataFrame) -> str:
-    """Write ``entry_name, c`` as real files (names ending in ``/``: directories); once per session."""
+    """``fresh_tree`` once per session, for queries that only read the tree."""
     key = (spark.sparkContext.applicationId, sf_dir, label)
     if key not in _trees:
-        root = new_folder(spark, f"tree-{label}")
-        tasks = spark.sparkContext.defaultParallelism
-        content.select("entry_name", "c").repartition(tasks, "entry_name").mapInPandas(
-            _tree_writer(root), "entry_name string"
-        ).write.format("noop").mode("overwrite").save()
-        _trees[key] = root
+        _trees[key] = fresh_tree(spark, label, content)
     return _trees[key]

@@ -150,7 +150,7 @@ UNION ALL SELECT entry_name, file_size, NULL, 'DELETED' FROM dst WHERE entry_nam
 def run_sync_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Real trees: the target is made equal to the source, deletions included; what is there after, and what went."""
     src = fx.written_tree(spark, sf_dir, "src", fx.src_content(spark, sf_dir))
-    dst = fx.written_tree(spark, sf_dir, "dst", fx.dst_content(spark, sf_dir))
+    dst = fx.fresh_tree(spark, "synced", fx.dst_content(spark, sf_dir))
     plan = plan_sync(list_files(spark, src), list_files(spark, dst), dst, overwrite=True, delete=True)
     result = run_sync(plan, dst, groups=8, dry_run_deletes=False)
     there = list_files(spark, dst).filter("is_file").select(

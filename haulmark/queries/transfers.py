@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from haulmark.operators import throttle
 from haulmark.operators import transfer as ops
+from haulmark.operators.digest import file_md5
 from haulmark.operators.layout import assign_groups
 from haulmark.operators.listing import make_pairs
+from haulmark.plans import copy_in_waves
 from haulmark.queries import fixtures as fx
 from haulmark.queries.base import query
 from haulmark.session import new_folder
@@ -30,6 +32,37 @@ def copy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("copy_waves", f"""WITH {fx.SRC}, s AS (
+  SELECT *, CAST(sum(file_size) OVER (ORDER BY entry_name) AS BIGINT) - file_size AS before, sum(file_size) OVER () // 4 + 1 AS w FROM src)
+SELECT entry_name, CAST(before // w AS INTEGER) AS wave, 'COPIED' AS status, file_size AS bytes_copied, md5 AS src_md5 FROM s""")
+def copy_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A real tree in four waves; the job stops after the second and another call goes on from its journal."""
+    root = fx.written_tree(spark, sf_dir, "src", fx.src_content(spark, sf_dir))
+    pairs = make_pairs(list_files(spark, root), new_folder(spark, "wave-copy"))
+    journal, wave = new_folder(spark, "journal"), pairs.agg(F.sum("file_size")).first()[0] // 4 + 1
+    copy_in_waves(spark, journal, pairs, wave, max_waves=2)
+    return copy_in_waves(spark, journal).select(
+        F.expr(f"substring(src_file, {len(root) + 2})").alias("entry_name"), "wave", "status", "bytes_copied", "src_md5"
+    )
+
+
+_CHUNK = 2048
+
+
+@query("copy_ranges", f"""WITH {fx.SRC}
+SELECT entry_name, 'COPIED' AS status, file_size AS bytes_copied, CASE WHEN file_size < {_CHUNK} THEN md5 END AS src_md5, md5 AS dest_md5 FROM src""")
+def copy_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A real tree whose larger files are copied in ranges, no task reading more than one; then the copies are digested."""
+    root = fx.written_tree(spark, sf_dir, "src", fx.src_content(spark, sf_dir))
+    target = new_folder(spark, "range-copy")
+    conf = ops.CopyConf(ranged_from=_CHUNK, chunk_bytes=_CHUNK, whole_md5=False)
+    copied = ops.copy_files(make_pairs(list_files(spark, root), target), conf)
+    there = file_md5(copied.select(F.col("dest_file").alias("path"), F.col("bytes_copied").alias("file_size")))
+    return copied.join(there.select(F.col("path").alias("dest_file"), F.col("md5").alias("dest_md5")), "dest_file").select(
+        F.expr(f"substring(src_file, {len(root) + 2})").alias("entry_name"), "status", "bytes_copied", "src_md5", "dest_md5"
+    )
+
+
 @query("create_markers", """SELECT 'd'||doc_id||CASE WHEN doc_id%2=0 THEN '/' ELSE '' END AS entry_name,
   CASE WHEN doc_id%2=0 THEN 'MKDIR' ELSE 'COPIED' END AS status, CAST(0 AS BIGINT) AS bytes_copied FROM documents""")
 def create_markers(spark: SparkSession, sf_dir: str) -> DataFrame:

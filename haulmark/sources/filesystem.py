@@ -96,6 +96,24 @@ def writing(path: str) -> Iterator[BinaryIO]:
         yield stream
 
 
+def writes_at_offsets(path: str) -> bool:
+    """Whether parts of a new file can be written in any order; stores only take a file from its start."""
+    return local_path(path) is not None
+
+
+@contextmanager
+def writing_at(path: str, size: int, offset: int) -> Iterator[BinaryIO]:
+    """Open a file of ``size`` bytes, made by whoever comes first, for writing from ``offset`` on."""
+    local = local_path(path)
+    if local is None:
+        raise ValueError(f"{path} cannot be written at an offset")
+    handle = os.open(local, os.O_RDWR | os.O_CREAT, 0o666)
+    with os.fdopen(handle, "r+b") as out:
+        os.ftruncate(handle, size)
+        out.seek(offset)
+        yield out
+
+
 def make_dir(path: str) -> None:
     """Create a directory and its parents."""
     local = local_path(path)
