@@ -8,9 +8,11 @@ A passage repeats if a window of ``WINDOW`` consecutive words of it occurs in se
 2. *Confirm.*  All windows of one anchor in a document are one stretch.  Equal stretches are counted as one; only where
    an anchor has different stretches are their windows compared one by one.  Each recurring window belongs to the
    smallest document that holds it; consecutive ones of a document are a recurring passage.
-3. *Locate.*  Documents are dealt into small shards by a hash of their id.  A shard gets, once each, the passages that
-   share an anchor with one of its documents, compiles their anchors into an Aho-Corasick automaton, streams its documents
-   through it, and extends every hit along its diagonal, word by word: what agrees over a whole window is removed.
+3. *Locate.*  Documents are dealt into small shards by a hash of their id.  A stretch has few windows, and each of them
+   one owner, so a stretch leads to few passages, however many documents share its anchor.  A shard gets, once each, the
+   passages that the stretches of its documents lead to, compiles their anchors into an Aho-Corasick automaton, streams
+   its documents through it, and extends every hit along its diagonal, word by word: what agrees over a whole window is
+   removed.
 
 All counting is by hash aggregation with map-side combination; no group is collected, and texts are moved twice.
 """
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from math import isqrt
 
 import ahocorasick
 import numpy as np
@@ -115,6 +118,7 @@ def _open_windows(window: int, anchor: int):
                     for entry in todo:
                         at = np.arange(entry["start"], min(entry["start"] + entry["n"], len(windows)), dtype=np.int64)
                         out["anchor"].append(np.full(len(at), entry["anchor"], np.int64))
+                        out["stretch"].append(np.full(len(at), entry["stretch"], np.int64))
                         out["window"].append(windows[at])
                         out["id"].append(np.full(len(at), key, np.int64))
                         out["last"].append(np.full(len(at), entry["last"], np.int64))
@@ -126,7 +130,7 @@ def _open_windows(window: int, anchor: int):
 
 
 def _passages(window: int, anchor: int):
-    """Recurring passages of each document, with their anchors."""
+    """Recurring passages of each document, with their anchors' hashes and places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         hashes = WordHashes()
         for batch in batches:
@@ -139,6 +143,7 @@ def _passages(window: int, anchor: int):
                         continue
                     found = Stretches(hashes.of(words), window, anchor)
                     own = np.repeat(found.anchor, found.last - found.first + 1)
+                    place = np.repeat(found.place, found.last - found.first + 1)
                     recurs = np.zeros(count + 1, bool)
                     for span in spans:
                         at = np.arange(span["start"], min(span["start"] + span["n"], count))
@@ -152,6 +157,7 @@ def _passages(window: int, anchor: int):
                             out["owner"].append(key)
                             out["begin"].append(at)
                             out["anchors"].append(np.unique(own[at:stop]))
+                            out["places"].append(np.unique(place[at:stop]) - at)
                             out["passage"].append(b" ".join(words[at:stop - 1 + window]).decode())
                 if out:
                     yield out
@@ -159,75 +165,110 @@ def _passages(window: int, anchor: int):
     return run
 
 
+class _Codes(dict):
+    """Two characters for each word of the passages; the same two for all other words."""
+
+    def __missing__(self, word: bytes) -> str:
+        return "\0\0"
+
+
 class PhraseAutomaton:
-    """The anchors of some passages, compiled; words are numbered, words of no passage are 0."""
+    """The anchors of some passages, compiled.
+
+    Words are spelt with two characters, the first and the second from alphabets of their own, so that no node has many
+    children and nothing is found across the middle of a word.
+    """
 
-    def __init__(self, passages: list[tuple[int, bytes]], window: int, anchor: int):
-        self.window = window
-        self.number: dict[bytes, int] = {}
-        self.owners = [owner for owner, _ in passages]
-        self.words, self.numbers = [], []
+    def __init__(self, window: int, anchor: int):
+        self.window, self.anchor = window, anchor
         self.half = (window - anchor + 1) // 2
-        hashes = WordHashes()
-        seeds = defaultdict(list)
-        for i, (_, text) in enumerate(passages):
-            words = text.split()
-            ids = [self.number.setdefault(w, len(self.number) + 1) for w in words]
-            self.numbers.append(tuple(ids))
-            self.words.append(np.array(ids, np.int64))
-            for at in Stretches(hashes.of(words), window, anchor).place.tolist():
-                seeds[tuple(ids[at:at + anchor])].append((i, at))
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        self.owners, self.passages, self.places = [], [], []
+        self.codes: _Codes = _Codes()
+        self.automaton = None
+
+    def add(self, owner: int, text: bytes, places: list[int]) -> None:
+        """A passage, and where its anchors begin."""
+        words = text.split()
+        for w in words:
+            if w not in self.codes:
+                self.codes[w] = ""
+        self.owners.append(owner)
+        self.passages.append(words)
+        self.places.append(places)
+
+    def compile(self) -> None:
+        base = isqrt(len(self.codes)) + 1
+        for i, w in enumerate(self.codes):
+            self.codes[w] = chr(1 + i // base) + chr(1 + base + i % base)
+        seeds: dict[str, list] = {}
+        for i, words in enumerate(self.passages):
+            spelt = self.passages[i] = self.spell(words)
+            for at in self.places[i]:
+                seeds.setdefault(spelt[2 * at:2 * (at + self.anchor)], []).append((i, at))
+        self.automaton = ahocorasick.Automaton()
         for phrase, places in seeds.items():
-            self.automaton.add_word(phrase, (len(phrase), places))
+            self.automaton.add_word(phrase, places)
         if seeds:
             self.automaton.make_automaton()
+        self.places = []
+
+    def spell(self, words: list[bytes]) -> str:
+        return "".join(map(self.codes.__getitem__, words))
 
     def covered(self, doc: int, words: list[bytes]) -> np.ndarray:
         """Which words lie in a window that a passage of a smaller document has too."""
         covered = np.zeros(len(words), bool)
         if not len(self.automaton) or len(words) < self.window:
             return covered
-        numbers = tuple(self.number.get(w, 0) for w in words)
-        text = np.array(numbers, np.int64)
-        done = set()
-        for end, (length, places) in self.automaton.iter(numbers):
+        spelt, numbers, done = self.spell(words), None, set()
+        half, width = 2 * self.half, 2 * self.anchor
+        for last, places in self.automaton.iter(spelt):
+            # In characters: where the phrase begins and ends.
+            begin, end = last + 1 - width, last + 1
             for passage, at in places:
-                shift = end - length + 1 - at
+                shift = begin // 2 - at
                 if self.owners[passage] >= doc or (passage, shift) in done:
                     continue
                 # A window around the anchor has half of its other words on one side.
-                known, half, after = self.numbers[passage], self.half, at + length
-                if known[after:after + half] != numbers[end + 1:end + 1 + half] or len(known) < after + half:
-                    left = max(0, at - half)
-                    if at < half or known[left:at] != numbers[max(0, left + shift):at + shift]:
+                known, here = self.passages[passage], 2 * at
+                after = known[here + width:here + width + half]
+                if len(after) < half or after != spelt[end:end + half]:
+                    if here < half or known[here - half:here] != spelt[max(0, begin - half):begin]:
                         continue
                 done.add((passage, shift))
-                low, high = max(0, shift), min(len(text), shift + len(self.words[passage]))
-                same = np.concatenate([[False], text[low:high] == self.words[passage][low - shift:high - shift], [False]])
+                if numbers is None:
+                    numbers = _as_numbers(spelt)
+                low, high = max(0, shift), min(len(words), shift + len(known) // 2)
+                same = np.zeros(high - low + 2, bool)
+                same[1:-1] = numbers[low:high] == _as_numbers(known[2 * (low - shift):2 * (high - shift)])
                 turns = np.flatnonzero(same[1:] != same[:-1])
-                for begin, stop in zip(turns[::2].tolist(), turns[1::2].tolist()):
-                    if stop - begin >= self.window:
-                        covered[low + begin:low + stop] = True
+                for start, stop in zip(turns[::2].tolist(), turns[1::2].tolist()):
+                    if stop - start >= self.window:
+                        covered[low + start:low + stop] = True
         return covered
 
 
+def _as_numbers(spelt: str) -> np.ndarray:
+    """One number per word."""
+    return np.frombuffer(spelt.encode("utf-32-le"), np.uint64)
+
+
 def _remove(window: int, anchor: int):
     """Rows by shard, its passages before its documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        shard, passages, automaton = None, [], None
+        shard, automaton = None, None
         for part in (part for batch in batches for part in slices(batch)):
             out = defaultdict(list)
-            for place, is_document, key, text in zip(
-                    part["shard"].to_pylist(), part["is_document"].to_pylist(), part["id"].to_pylist(), as_bytes(part["text"])):
-                if place != shard:
-                    shard, passages, automaton = place, [], None
+            for number, is_document, key, text, places in zip(
+                    part["shard"].to_pylist(), part["is_document"].to_pylist(), part["id"].to_pylist(), as_bytes(part["text"]),
+                    part["places"].to_pylist()):
+                if automaton is None or number != shard:
+                    shard, automaton = number, PhraseAutomaton(window, anchor)
                 if not is_document:
-                    passages.append((key, text))
+                    automaton.add(key, text, places)
                     continue
-                if automaton is None:
-                    automaton = PhraseAutomaton(passages, window, anchor)
-                    passages = []
+                if automaton.automaton is None:
+                    automaton.compile()
                 words = text.split()
                 covered = automaton.covered(key, words) if key is not None else np.zeros(len(words), bool)
                 turns = np.flatnonzero(np.diff(np.concatenate([[0], covered.view(np.int8), [0]])))
@@ -235,7 +276,8 @@ def _remove(window: int, anchor: int):
                 out["n_words"].append(len(words))
                 out["n_removed"].append(int(covered.sum()))
                 out["removed"].append([{"start": a, "stop": b} for a, b in turns.reshape(-1, 2).tolist()])
-                out["kept"].append(b" ".join([w for w, gone in zip(words, covered.tolist()) if not gone]).decode())
+                edges = [0, *turns.tolist(), len(words)]
+                out["kept"].append(b" ".join([w for a, b in zip(edges[::2], edges[1::2]) for w in words[a:b]]).decode())
             if out:
                 yield out
 
@@ -263,7 +305,8 @@ def remove_repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: st
     def shard(column: str) -> Column:
         return F.pmod(F.xxhash64(column), F.lit(shards)).cast("int")
 
-    stretches = map_arrow(named, _find(window, anchor), _STRETCH)
+    # Stored, since what is counted and what is looked up are dealt out differently.
+    stretches = pin(map_arrow(named, _find(window, anchor), _STRETCH), "all-stretches")
     common = (
         stretches.groupBy("anchor").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
         .select("anchor")
@@ -275,27 +318,36 @@ def remove_repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: st
         "distinct-stretches",
     )
     mixed = distinct.groupBy("anchor").agg(F.count("*").alias("variants")).filter("variants > 1").select("anchor")
-    whole = distinct.join(mixed, "anchor", "left_anti").filter("id < last").select("id", "start", "n", "anchor")
+    whole = distinct.join(mixed, "anchor", "left_anti").filter("id < last").select("id", "start", "n", "anchor", "stretch")
     todo = distinct.join(mixed, "anchor", "left_semi").groupBy("id").agg(
-        F.collect_list(F.struct("anchor", "start", "n", "last")).alias("todo"))
-    windows = map_arrow(by_id.join(todo.hint("shuffle_hash"), "id"), _open_windows(window, anchor),
-                        "anchor bigint, window bigint, id bigint, last bigint, start int")
+        F.collect_list(F.struct("anchor", "stretch", "start", "n", "last")).alias("todo"))
+    windows = pin(
+        map_arrow(by_id.join(todo.hint("shuffle_hash"), "id"), _open_windows(window, anchor),
+                  "anchor bigint, stretch bigint, window bigint, id bigint, last bigint, start int"), "open-windows")
     single = (
         windows.groupBy("anchor", "window")
         .agg(F.min("id").alias("id"), F.max("last").alias("last"), F.min_by("start", "id").alias("start"))
-        .filter("id < last").select("id", "start", F.lit(1).alias("n"), "anchor")
+        .filter("id < last").select("id", "start", F.lit(1).alias("n"), "anchor", "window")
     )
-    spans = whole.unionByName(single).groupBy("id").agg(F.collect_list(F.struct("start", "n", "anchor")).alias("spans"))
+    spans = whole.select("id", "start", "n", "anchor").unionByName(single.drop("window")).groupBy("id").agg(
+        F.collect_list(F.struct("start", "n", "anchor")).alias("spans"))
     passages = map_arrow(by_id.join(spans.hint("shuffle_hash"), "id"), _passages(window, anchor),
-                         "owner bigint, begin int, anchors array<bigint>, passage string")
+                         "owner bigint, begin int, anchors array<bigint>, places array<int>, passage string")
+    # Each window of a stretch has one owner: as many rows as a stretch has windows, at most.
+    owners = whole.select("anchor", "stretch", F.col("id").alias("owner")).unionByName(
+        windows.select("anchor", "window", "stretch").join(single.select("anchor", "window", F.col("id").alias("owner")), ["anchor", "window"])
+        .select("anchor", "stretch", "owner").distinct())
+    # However many documents hold a stretch, each shard asks for it once.
+    holders = shared.groupBy("anchor", "stretch", shard("id").alias("shard")).agg(F.max("id").alias("top"))
+    wanted = owners.join(holders, ["anchor", "stretch"]).filter("owner < top").select("shard", "owner", "anchor").distinct()
     routes = (
-        passages.select("owner", "begin", F.explode("anchors").alias("anchor")).distinct()
-        .join(shared.select("anchor", F.col("id"), shard("id").alias("shard")), "anchor").filter("owner < id")
+        passages.select("owner", "begin", F.explode("anchors").alias("anchor")).distinct().join(wanted, ["owner", "anchor"])
         .select("shard", "owner", "begin").distinct()
     )
-    phrases = routes.join(passages.select("owner", "begin", "passage"), ["owner", "begin"]).select(
-        "shard", F.lit(False).alias("is_document"), F.col("owner").alias("id"), F.col("passage").alias("text"))
-    documents = rows.select(shard("id").alias("shard"), F.lit(True).alias("is_document"), "id", "text")
+    phrases = routes.join(passages.select("owner", "begin", "passage", "places"), ["owner", "begin"]).select(
+        "shard", F.lit(False).alias("is_document"), F.col("owner").alias("id"), F.col("passage").alias("text"), "places")
+    documents = rows.select(shard("id").alias("shard"), F.lit(True).alias("is_document"), "id", "text",
+                            F.lit(None).cast("array<int>").alias("places"))
     streamed = phrases.unionByName(documents).repartition("shard").sortWithinPartitions("shard", "is_document")
     return map_arrow(streamed, _remove(window, anchor), (
         "id bigint, n_words bigint, n_removed bigint, removed array<struct<start:bigint,stop:bigint>>, kept string"))
