@@ -19,6 +19,7 @@ All counting is by hash aggregation with map-side combination; no group is colle
 
 from __future__ import annotations
 
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from math import isqrt
@@ -35,9 +36,9 @@ from haulmark.session import pin
 
 WINDOW, ANCHOR = 50, 10
 #: Windows of one part of a passage.
-_PART = 100
+_PART = 300
 #: Documents of one shard, on average.
-SHARD_DOCUMENTS = 1_000
+SHARD_DOCUMENTS = 4_000
 
 _STRETCH = "anchor bigint, stretch bigint, id bigint, start int, n int"
 _LOW = np.uint64(0xFFFFFFFF)
@@ -183,34 +184,30 @@ class PhraseAutomaton:
         self.window, self.anchor = window, anchor
         self.half = (window - anchor + 1) // 2
         self.owners, self.passages, self.places = [], [], []
-        self.codes: _Codes = _Codes()
-        self.automaton = None
+        self.numbers: dict[bytes, int] = {}
+        self.codes, self.automaton = _Codes(), None
 
     def add(self, owner: int, text: bytes, places: list[int]) -> None:
         """A passage, and where its anchors begin."""
-        words = text.split()
-        for w in words:
-            if w not in self.codes:
-                self.codes[w] = ""
         self.owners.append(owner)
-        self.passages.append(words)
+        self.passages.append(array("I", [self.numbers.setdefault(w, len(self.numbers)) for w in text.split()]))
         self.places.append(places)
 
     def compile(self) -> None:
-        base = isqrt(len(self.codes)) + 1
-        for i, w in enumerate(self.codes):
-            self.codes[w] = chr(1 + i // base) + chr(1 + base + i % base)
+        base = isqrt(len(self.numbers)) + 1
+        spelt = [chr(1 + i // base) + chr(1 + base + i % base) for i in range(len(self.numbers))]
+        self.codes = _Codes(zip(self.numbers, spelt))
         seeds: dict[str, list] = {}
         for i, words in enumerate(self.passages):
-            spelt = self.passages[i] = self.spell(words)
+            text = self.passages[i] = "".join([spelt[w] for w in words])
             for at in self.places[i]:
-                seeds.setdefault(spelt[2 * at:2 * (at + self.anchor)], []).append((i, at))
+                seeds.setdefault(text[2 * at:2 * (at + self.anchor)], []).append((i, at))
         self.automaton = ahocorasick.Automaton()
         for phrase, places in seeds.items():
             self.automaton.add_word(phrase, places)
         if seeds:
             self.automaton.make_automaton()
-        self.places = []
+        self.numbers, self.places = {}, []
 
     def spell(self, words: list[bytes]) -> str:
         return "".join(map(self.codes.__getitem__, words))
@@ -324,9 +321,12 @@ def remove_repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: st
     windows = pin(
         map_arrow(by_id.join(todo.hint("shuffle_hash"), "id"), _open_windows(window, anchor),
                   "anchor bigint, stretch bigint, window bigint, id bigint, last bigint, start int"), "open-windows")
+    # One exchange serves the counting of windows and the way back from a window to its stretches.
+    by_window = windows.repartition("window")
     single = (
-        windows.groupBy("anchor", "window")
-        .agg(F.min("id").alias("id"), F.max("last").alias("last"), F.min_by("start", "id").alias("start"))
+        by_window.groupBy("window")
+        .agg(F.min("anchor").alias("anchor"), F.min("id").alias("id"), F.max("last").alias("last"),
+             F.min_by("start", "id").alias("start"))
         .filter("id < last").select("id", "start", F.lit(1).alias("n"), "anchor", "window")
     )
     spans = whole.select("id", "start", "n", "anchor").unionByName(single.drop("window")).groupBy("id").agg(
@@ -335,7 +335,7 @@ def remove_repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: st
                          "owner bigint, begin int, anchors array<bigint>, places array<int>, passage string")
     # Each window of a stretch has one owner: as many rows as a stretch has windows, at most.
     owners = whole.select("anchor", "stretch", F.col("id").alias("owner")).unionByName(
-        windows.select("anchor", "window", "stretch").join(single.select("anchor", "window", F.col("id").alias("owner")), ["anchor", "window"])
+        by_window.join(single.select("window", F.col("id").alias("owner")).hint("shuffle_hash"), "window")
         .select("anchor", "stretch", "owner").distinct())
     # However many documents hold a stretch, each shard asks for it once.
     holders = shared.groupBy("anchor", "stretch", shard("id").alias("shard")).agg(F.max("id").alias("top"))
