@@ -67,6 +67,9 @@ def assign_groups(pairs: DataFrame, n: int, name_col: str = "src_file", rows_per
     items fill what is missing in each group up to a common level: laid end to end they form one line, the gaps another,
     and an item goes to the gap its start falls in.  A group then ends at most one light item, a twentieth of its share,
     above the level.
+
+    The line of the gaps is cut into as many cells as there are groups; an item meets the few gaps of its own cell, so the
+    work per item does not depend on ``n``.
     """
     weighted = with_weight(pairs)
     total = weighted.agg(F.sum("weight")).first()[0]
@@ -94,10 +97,27 @@ def assign_groups(pairs: DataFrame, n: int, name_col: str = "src_file", rows_per
         starts.append(position)
         position += level - loads[g]
     tail = running_sum(weighted.filter(~heavy), F.col("weight"), order, name="_end", rows_per_bin=rows_per_bin)
-    gap = F.size(F.filter(F.array(*[F.lit(s).cast("bigint") for s in starts]),
-                          lambda s: s <= F.col("_end") - F.col("weight")))
-    group_id = F.element_at(F.array(*[F.lit(g) for g in groups]), gap)
-    return placed.unionByName(tail.withColumn("group_id", group_id).select(*pairs.columns, "group_id"))
+    width, cells = _gap_cells(starts, groups, position)
+    # One row per cell, at most as many as groups, and each gap in one or as its cells' first.
+    table = pairs.sparkSession.createDataFrame(cells, "_cell bigint, _starts array<bigint>, _groups array<int>")
+    before = F.col("_end") - F.col("weight")
+    met = tail.withColumn("_cell", F.expr(f"(_end - weight) div {width}L")).join(F.broadcast(table), "_cell")
+    group_id = F.element_at("_groups", F.size(F.filter("_starts", lambda s: s <= before)))
+    return placed.unionByName(met.withColumn("group_id", group_id).select(*pairs.columns, "group_id"))
+
+
+def _gap_cells(starts: Sequence[int], groups: Sequence[int], length: int) -> tuple[int, list[tuple]]:
+    """Width of a cell, and of each cell its number and the gaps that begin before or in it and end in or after it."""
+    width = max(1, -(-length // len(starts)))
+    cells, first = [], 0
+    for cell in range(-(-length // width)):
+        while first + 1 < len(starts) and starts[first + 1] <= cell * width:
+            first += 1
+        last = first
+        while last + 1 < len(starts) and starts[last + 1] < (cell + 1) * width:
+            last += 1
+        cells.append((cell, list(starts[first:last + 1]), list(groups[first:last + 1])))
+    return width, cells
 
 
 def group_summary(grouped: DataFrame) -> DataFrame:
@@ -110,9 +130,10 @@ def group_summary(grouped: DataFrame) -> DataFrame:
     )
 
 
-def number_plan(grouped: DataFrame, name_col: str = "src_file", rows_per_bin: int = ROWS_PER_BIN) -> DataFrame:
-    """Add ``row_no``: position within the group from 0, in work order."""
-    numbered = row_position(grouped, _size_order(name_col), ["group_id"], "_nth", rows_per_bin=rows_per_bin)
+def number_plan(grouped: DataFrame, name_col: str = "src_file", rows_per_bin: int = ROWS_PER_BIN,
+                in_order: bool = False) -> DataFrame:
+    """Add ``row_no``: position within the group from 0, in work order; with ``in_order`` rows come out that way."""
+    numbered = row_position(grouped, _size_order(name_col), ["group_id"], "_nth", rows_per_bin=rows_per_bin, in_order=in_order)
     return numbered.withColumn("row_no", F.col("_nth") - 1).drop("_nth")
 
 

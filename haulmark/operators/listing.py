@@ -138,12 +138,12 @@ def totals_match(src: DataFrame, dst: DataFrame) -> DataFrame:
 
 def order_by_size(rows: DataFrame, name_col: str = "src_file") -> DataFrame:
     """Largest first, names ascending on ties, with the position as a column."""
-    return row_position(rows, [-F.col("file_size"), F.col(name_col)]).sort("position")
+    return row_position(rows, [-F.col("file_size"), F.col(name_col)], in_order=True)
 
 
 def order_by_name(listing: DataFrame) -> DataFrame:
     """Files by name, then directories by name, with the position as a column."""
-    return row_position(listing, [~F.col("is_file"), F.col("entry_name")]).sort("position")
+    return row_position(listing, [~F.col("is_file"), F.col("entry_name")], in_order=True)
 
 
 def largest(listing: DataFrame, k: int = 1) -> DataFrame:

@@ -100,22 +100,33 @@ def has_large_group(df: DataFrame, by: Sequence[str], rows_per_bin: int = ROWS_P
 
 
 def running_sum(df: DataFrame, value: Column, order: Sequence[Column | str], by: Sequence[str] = (),
-                name: str = "running", rows_per_bin: int = ROWS_PER_BIN, rows: int | None = None) -> DataFrame:
+                name: str = "running", rows_per_bin: int = ROWS_PER_BIN, rows: int | None = None,
+                in_order: bool = False) -> DataFrame:
     """Add ``name``: sum of ``value`` over the rows up to and including this one.
 
+    With ``in_order`` the rows come out along ``by`` and ``order``: each bin becomes the partition of its own number, so the
+    shuffle and the sort that the sums need are also those of the result.
+
     ``order`` must be ascending keys (negate numbers to descend) that identify a row within ``by``.  With ``by`` the
     sum starts again for each of its values; a value holding most of the rows is spread over many bins.
     """
     by = list(by)
-    if by and not has_large_group(df, by, rows_per_bin):
+    if by and not in_order and not has_large_group(df, by, rows_per_bin):
         plain = Window.partitionBy(*by).orderBy(*_key_columns(df, order)).rowsBetween(*_RUNNING)
         return df.withColumn(name, F.sum(value).over(plain))
     keys = [F.col(c) for c in by] + _key_columns(df, order)
     binned, bins = with_bins(df.withColumn("_value", value), keys, rows_per_bin, rows)
     window = Window.partitionBy("_bin", *by).orderBy(*_key_columns(df, order)).rowsBetween(*_RUNNING)
     local = F.sum("_value").over(window)
+    placed = binned.repartitionById(bins, "_bin") if in_order else binned
+
+    def finished(result: DataFrame) -> DataFrame:
+        # As the window has left them; a sort only where nobody asks for the sums.
+        result = result.sortWithinPartitions("_bin", *by, *_key_columns(df, order)) if in_order else result
+        return result.drop("_bin", "_value", "_local", "_owner", "_carry")
+
     if bins == 1:
-        return binned.withColumn(name, local).drop("_bin", "_value")
+        return finished(placed.withColumn(name, local))
 
     totals = binned.groupBy("_bin", *by).agg(F.sum("_value").alias("_total"))
     earlier = Window.partitionBy(*by).orderBy("_bin").rowsBetween(*_BEFORE)
@@ -127,16 +138,15 @@ def running_sum(df: DataFrame, value: Column, order: Sequence[Column | str], by:
         .select("_bin", F.struct(F.lit(1), *by).alias("_owner"), "_carry")
     )
     carry = F.when(F.struct(F.lit(1), *by).eqNullSafe(F.col("_owner")), F.col("_carry"))
-    return (
-        binned.withColumn("_local", local)
+    return finished(
+        placed.withColumn("_local", local)
         .join(F.broadcast(carried), "_bin", "left")
         .withColumn(name, F.col("_local") + F.coalesce(carry, F.lit(0).cast("bigint")))
-        .drop("_bin", "_value", "_local", "_owner", "_carry")
     )
 
 
 def row_position(df: DataFrame, order: Sequence[Column | str], by: Sequence[str] = (), name: str = "position",
-                 **kwargs: int) -> DataFrame:
+                 **kwargs: int | bool | None) -> DataFrame:
     """Add ``name``: 1-based position along the order."""
     return running_sum(df, F.lit(1).cast("bigint"), order, by, name, **kwargs)
 

@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulmark.functions.paths import ancestors, parent
 from haulmark.operators.ordered import (
-    ROWS_PER_BIN, bin_of, boundaries, literal_key, previous_row, row_position,
+    ROWS_PER_BIN, bin_of, boundaries, literal_key, previous_row, row_position, with_bins,
 )
-from haulmark.operators.skew import hot_keys, lookup_join, one_per_key
+from haulmark.operators.skew import one_per_key
 from haulmark.session import pin
 
 
@@ -76,12 +75,13 @@ def prev_dest(pairs: DataFrame, **kwargs: int) -> DataFrame:
     )
 
 
-def extraneous(src: DataFrame, dst: DataFrame) -> DataFrame:
+def extraneous(src: DataFrame, dst: DataFrame, rows_per_bin: int = ROWS_PER_BIN) -> DataFrame:
     """Target entries that the source does not have, without those below another such entry.
 
-    ``src`` must be the whole source list, including entries an update or a limit left out.  Only directories are
-    expanded into ancestors, never files; a directory holding most of the files is a hot key of the last lookup and
-    is split off there.
+    ``src`` must be the whole source list, including entries an update or a limit left out.  The two trees are compared by
+    one shuffle of names.  What is only in the target is swept in the order of path components, in which all that lies
+    below a directory follows it directly: an entry is covered if the furthest end of a directory seen so far lies behind
+    it.  Bins of that order hand on one row each, so a directory with most of the files is swept by many tasks.
     """
     def named(df: DataFrame, is_src: bool) -> DataFrame:
         return df.select(
@@ -93,23 +93,18 @@ def extraneous(src: DataFrame, dst: DataFrame) -> DataFrame:
     both = named(src, True).unionByName(named(dst, False)).groupBy("entry_name").agg(
         F.max("in_src").alias("in_src"), F.max("in_dst").alias("in_dst"), F.max("is_file").alias("is_file"),
     )
-    # Used three times below, so the comparison of the two trees is run once and stored.
-    gone = pin(both.filter("in_dst and not in_src").select(
-        "entry_name", "is_file", parent("entry_name").alias("parent")
-    ), "gone")
-
-    def upwards(rows: DataFrame) -> DataFrame:
-        return rows.filter("parent <> ''").select(
-            "parent", F.explode_outer(F.concat(ancestors("parent"), F.array("parent"))).alias("ancestor")
-        )
-
-    # A directory with many entries is among its own "ancestors" here, so one list serves both lookups.
-    hot = hot_keys(upwards(gone), "ancestor")
-    covered = lookup_join(
-        upwards(gone.select("parent").distinct()), gone.select(F.col("entry_name").alias("ancestor")),
-        "ancestor", "left_semi", hot,
-    ).select("parent").distinct()
-    return lookup_join(gone, covered, "parent", "left_anti", hot).select("entry_name", "is_file")
+    # The character before all others between components: "a/c" comes before "a.b".
+    key = F.replace("entry_name", F.lit("/"), F.lit("\0"))
+    gone = pin(both.filter("in_dst and not in_src").select("entry_name", "is_file", key.alias("_key")), "gone")
+    binned, bins = with_bins(gone.withColumn("_end", F.concat("_key", F.lit("\1"))), ["_key"], rows_per_bin)
+    earlier = Window.partitionBy("_bin").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+    swept = binned.withColumn("_reach", F.max("_end").over(earlier))
+    if bins > 1:
+        # One row per bin.
+        ends = binned.groupBy("_bin").agg(F.max("_end").alias("_top"))
+        handed = ends.select("_bin", F.max("_top").over(Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+        swept = swept.join(F.broadcast(handed), "_bin").withColumn("_reach", F.greatest("_reach", "_carry"))
+    return swept.filter(F.coalesce(F.col("_reach") <= F.col("_key"), F.lit(True))).select("entry_name", "is_file")
 
 
 _DRIFT = {"USER": "owner", "GROUP": "grp", "PERMISSION": "permission"}

@@ -7,17 +7,18 @@ from pyspark.sql import functions as F
 
 from haulmark.functions.paths import part_name
 from haulmark.operators.layout import number_plan
+from haulmark.operators.ordered import ROWS_PER_BIN
 
 
-def write_plan(grouped: DataFrame, path: str, partitions: int | None = None) -> None:
+def write_plan(grouped: DataFrame, path: str, rows_per_file: int = ROWS_PER_BIN) -> None:
     """Store grouped pairs as one folder per group (``filegroup-003``), rows numbered from 0 in work order.
 
-    Rows are spread by ranges of (group, number), so a large group becomes several files instead of one task's work.
+    The ranges of (group, number) that number the rows also write them, so a large group becomes several files of about
+    ``rows_per_file`` rows instead of one task's work, and nothing is shuffled again.
     """
-    numbered = number_plan(grouped).withColumn("file_group", part_name("filegroup", "group_id"))
-    keys = ["group_id", "row_no"]
-    spread = numbered.repartitionByRange(partitions, *keys) if partitions else numbered.repartitionByRange(*keys)
-    spread.sortWithinPartitions(*keys).write.partitionBy("file_group").parquet(path)
+    numbered = number_plan(grouped, rows_per_bin=rows_per_file, in_order=True)
+    named = numbered.withColumn("file_group", part_name("filegroup", "group_id"))
+    named.sortWithinPartitions("file_group", "row_no").write.partitionBy("file_group").parquet(path)
 
 
 def read_plan(spark: SparkSession, path: str) -> DataFrame:

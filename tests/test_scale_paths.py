@@ -186,7 +186,7 @@ def test_first_of_a_hot_name(spark, monkeypatch):
         assert kept.count() == len(first) and kept.count() + rejected.count() == 3000
 
 
-def test_extraneous_with_a_hot_directory(spark, monkeypatch):
+def test_extraneous_with_a_hot_directory(spark):
     src = [("keep", False), ("keep/a", True)]
     dst = src + [("big", False), ("keep/b", True), ("a", False), ("a.b", True), ("a/c", True), ("a/d", False),
                  ("a/d/e", True)]
@@ -195,5 +195,46 @@ def test_extraneous_with_a_hot_directory(spark, monkeypatch):
     wanted = {("big", False), ("keep/b", True), ("a", False), ("a.b", True)}
     args = spark.createDataFrame(src, schema), spark.createDataFrame(dst, schema)
     assert {tuple(r) for r in sync.extraneous(*args).collect()} == wanted
-    monkeypatch.setattr(sync, "hot_keys", lambda d, k: skew.hot_keys(d, k, fraction=1.0, min_sampled=300))
-    assert {tuple(r) for r in sync.extraneous(*args).collect()} == wanted
+    for rows_per_bin in (1, 7, 100):
+        assert {tuple(r) for r in sync.extraneous(*args, rows_per_bin=rows_per_bin).collect()} == wanted
+
+
+def test_sweep_equals_all_ancestors(spark):
+    """Against every strict ancestor of every entry, with characters that sort before and after the separator."""
+    source = random.Random(12)
+    names = {"/".join(source.choice(["a", "b", "a.b", "a-", "a\x01", "é"]) for _ in range(source.randint(1, 5))) for _ in range(400)}
+    keep = {n for n in names if source.random() < 0.3}
+    gone = names - keep
+    want = {n for n in gone if not any("/".join(n.split("/")[:i]) in gone for i in range(1, n.count("/") + 1))}
+    schema = "entry_name string, is_file boolean"
+    src = spark.createDataFrame([(n, False) for n in sorted(keep)], schema)
+    dst = spark.createDataFrame([(n + "/", False) for n in sorted(names)] * 2, schema)
+    for rows_per_bin in (3, 1000):
+        assert sorted(r.entry_name for r in sync.extraneous(src, dst, rows_per_bin).collect()) == sorted(want)
+    assert sync.extraneous(src, dst.limit(0)).collect() == []
+
+
+def test_rows_come_out_in_order(spark):
+    source = random.Random(13)
+    rows = [(f"n{source.randrange(10**6):06d}-{i}", source.randrange(50)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "src_file string, file_size bigint").repartition(7)
+    want = sorted(rows, key=lambda r: (-r[1], r[0]))
+    for rows_per_bin in (90, 10**6):
+        ranked = ordered.row_position(df, [-F.col("file_size"), F.col("src_file")], rows_per_bin=rows_per_bin, in_order=True)
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("REPARTITION_BY_NUM") == 1 and "rangepartitioning" not in plan
+        assert [tuple(r) for r in ranked.collect()] == [(*r, i) for i, r in enumerate(want, 1)]
+        # Also where nobody looks at the position.
+        assert [r.src_file for r in ranked.select("src_file").collect()] == [n for n, _ in want]
+
+
+def test_items_meet_the_gaps_of_their_cell_only():
+    source = random.Random(14)
+    for _ in range(200):
+        lengths = [source.choice([1, 2, 3, 1000]) for _ in range(source.randint(1, 40))]
+        starts = [sum(lengths[:i]) for i in range(len(lengths))]
+        width, cells = layout._gap_cells(starts, range(len(starts)), sum(lengths))
+        assert len(cells) <= len(starts) and sum(len(c[1]) for c in cells) <= 2 * len(starts) + 1
+        for at in range(sum(lengths)):
+            _, begins, groups = cells[at // width]
+            assert groups[sum(b <= at for b in begins) - 1] == max(i for i, s in enumerate(starts) if s <= at)
