@@ -35,6 +35,16 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(fixed(id_col, "id", T.LongType()), fixed(text_col, "text", T.StringType()))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with a number after it if ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    number, free = 0, name
+    while free.lower() in taken:
+        number += 1
+        free = f"{name}_{number}"
+    return free
+
+
 def text_key(text: Column | str) -> Column:
     """Tells rows of one id but different texts apart (a null text counts as empty)."""
     return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))

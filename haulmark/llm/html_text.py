@@ -19,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.llm.common import id_and_text, map_arrow, slices
+from haulmark.llm.common import free_name, id_and_text, map_arrow, slices
 
+#: Up to the end of a tag, never into the next one, and never tried again from the middle: scanning stays linear.
+_ATTRIBUTES = r"(?:\"[^\"]*+\"|'[^']*+'|[^'\"<>]|<(?![a-z/!?]))*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|title|textarea|noscript|template|iframe|svg|select)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-    r"|<[!?/][^>]*>"
+    r"|<(?P<raw>script|style|title|textarea|noscript|template|iframe|svg|select)\b" + _ATTRIBUTES + r">.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<end>/?)(?P<name>[a-z][\w:-]*+)(?P<attributes>" + _ATTRIBUTES + r")>"
+    r"|<[!?/][^<>]*+>"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
 _NAMING = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
@@ -43,6 +45,11 @@ _NAMES = frozenset(
     "navigation breadcrumb breadcrumbs footer header masthead topbar toolbar cookie cookies consent gdpr notice notices "
     "alert banner comment comments reply replies discussion disqus share sharing social related recommended newsletter "
     "subscribe subscription signup login popup modal overlay widget pagination pager copyright search".split())
+#: Of these, words that the text itself is named by as well: inside a marked content they say nothing.
+_AMBIGUOUS = frozenset(
+    "alert banner consent copyright cookie cookies discussion gdpr header masthead menu notice notices overlay promotion "
+    "reply replies search side signup subscription".split())
+_LIMITS = frozenset("ul ol table td th article section div main nav aside".split())
 _WHOLE_PAGE = frozenset("html body article main".split())
 _NOT = frozenset("no has with without".split())
 
@@ -63,52 +70,103 @@ def _is_furniture(name: str, attributes: str, marked: bool) -> str:
     for groups in _NAMING.findall(attributes):
         for token in "".join(groups).lower().split():
             words = re.split(r"[-_]+", token)
-            if words[0] not in _NOT and not _NAMES.isdisjoint(words) and not (marked and "header" in words):
+            if marked:
+                # Named by nothing else: "search-space" is about a space.
+                named = all(w in _NAMES for w in words) and not _AMBIGUOUS.issuperset(words)
+            else:
+                named = words[0] not in _NOT and not _NAMES.isdisjoint(words)
+            if named and not (marked and "header" in words):
                 return token
     return ""
 
 
-def _inside_mark(stack: list[tuple[str, str]]) -> bool:
-    """Whether a mark is open that is not itself furniture, as an article of the comments is."""
-    return any(name in _MARKS and not furniture for name, furniture in stack)
+class _Open:
+    """The open elements, with what is asked about them counted: no step looks through the whole stack."""
+
+    def __init__(self):
+        self.stack: list[list[str]] = []
+        self.places = {}  # of each name, and of all limits and furniture, where on the stack
+        self.limits: list[int] = []
+        self.furniture: list[int] = []
+        self.texts: list[str] = []
+        self.marks = self.parted = 0
+
+    def push(self, name: str, why: str) -> None:
+        at = len(self.stack)
+        self.stack.append([name, why])
+        self.places.setdefault(name, []).append(at)
+        if name in _LIMITS:
+            self.limits.append(at)
+        if why:
+            self.furniture.append(at)
+        elif name in _MARKS:
+            self.marks += 1
+        if name in _PLACES:
+            self.texts.append(name)
+        self.parted += name in _FURNITURE or "comment" in why
+
+    def pop(self) -> str:
+        name, why = self.stack.pop()
+        at = len(self.stack)
+        self.places[name].pop()
+        for held in (self.limits, self.furniture):
+            if held and held[-1] == at:
+                held.pop()
+        self.marks -= not why and name in _MARKS
+        if name in _PLACES:
+            self.texts.pop()
+        self.parted -= name in _FURNITURE or "comment" in why
+        return name
+
+    def shut(self, name: str) -> None:
+        if self.places.get(name):
+            while self.pop() != name:
+                pass
+
+    def shut_from_last(self, name: str) -> None:
+        """Close the last ``name`` and all in it, unless an element in between keeps it open."""
+        at = self.places.get(name)
+        if at and not (self.limits and self.limits[-1] > at[-1]):
+            for _ in range(len(self.stack) - at[-1]):
+                self.pop()
+
+    def forgive(self) -> None:
+        """What is open is no furniture, whatever the page calls it."""
+        for at in self.furniture:
+            self.marks += self.stack[at][0] in _MARKS
+            self.stack[at][1] = ""
+        self.furniture = []
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
     """(tag, place, in a link, inside a mark, text) of each tag and stretch of text; in furniture the place is empty."""
-    stack: list[tuple[str, str]] = []
+    opened = _Open()
     for match in _TOKEN.finditer(page):
         text = match["text"]
         if text is None:
             name = (match["name"] or "").lower()
             if not name:
                 continue
-            marked, shut = _inside_mark(stack), any(furniture for _, furniture in stack)
+            # A mark that is itself furniture, as an article of the comments is, does not count.
+            marked, shut = opened.marks > 0, bool(opened.furniture)
             if match["end"]:
-                if any(n == name for n, _ in stack):
-                    while stack.pop()[0] != name:
-                        pass
+                opened.shut(name)
             elif name not in _VOID:
                 # A new block ends an open paragraph, a new list entry the one before.
-                closing = "p" if name not in _INLINE else None
-                closing = "li" if name == "li" and any(n == "li" for n, _ in stack) else closing
-                open_names = [n for n, _ in stack]
-                if closing in open_names:
-                    last = len(open_names) - 1 - open_names[::-1].index(closing)
-                    limits = {"ul", "ol", "table", "td", "th", "article", "section", "div", "main", "nav", "aside"}
-                    if limits.isdisjoint(open_names[last + 1:]):
-                        del stack[last:]
+                if name == "li" and opened.places.get("li"):
+                    opened.shut_from_last("li")
+                elif name not in _INLINE:
+                    opened.shut_from_last("p")
                 named = _is_furniture("div" if name in _MARKS else name, match["attributes"], marked)
-                if name in _MARKS and not named and not any(n in _FURNITURE or "comment" in why for n, why in stack):
+                if name in _MARKS and not named and not opened.parted:
                     # Whatever the page calls the elements around it: this is its content.
-                    stack = [(n, "") for n, _ in stack]
-                stack.append((name, named))
-            shut = shut or any(furniture for _, furniture in stack)
+                    opened.forgive()
+                opened.push(name, named)
+            shut = shut or bool(opened.furniture)
             yield name, "" if shut else name, False, marked, ""
             continue
-        marked = _inside_mark(stack)
-        place = "" if any(furniture for _, furniture in stack) else next(
-            (n for n, _ in reversed(stack) if n in _PLACES), "body")
-        yield "", place, any(n == "a" for n, _ in stack), marked, text
+        place = "" if opened.furniture else opened.texts[-1] if opened.texts else "body"
+        yield "", place, bool(opened.places.get("a")), opened.marks > 0, text
 
 
 def _count_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -184,8 +242,9 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
 
 def extract_text(pages: DataFrame, weights: dict[str, float], id_col: str = "page_id", html_col: str = "html",
                  text_col: str = "text") -> DataFrame:
-    """``pages`` with the main text of each whole page in ``text_col``.
+    """``pages`` with the main text of each whole page in one more column, ``text_col``.
 
+    A column of ``pages`` that has this name stays as it is, and the text is in ``text_1`` (or the first number that is free).
     Null, empty or content-free pages give an empty text.  Rows are independent: null ids and repeated rows get their
     text like all others; an empty table gives no rows.
     """
@@ -193,4 +252,4 @@ def extract_text(pages: DataFrame, weights: dict[str, float], id_col: str = "pag
     def text(column):
         return column.map(lambda page: main_text(page, weights))
 
-    return pages.withColumn(text_col, text(F.col(html_col)))
+    return pages.withColumn(free_name(pages, text_col), text(F.col(html_col)))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulmark.llm.common import as_bytes, id_and_text, map_arrow, text_key
+from haulmark.llm.common import as_bytes, free_name, id_and_text, map_arrow, slices, text_key
 from haulmark.session import pin
 
 MIN_KEY_CHARS = 10
@@ -49,7 +49,7 @@ def line_keys(text: bytes, min_chars: int) -> tuple[int, list[int], list[bytes]]
 
 def _hash_lines(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             hashes, ids, rows, positions = [], [], [], []
             for key, row, text in zip(batch["id"].to_pylist(), batch["row"].to_pylist(), as_bytes(batch["text"])):
                 lines, at, keys = line_keys(text, min_chars)
@@ -160,22 +160,22 @@ def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "
                         min_chars: int = MIN_KEY_CHARS) -> DataFrame:
     """All rows and columns of ``df``, with ``text_col`` reduced to its kept lines, and ``n_lines``, ``n_dropped``.
 
-    A null text stays null; a row without id keeps its text and counts no dropped line.
+    A column of ``df`` that already has one of these names stays as it is, and the new one is called ``n_lines_1`` (or
+    the first number that is free).  A null text stays null; a row without id keeps its text and counts no dropped line.
     """
+    own = {c: free_name(df, f"_{c}") for c in ("id", "row", "gone", "bitmap", "here")}
     bitmaps = line_keep_bitmaps(df, id_col, text_col, min_chars).select(
-        F.col("id").alias("_kept_id"), F.col("row").alias("_kept_row"), F.col("n_dropped").alias("_kept_n"),
-        F.col("keep_bitmap").alias("_kept_map"),
+        F.col("id").alias(own["id"]), F.col("row").alias(own["row"]), F.col("n_dropped").alias(own["gone"]),
+        F.col("keep_bitmap").alias(own["bitmap"]),
     )
-    here = df.withColumn("_text_row", text_key(text_col))
-    joined = here.join(
+    joined = df.withColumn(own["here"], text_key(text_col)).join(
         bitmaps.hint("shuffle_hash"),
-        (here[id_col].cast("bigint") == bitmaps["_kept_id"]) & (here["_text_row"] == bitmaps["_kept_row"]), "left",
+        (F.col(id_col).cast("bigint") == F.col(own["id"])) & (F.col(own["here"]) == F.col(own["row"])), "left",
     )
     text = F.col(text_col)
     lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    return (
-        joined.withColumn("n_lines", F.coalesce(lines, F.lit(1)).cast("bigint"))
-        .withColumn("n_dropped", F.coalesce("_kept_n", F.lit(0)).cast("bigint"))
-        .withColumn(text_col, kept_text(text, F.col("_kept_map"), F.col("_kept_n")))
-        .drop("_text_row", "_kept_id", "_kept_row", "_kept_n", "_kept_map")
+    return joined.select(
+        *[kept_text(text, F.col(own["bitmap"]), F.col(own["gone"])).alias(c) if c == text_col else F.col(c) for c in df.columns],
+        F.coalesce(lines, F.lit(1)).cast("bigint").alias(free_name(df, "n_lines")),
+        F.coalesce(own["gone"], F.lit(0)).cast("bigint").alias(free_name(df, "n_dropped")),
     )

@@ -131,16 +131,21 @@ def fit_chain(df: DataFrame, labels: DataFrame, categories: Sequence[str] = ("qu
               text_col: str = "text", sample_limit: int = SAMPLE_LIMIT, features: int = FEATURES) -> ChainModel:
     """Fit the chain; the last category's threshold gives the best F1 of its out-of-fold predictions.
 
-    Labelled rows with a null id or a null label are left out; of several labels of one id the largest counts.  Without
-    any labelled document, or with one class only, the last category rejects nothing.
+    Labelled rows with a null id or a null label are left out; of several labels of one id the largest counts, and of
+    several texts of one id the one with the smallest hash.  At most ``sample_limit`` labelled documents are used, those
+    with the smallest hashes of their ids; labels of other documents do not count towards the limit.  Without any labelled
+    document, or with one class only, the last category rejects nothing.
     """
     named = labels.select(F.col(id_col).cast("bigint").alias("id"), *[F.col(c).cast("int").alias(c) for c in categories])
+    docs = id_and_text(df, id_col, text_col)
     sample = (
         named.dropna().groupBy("id").agg(*[F.max(c).alias(c) for c in categories])
-        .orderBy(F.xxhash64("id"), "id").limit(sample_limit)
+        .join(docs.select("id"), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(sample_limit)
     )
-    # Bounded by sample_limit on every input.
-    texts = pin(id_and_text(df, id_col, text_col).join(F.broadcast(sample), "id"), "labelled")
+    # At most sample_limit rows on either side of the grouping's result, however often a document is repeated.
+    labelled = docs.join(F.broadcast(sample), "id").groupBy("id", *categories).agg(
+        F.min_by("text", F.xxhash64(F.coalesce("text", F.lit("")))).alias("text"))
+    texts = pin(labelled.select("id", "text", *categories), "labelled")
     long = ", ".join(f"{c} bigint" for c in categories)
     counts = (
         map_arrow(texts, _count_features(categories), f"feature bigint, n bigint, {long}").groupBy("feature")

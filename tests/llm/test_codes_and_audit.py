@@ -1,9 +1,10 @@
-"""Token files, filter audit and vector codes: against plain versions, on nulls, ties, repeated rows and empty tables."""
+"""Token files, filter audit and vector codes against plain versions; bounds and column names of earlier operators."""
 
 from __future__ import annotations
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter
 from itertools import permutations
@@ -16,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from haulmark.llm import filter_audit, text_tries, token_files, vector_codes
+from haulmark.llm import filter_audit, html_text, line_dedup, text_tries, token_files, toxicity, vector_codes
 from haulmark.llm.queries import QUERIES, byte_model
 from tests.conftest import SF
 from tests.llm.test_operators import frame, words
@@ -283,3 +284,78 @@ def test_coefficients_are_in_order_of_sequency():
     rows = vector_codes.transform(np.eye(16, dtype=np.int64)).T
     assert [(np.diff(np.sign(r)) != 0).sum() for r in rows] == list(range(16))
     assert (rows @ rows.T == 16 * np.eye(16)).all()
+
+
+# --- bounds and names of earlier operators ---------------------------------------------------------------------------
+
+
+def labelled_rows(n):
+    """Documents of which the odd ones hold a telling word."""
+    return [(i, " ".join(words(20, i)) + (" vileword awfulword" if i % 2 else " niceword"), i % 2) for i in range(n)]
+
+
+def test_label_limit_holds_for_repeated_documents(spark, monkeypatch):
+    seen = []
+    fit = toxicity._fit_rows
+    monkeypatch.setattr(toxicity, "_fit_rows", lambda rows, *rest: seen.append(len(rows)) or fit(rows, *rest))
+    rows = labelled_rows(120)
+    docs = spark.createDataFrame([r[:2] for r in rows] + [rows[3][:2]] * 900 + [(3, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1 - t, t) for i, _, t in rows] * 2, "doc_id bigint, quality int, toxic int")
+    toxicity.fit_chain(docs, labels, sample_limit=50)
+    assert seen == [50]
+
+
+def test_labels_of_other_documents_do_not_count(spark):
+    rows = labelled_rows(90)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1 - t, t) for i, _, t in rows], "doc_id bigint, quality int, toxic int")
+    others = spark.range(1000, 21000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    model = toxicity.fit_chain(docs, labels.unionByName(others), sample_limit=100)
+    found = {r.id: r.rejected for r in toxicity.score(docs, model).collect()}
+    assert sum(found[i] == bool(t) for i, _, t in rows) >= 85
+
+
+def test_chain_on_held_out_labels(spark):
+    """Each half of the labelled documents is judged by a chain that never saw it."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    right = total = 0
+    for half in (0, 1):
+        model = toxicity.fit_chain(docs, labels.filter(f"abs(hash(doc_id)) % 2 = {half}"))
+        held = labels.filter(f"abs(hash(doc_id)) % 2 = {1 - half}")
+        judged = toxicity.score(docs, model).join(held, F.col("id") == F.col("doc_id")).collect()
+        right += sum(r.rejected == bool(r.toxic) for r in judged)
+        total += len(judged)
+    assert total > 300 and right >= 0.9 * total
+
+
+HOSTILE = ["<a ", "<div>x", "<b>x", '<a "', "<script ", "<!x ", "</x ", "<div class=ad><article>x", "<ul><li>x", "<a '\"", "<p>x<div>"]
+
+
+def _plain_weights():
+    return {f"{p} {i}": 2.0 for p in html_text._PLACES for i in (0, 1)} | {f"<{t}": -1.0 for t in ["", *html_text._TAGS]}
+
+
+@pytest.mark.parametrize("piece", HOSTILE)
+def test_long_hostile_pages_take_linear_time(piece):
+    begun = time.process_time()
+    html_text.main_text(piece * (1_000_000 // len(piece)), _plain_weights())
+    assert time.process_time() - begun < 10
+
+
+def test_passages_named_by_their_subject_stay():
+    page = ('<div class="menu">Home News</div><article><h1>Title here</h1><p>One two three.</p><section class="discussion"><p>Four five '
+            'six.</p></section><p class="search-space">Seven eight nine.</p><div class="comments"><p>Nice post indeed</p></div></article>')
+    assert html_text.main_text(page, _plain_weights()) == "Title here\nOne two three.\nFour five six.\nSeven eight nine."
+
+
+def test_columns_of_the_caller_stay(spark):
+    schema = "doc_id bigint, text string, n_lines int, n_dropped string, _kept_id string, _text_row int, _row int, _id string"
+    df = spark.createDataFrame([(1, "a line of text\nb", -5, "d", "k", 7, 8, "i"), (2, "a line of text\nc", -6, "e", "l", 9, 3, "j")], schema)
+    kept = line_dedup.drop_repeated_lines(df)
+    assert kept.columns == [*df.columns, "n_lines_1", "n_dropped_1"]
+    assert sorted(map(tuple, kept.collect())) == [
+        (1, "a line of text\nb", -5, "d", "k", 7, 8, "i", 2, 0), (2, "c", -6, "e", "l", 9, 3, "j", 2, 1)]
+    pages = spark.createDataFrame([(1, "<p>some words of text here</p>", "mine")], "page_id bigint, html string, text string")
+    found = html_text.extract_text(pages, _plain_weights()).collect()
+    assert [tuple(r) for r in found] == [(1, "<p>some words of text here</p>", "mine", "some words of text here")]
