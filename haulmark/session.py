@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _local_folders: dict[str, str] = {}
 
@@ -56,8 +57,14 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     """Run ``df`` once, store it as a table in the shared folder and continue from that table.
 
     Used where a plan must not run again (it copies or deletes files) or would grow without bound (a loop).  The
-    table outlives lost executors.
+    table outlives lost executors.  The shuffles that made it are removed once it is there: nothing reads them again.
     """
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_folder(spark, label)
+    before = spark.conf.get(CLEANUP_CONF, "false")
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP_CONF, before)
+    return spark.read.schema(df.schema).parquet(path)
