@@ -28,6 +28,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,6 +77,19 @@ class Stretches:
                 for a, b in zip(self.first.tolist(), self.last.tolist())]
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Texts, compressed: they are moved more than once."""
+    packer = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        for part in slices(batch):
+            yield {"id": part["id"], "text": [packer.compress(t) for t in as_bytes(part["text"])]}
+
+
+def _unpacked(column: pa.Array) -> list[bytes]:
+    reader = zstandard.ZstdDecompressor()
+    return [reader.decompress(t) if t else b"" for t in column.to_pylist()]
+
+
 def _find(window: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         hashes = WordHashes()
@@ -113,7 +127,7 @@ def _open_windows(window: int, anchor: int):
         for batch in batches:
             for part in slices(batch):
                 out = defaultdict(list)
-                for key, text, todo in zip(part["id"].to_pylist(), as_bytes(part["text"]), part["todo"].to_pylist()):
+                for key, text, todo in zip(part["id"].to_pylist(), _unpacked(part["text"]), part["todo"].to_pylist()):
                     words = hashes.of(text.split())
                     windows = _window_hashes(words, window)
                     for entry in todo:
@@ -133,11 +147,11 @@ def _open_windows(window: int, anchor: int):
 def _passages(window: int, anchor: int):
     """Recurring passages of each document, with their anchors' hashes and places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        hashes = WordHashes()
+        hashes, packer = WordHashes(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for part in slices(batch):
                 out = defaultdict(list)
-                for key, text, spans in zip(part["id"].to_pylist(), as_bytes(part["text"]), part["spans"].to_pylist()):
+                for key, text, spans in zip(part["id"].to_pylist(), _unpacked(part["text"]), part["spans"].to_pylist()):
                     words = text.split()
                     count = len(words) - window + 1
                     if count <= 0:
@@ -159,7 +173,7 @@ def _passages(window: int, anchor: int):
                             out["begin"].append(at)
                             out["anchors"].append(np.unique(own[at:stop]))
                             out["places"].append(np.unique(place[at:stop]) - at)
-                            out["passage"].append(b" ".join(words[at:stop - 1 + window]).decode())
+                            out["passage"].append(packer.compress(b" ".join(words[at:stop - 1 + window])))
                 if out:
                     yield out
 
@@ -257,7 +271,7 @@ def _remove(window: int, anchor: int):
         for part in (part for batch in batches for part in slices(batch)):
             out = defaultdict(list)
             for number, is_document, key, text, places in zip(
-                    part["shard"].to_pylist(), part["is_document"].to_pylist(), part["id"].to_pylist(), as_bytes(part["text"]),
+                    part["shard"].to_pylist(), part["is_document"].to_pylist(), part["id"].to_pylist(), _unpacked(part["text"]),
                     part["places"].to_pylist()):
                 if automaton is None or number != shard:
                     shard, automaton = number, PhraseAutomaton(window, anchor)
@@ -296,7 +310,7 @@ def remove_repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: st
     rows = id_and_text(df, id_col, text_col)
     named = rows.filter("id IS NOT NULL")
     # One exchange of the texts, by id, serves both joins with what their documents have to look at.
-    by_id = named.repartition("id")
+    by_id = map_arrow(named, _packed, "id bigint, text binary").repartition("id")
     shards = max(1, rows.count() // SHARD_DOCUMENTS)
 
     def shard(column: str) -> Column:
@@ -332,7 +346,7 @@ def remove_repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: st
     spans = whole.select("id", "start", "n", "anchor").unionByName(single.drop("window")).groupBy("id").agg(
         F.collect_list(F.struct("start", "n", "anchor")).alias("spans"))
     passages = map_arrow(by_id.join(spans.hint("shuffle_hash"), "id"), _passages(window, anchor),
-                         "owner bigint, begin int, anchors array<bigint>, places array<int>, passage string")
+                         "owner bigint, begin int, anchors array<bigint>, places array<int>, passage binary")
     # Each window of a stretch has one owner: as many rows as a stretch has windows, at most.
     owners = whole.select("anchor", "stretch", F.col("id").alias("owner")).unionByName(
         by_window.join(single.select("window", F.col("id").alias("owner")).hint("shuffle_hash"), "window")
@@ -346,7 +360,7 @@ def remove_repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: st
     )
     phrases = routes.join(passages.select("owner", "begin", "passage", "places"), ["owner", "begin"]).select(
         "shard", F.lit(False).alias("is_document"), F.col("owner").alias("id"), F.col("passage").alias("text"), "places")
-    documents = rows.select(shard("id").alias("shard"), F.lit(True).alias("is_document"), "id", "text",
+    documents = map_arrow(rows, _packed, "id bigint, text binary").select(shard("id").alias("shard"), F.lit(True).alias("is_document"), "id", "text",
                             F.lit(None).cast("array<int>").alias("places"))
     streamed = phrases.unionByName(documents).repartition("shard").sortWithinPartitions("shard", "is_document")
     return map_arrow(streamed, _remove(window, anchor), (
