@@ -128,7 +128,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_html_text")
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     extracted = html_text.extract_text(pages, html_text.page_weights(pages))
     return extracted.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
