@@ -52,7 +52,9 @@ def boundaries(df: DataFrame, order: Sequence[Column | str], rows_per_bin: int =
     bins = min(MAX_BINS, ceil(rows / rows_per_bin))
     if bins <= 1:
         return [], types
-    sample = keys.sample(fraction=min(1.0, bins * _SAMPLE_PER_BIN / rows), seed=17).sort(*keys.columns).collect()
+    sampled = keys.sample(fraction=min(1.0, bins * _SAMPLE_PER_BIN / rows), seed=17)
+    # Sorted by one task: a global sort would read its input twice, once to find ranges of its own.
+    sample = sampled.repartition(1).sortWithinPartitions(*keys.columns).collect()
     cuts = [tuple(sample[len(sample) * i // bins]) for i in range(1, bins)] if len(sample) >= bins else []
     return list(dict.fromkeys(cuts)), types
 

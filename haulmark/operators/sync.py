@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from haulmark.operators.ordered import (
-    ROWS_PER_BIN, bin_of, boundaries, literal_key, previous_row, row_position, with_bins,
-)
+from haulmark.operators.ordered import ROWS_PER_BIN, literal_key, previous_row, row_position, with_bins
 from haulmark.operators.skew import one_per_key
 from haulmark.session import pin
 
@@ -127,10 +125,12 @@ def budget_admit(files: DataFrame, max_files: int | None = None, max_bytes: int
                  order: Sequence[str] = ("entry_name",), rows_per_bin: int = ROWS_PER_BIN) -> DataFrame:
     """Entries a sync with limits takes: in order, every file that still fits; later smaller files may follow.
 
-    Directories always pass.  ``order`` must identify a file.  The rule is sequential; it is solved here in at most
-    64 distributed rounds.  With ``rest`` bytes left and ``t`` the power of two at or below it, all files smaller than
-    ``t`` are taken until one does not fit (the rest is then below ``t``) or until a larger one fits (so it is too).
-    Each round finds that file with one running sum, and the next round has a smaller power of two.
+    Directories always pass.  ``order`` must identify a file.  The rule is sequential, but runs in at most 64 phases: with
+    ``rest`` bytes left and ``t`` the power of two at or below it, all files smaller than ``t`` are taken until one does
+    not fit (the rest is then below ``t``) or until a larger one fits (so it is too).  Bins of the order are summed by
+    the power of two of the size, at most 64 rows for each of at most 1,024 bins.  The driver walks these sums, which tell
+    exactly which bins a phase passes whole; only a bin in which one ends is read again, alone.  Whatever the limit, the
+    files are read three times: counted, sampled, and stored by bin.
     """
     chosen = files.filter("is_file")
     if max_bytes is not None:
@@ -143,59 +143,78 @@ def budget_admit(files: DataFrame, max_files: int | None = None, max_bytes: int
     return chosen.unionByName(files.filter("not is_file"))
 
 
+def _size_class(size: Column) -> Column:
+    """Number of binary digits: 0 for 0, else sizes of class ``c`` lie in ``[2**(c-1), 2**c)``."""
+    return F.when(size == 0, 0).otherwise(F.length(F.bin(size)))
+
+
+def _budget_table(files: DataFrame, budget: int, order: Sequence[str], rows_per_bin: int) -> tuple[DataFrame, list[str], list]:
+    """Files that may fit, stored by bin, with the class of their size and ``need``; the key columns and their types.
+
+    ``need``: the file's size and all sizes of lower classes before it in its bin.
+    """
+    names = [f"k{i}" for i in range(len(order))]
+    sized = files.filter(F.col("file_size") <= budget).select(
+        *[F.col(c).alias(n) for c, n in zip(order, names, strict=True)], F.col("file_size").alias("size")
+    )
+    binned, bins = with_bins(sized, names, rows_per_bin)
+    in_bin = Window.partitionBy("_bin").orderBy(*names).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lower = [F.sum(F.when(F.col("class") < c, F.col("size"))).over(in_bin) for c in range(1, max(1, budget.bit_length()) + 1)]
+    before = F.element_at(F.array(*lower), F.greatest(F.col("class"), F.lit(1)))
+    needed = binned.repartitionById(bins, "_bin").withColumn("class", _size_class(F.col("size"))).withColumn(
+        "need", F.col("size") + F.coalesce(before, F.lit(0).cast("bigint"))
+    )
+    return pin(needed, "budget", by="_bin"), names, [sized.schema[n].dataType for n in names]
+
+
 def _within_budget(files: DataFrame, budget: int, order: Sequence[str], rows_per_bin: int) -> Column:
-    columns = [F.col(c) for c in order]
-    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(columns)])
-    keyed = files.filter(F.col("file_size") <= budget).select(key.alias("key"), F.col("file_size").alias("size")).persist()
-    inner = [F.col(f"key.k{i}") for i in range(len(columns))]
-    cuts, types = boundaries(keyed, inner, rows_per_bin)
-    if cuts:
-        # Shuffled and sorted once; every round's window finds its rows in place.
-        sized = keyed.withColumn("bin", bin_of(inner, cuts, types)).repartition("bin").sortWithinPartitions(
-            "bin", "key"
-        ).persist()
-    else:
-        sized = keyed.withColumn("bin", F.lit(0))
-    in_bin = Window.partitionBy("bin").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before_bin = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-
-    def beyond(column: Column, limit: Column | None) -> Column:
-        return F.lit(True) if limit is None else column > limit
-
-    taken, rest, last = F.lit(False), budget, None
-    while True:
-        step = 1 << (rest.bit_length() - 1) if rest else 1
-        live = sized.filter((F.col("size") <= rest) & beyond(F.col("key"), last)).withColumn(
-            "small", F.when(F.col("size") < step, F.col("size")).otherwise(F.lit(0).cast("bigint"))
+    table, names, types = _budget_table(files, budget, order, rows_per_bin)
+    # At most MAX_BINS bins of 64 classes each.
+    summary: dict[int, dict[int, tuple[int, int]]] = {}
+    for row in table.groupBy("_bin", "class").agg(F.sum("size").alias("bytes"), F.min("need").alias("need")).collect():
+        summary.setdefault(row["_bin"], {})[row["class"]] = (row["bytes"], row["need"])
+    inner = F.struct(*names)
+    outer = F.struct(*[F.col(c).alias(n) for c, n in zip(order, names, strict=True)])
+
+    def beyond(key: Column, limit: Column | None) -> Column:
+        return F.lit(True) if limit is None else key > limit
+
+    def first_event(number: int, step: int, rest: int, last: Column | None) -> Row:
+        """Of one bin beyond ``last``: the first row that ends the phase, and the bytes of all small files."""
+        in_order = Window.partitionBy("_bin").orderBy(*names).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        is_small = F.col("size") < step
+        live = table.filter((F.col("_bin") == number) & (is_small | (F.col("size") <= rest)) & beyond(inner, last))
+        summed = live.withColumn("small", F.when(is_small, F.col("size")).otherwise(F.lit(0).cast("bigint"))).withColumn(
+            "used", F.sum("small").over(in_order)
         )
-        summed = live.withColumn("used", F.sum("small").over(in_bin))
-        if cuts:
-            # One row per bin, at most MAX_BINS.
-            carried = live.groupBy("bin").agg(F.sum("small").alias("total")).select(
-                "bin", F.sum("total").over(before_bin).alias("carry")
-            )
-            summed = summed.join(F.broadcast(carried), "bin").withColumn(
-                "used", F.col("used") + F.coalesce("carry", F.lit(0).cast("bigint"))
-            )
-        small_fails = (F.col("size") < step) & (F.col("used") > rest)
-        large_fits = (F.col("size") >= step) & (F.col("size") + F.col("used") <= rest)
-        event = summed.filter(small_fails | large_fits).agg(
-            F.min(F.struct("key", "size", "used")).alias("first")
-        ).first().first
-
-        # Below the first event every small file that fits the rest was taken.
-        small_file = beyond(key, last) & (F.col("file_size") < step) & (F.col("file_size") <= rest)
-        if event is None:
-            taken = taken | small_file
-            break
-        here = literal_key(tuple(event.key), types)
-        taken = taken | (small_file & (key < here))
-        if event.size < step:
-            rest -= event.used - event.size
-        else:
-            taken = taken | (key == here)
-            rest -= event.used + event.size
-        last = here
-    sized.unpersist()
-    keyed.unpersist()
-    return taken
+        ends = (is_small & (F.col("used") > rest)) | (~is_small & (F.col("size") + F.col("used") <= rest))
+        event = F.when(ends, F.struct(inner.alias("key"), "size", "used"))
+        return summed.agg(F.min(event).alias("event"), F.coalesce(F.sum("small"), F.lit(0)).alias("bytes")).first()
+
+    def step_of(rest: int) -> int:
+        return 1 << (rest.bit_length() - 1) if rest else 1
+
+    taken, rest, last, step = F.lit(False), budget, None, step_of(budget)
+
+    def small_file() -> Column:
+        return beyond(outer, last) & (F.col("file_size") < step) & (F.col("file_size") <= budget)
+
+    for number in sorted(summary):
+        classes, top = summary[number], step.bit_length()
+        small = sum(size for c, (size, _) in classes.items() if c < top)
+        if small <= rest and (top not in classes or classes[top][1] > rest):
+            rest -= small
+            continue
+        while (found := first_event(number, step, rest, last)).event is not None:
+            event = found.event
+            here = literal_key(tuple(event.key), types)
+            # Below the event every small file was taken.
+            taken = taken | (small_file() & (outer < here))
+            if event.size < step:
+                rest -= event.used - event.size
+            else:
+                taken = taken | (outer == here)
+                rest -= event.used + event.size
+            last, step = here, step_of(rest)
+        rest -= found.bytes
+    return taken | small_file()

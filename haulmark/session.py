@@ -40,7 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _local_folders:
@@ -53,18 +54,19 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame, label: str) -> DataFrame:
+def pin(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Run ``df`` once, store it as a table in the shared folder and continue from that table.
 
     Used where a plan must not run again (it copies or deletes files) or would grow without bound (a loop).  The
     table outlives lost executors.  The shuffles that made it are removed once it is there: nothing reads them again.
+    With ``by`` it is stored by the values of that column, so a filter on one value reads nothing else.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
     before = spark.conf.get(CLEANUP_CONF, "false")
     spark.conf.set(CLEANUP_CONF, "true")
     try:
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
     finally:
         spark.conf.set(CLEANUP_CONF, before)
     return spark.read.schema(df.schema).parquet(path)

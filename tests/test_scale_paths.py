@@ -100,6 +100,51 @@ def test_budget_that_shrinks_slowly(spark):
     ]
 
 
+def stages_of(spark, group: str) -> list:
+    """Task counts of all stages that the jobs of a group have run."""
+    tracker, counts = spark.sparkContext.statusTracker(), []
+    for job in tracker.getJobIdsForGroup(group):
+        for stage in tracker.getJobInfo(job).stageIds:
+            info = tracker.getStageInfo(stage)
+            if info is not None and info.numCompletedTasks:
+                counts.append(info.numTasks)
+    return counts
+
+
+@pytest.mark.parametrize(("budget", "scans"), [(3, 2), (70_000, 3), (3_000_000, 3), (10**12, 3)])
+def test_budget_reads_the_files_three_times(spark, budget, scans):
+    """The source has 37 tasks and nothing else has; bins of 100 rows.  What fits one bin needs no sample."""
+    size = "id * 7919 % 100003 % (1 + id * 31 % 9973)"
+    files = spark.range(0, 4000, 1, 37).selectExpr("lpad(id, 6, '0') AS entry_name", "true AS is_file", f"{size} AS file_size")
+    sizes = [i * 7919 % 100003 % (1 + i * 31 % 9973) for i in range(4000)]
+    group = f"budget-{budget}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        got = sync.budget_admit(files, None, budget, rows_per_bin=100)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stages_of(spark, group).count(37) == scans
+    assert sorted(int(r.entry_name) for r in got.collect()) == sequential_budget(sizes, budget)
+
+
+def test_budget_with_false_hopes_in_every_bin(spark):
+    """Each bin ends with a file that the budget left at its start would hold, but not what is left when it comes."""
+    sizes = [x for i in range(60) for x in (*[1] * 9, 1000 - 9 * i)]
+    df = spark.createDataFrame([(f"f{i:04d}", True, s) for i, s in enumerate(sizes)],
+                               "entry_name string, is_file boolean, file_size bigint")
+    for rows_per_bin in (10, 37):
+        got = sync.budget_admit(df, None, 1008, rows_per_bin=rows_per_bin)
+        assert sorted(r.entry_name for r in got.collect()) == [f"f{i:04d}" for i in sequential_budget(sizes, 1008)]
+
+
+def test_budget_of_files_without_size_or_with_none(spark):
+    schema = "entry_name string, is_file boolean, file_size bigint"
+    empty = spark.createDataFrame([], schema)
+    assert sync.budget_admit(empty, None, 10).count() == 0
+    odd = spark.createDataFrame([("a", True, None), ("b", True, 0), ("c", True, 11), ("d", True, 10), ("e", True, 0), ("f/", False, None)], schema)
+    assert sorted(r.entry_name for r in sync.budget_admit(odd, None, 10).collect()) == ["b", "d", "e", "f/"]
+
+
 def pairs_of(spark, sizes: list[int], dirs: int = 0):
     rows = [(f"/s/{i:05d}", f"/d/{i:05d}", True, s) for i, s in enumerate(sizes)]
     rows += [(f"/s/dir{i:05d}/", f"/d/dir{i:05d}/", False, 0) for i in range(dirs)]
