@@ -7,12 +7,14 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from haulmark.operators.attributes import apply_attributes
 from haulmark.operators.layout import assign_groups
 from haulmark.operators.listing import parents_of
 from haulmark.operators.sync import (
     attr_drift, budget_admit, copy_action, duplicate_dests, extraneous, select_updates,
 )
 from haulmark.operators.transfer import CopyConf, copy_files, delete_files
+from haulmark.sources.files import list_files
 from haulmark.sources.logs import failures
 
 _ATTRIBUTES = {"owner", "grp", "permission"}
@@ -97,3 +99,13 @@ def run_sync(plan: SyncPlan, dest_root: str, groups: int = 200, conf: CopyConf |
     # A file may be empty, so sizes do not tell the two apart.
     deleted = files.withColumn("is_file", F.lit(True)).unionByName(dirs.withColumn("is_file", F.lit(False)))
     return SyncResult(copied, deleted)
+
+
+def keep_attributes(src: DataFrame, dest_root: str, attrs: frozenset[str]) -> DataFrame:
+    """After the copies: give what is below ``dest_root`` the owner, group or permission that ``src`` has for its name.
+
+    ``src`` is a listing with ``owner, grp, permission``, such as ``list_files(..., dirs="all", attributes=True)``.  The target
+    is listed anew, so files that were just copied are taken in.  Rows as of ``apply_attributes``.
+    """
+    there = list_files(src.sparkSession, dest_root, dirs="all", attributes=True)
+    return apply_attributes(attr_drift(src, there, attrs), dest_root)

@@ -9,7 +9,7 @@ from haulmark.functions.attributes import parse_attrs
 from haulmark.operators import sync as ops
 from haulmark.operators.digest import file_md5
 from haulmark.operators.routing import route
-from haulmark.plans.sync import plan_sync, run_sync
+from haulmark.plans.sync import keep_attributes, plan_sync, run_sync
 from haulmark.queries import fixtures as fx
 from haulmark.queries.base import query
 from haulmark.sources.files import list_files
@@ -160,3 +160,23 @@ def run_sync_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = result.deleted.filter("status = 'DELETED' AND is_file").select(
         "path", "file_size", F.lit(None).cast("string").alias("md5"), F.lit("DELETED").alias("state"))
     return digested.unionByName(gone).select(F.expr(f"substring(path, {len(dst) + 2})").alias("entry_name"), "file_size", "md5", "state")
+
+
+_WANTED = "CASE doc_id%3 WHEN 0 THEN '0600' WHEN 1 THEN '0440' ELSE '0755' END AS permission"
+_PARENT = "regexp_replace(entry_name, '/[^/]*$', '') AS entry_name, false AS is_file, '0750' AS permission"
+
+
+@query("keep_attributes", f"""WITH {fx.SRC}, {fx.DST}
+SELECT entry_name, is_file, {_WANTED} FROM src WHERE entry_name IN (SELECT entry_name FROM dst)
+UNION ALL (SELECT {_PARENT} FROM src INTERSECT SELECT {_PARENT} FROM dst)""")
+def keep_attributes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A real tree gets the permissions of the source listing, directories included; what is there afterwards."""
+    root = fx.fresh_tree(spark, "attributes", fx.dst_content(spark, sf_dir))
+    src = fx.src_listing(spark, sf_dir)
+    nobody = [F.lit(None).cast("string").alias(c) for c in ("owner", "grp")]
+    parents = src.select(F.regexp_replace("entry_name", "/[^/]*$", "").alias("entry_name"), F.lit(False).alias("is_file"),
+                         F.lit("0750").alias("permission")).distinct()
+    wanted = src.selectExpr("entry_name", "is_file", _WANTED).unionByName(parents)
+    keep_attributes(wanted.select("*", *nobody), root, parse_attrs("p"))
+    there = list_files(spark, root, dirs="all", attributes=True)
+    return there.join(wanted, "entry_name", "left_semi").select("entry_name", "is_file", "permission")

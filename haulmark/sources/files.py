@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from haulmark.session import pin
 from haulmark.sources import filesystem as fs
 
-_COLUMNS = ["entry_name", "is_file", "file_size", "mtime_s", "is_marker", "is_pending"]
-_FOUND = "entry_name string, is_file boolean, file_size bigint, mtime_s double, is_marker boolean, is_pending boolean"
+_COLUMNS = ["entry_name", "is_file", "file_size", "mtime_s", "is_marker", "is_pending", "owner", "grp", "permission"]
+_FOUND = ("entry_name string, is_file boolean, file_size bigint, mtime_s double, is_marker boolean, is_pending boolean, "
+          "owner string, grp string, permission string")
 _BATCH = 10_000
 
 #: How far a task goes down on its own before it hands directories back: entries seen, and directories.
@@ -29,9 +30,12 @@ def _lister(root: str, max_depth: int | None):
         for child in fs.children(f"{root}/{directory}" if directory else root or "/"):
             empty = False
             name = f"{directory}/{child.name}" if directory else child.name
-            yield name, child.is_file, child.size, child.mtime, False, False
+            yield name, child.is_file, child.size, child.mtime, False, False, child.owner, child.grp, child.permission
         if empty and directory:
-            yield directory + "/", False, 0, 0.0, True, False
+            yield directory + "/", False, 0, 0.0, True, False, None, None, None
+
+    def pending(row: tuple) -> tuple:
+        return *row[:5], True, *row[6:]
 
     def walk(directories: Iterator[str]) -> Iterator[tuple]:
         entries, below = 0, deque()
@@ -45,12 +49,12 @@ def _lister(root: str, max_depth: int | None):
                 elif entries + len(below) < _TASK_ENTRIES and len(below) < _TASK_DIRS:
                     below.append(row)
                 else:
-                    yield *row[:5], True
+                    yield pending(row)
         dirs = 0
         while below:
             row = below.popleft()
             if entries >= _TASK_ENTRIES or dirs >= _TASK_DIRS:
-                yield *row[:5], True
+                yield pending(row)
                 continue
             dirs += 1
             yield row
@@ -61,7 +65,7 @@ def _lister(root: str, max_depth: int | None):
                 elif len(below) < _TASK_DIRS:
                     below.append(child)
                 else:
-                    yield *child[:5], True
+                    yield pending(child)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = walk(name for batch in batches for name in batch["directory"])
@@ -71,10 +75,12 @@ def _lister(root: str, max_depth: int | None):
     return run
 
 
-def list_files(spark: SparkSession, root: str, max_depth: int | None = None, dirs: str = "empty") -> DataFrame:
+def list_files(spark: SparkSession, root: str, max_depth: int | None = None, dirs: str = "empty",
+               attributes: bool = False) -> DataFrame:
     """LISTING (with ``mtime``) of everything below ``root``: hidden, zero-byte and oddly named files included.
 
     ``dirs``: ``"empty"`` reports empty directories (name ends in ``/``), ``"all"`` every directory, ``"none"`` none.
+    ``attributes`` adds ``owner, grp, permission`` (octal); they are null of remote entries, and of the names ending in ``/``.
     A root that is a file gives one row.  Each round lists the waiting directories in parallel and stores what it found,
     so a directory is read once.  A task goes further down by itself for a while and hands back what is left for the
     next round; a directory of any size is passed on in batches.
@@ -87,10 +93,12 @@ def list_files(spark: SparkSession, root: str, max_depth: int | None = None, dir
         raise FileNotFoundError(root)
     if is_file:
         base, _, name = root.rpartition("/")
-        return spark.createDataFrame(
-            [(base, name, True, size, None)],
-            "base_dir string, entry_name string, is_file boolean, file_size bigint, mtime timestamp",
+        one = spark.createDataFrame(
+            [(base, name, True, size, None, *fs.attributes(root))],
+            "base_dir string, entry_name string, is_file boolean, file_size bigint, mtime timestamp, owner string, grp string, "
+            "permission string",
         )
+        return one if attributes else one.drop("owner", "grp", "permission")
 
     frontier, waiting, rounds = spark.createDataFrame([("",)], "directory string"), 1, []
     parallelism = spark.sparkContext.defaultParallelism
@@ -110,6 +118,7 @@ def list_files(spark: SparkSession, root: str, max_depth: int | None = None, dir
     return reduce(DataFrame.unionByName, rounds).filter(wanted).select(
         F.lit(root).alias("base_dir"), "entry_name", "is_file", "file_size",
         F.when(~F.col("is_marker"), F.col("mtime_s").cast("timestamp")).alias("mtime"),
+        *(["owner", "grp", "permission"] if attributes else []),
     )
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import grp
 import os
+import pwd
 import shutil
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import lru_cache
+from stat import S_IMODE, S_ISLNK
 from typing import BinaryIO, NamedTuple
 
 BLOCK = 1024 * 1024
@@ -16,6 +20,53 @@ class Child(NamedTuple):
     is_file: bool
     size: int
     mtime: float
+    owner: str | None = None
+    grp: str | None = None
+    permission: str | None = None
+
+
+@lru_cache(maxsize=4096)
+def _user_name(uid: int) -> str:
+    try:
+        return pwd.getpwuid(uid).pw_name
+    except KeyError:
+        return str(uid)
+
+
+@lru_cache(maxsize=4096)
+def _group_name(gid: int) -> str:
+    try:
+        return grp.getgrgid(gid).gr_name
+    except KeyError:
+        return str(gid)
+
+
+def _described(found: os.stat_result) -> tuple[str, str, str | None]:
+    """Owner, group and permission (four octal digits; a link has none of its own)."""
+    permission = None if S_ISLNK(found.st_mode) else f"{S_IMODE(found.st_mode):04o}"
+    return _user_name(found.st_uid), _group_name(found.st_gid), permission
+
+
+def attributes(path: str) -> tuple[str | None, str | None, str | None]:
+    """Owner, group and permission of one entry; nulls where the file system is not the local one."""
+    local = local_path(path)
+    return _described(os.lstat(local)) if local is not None else (None, None, None)
+
+
+def set_attributes(path: str, owner: str | None, group: str | None, permission: str | None) -> None:
+    """Change what is not None.  Names that are none of this machine may be numbers.  Links are not followed."""
+    local = local_path(path)
+    if local is None:
+        raise ValueError(f"attributes of {path} cannot be set")
+    if owner is not None or group is not None:
+        uid = -1 if owner is None else int(owner) if owner.isdigit() else pwd.getpwnam(owner).pw_uid
+        gid = -1 if group is None else int(group) if group.isdigit() else grp.getgrnam(group).gr_gid
+        os.chown(local, uid, gid, follow_symlinks=False)
+    # After the owner, whose change takes some permissions away.
+    if permission is not None:
+        if os.path.islink(local):
+            raise ValueError(f"{path} is a link and has no permission of its own")
+        os.chmod(local, int(permission, 8))
 
 
 def local_path(path: str) -> str | None:
@@ -43,7 +94,8 @@ def children(path: str) -> Iterator[Child]:
                 # A link counts as a file, with the size of what reading it gives; links are not walked into.
                 is_file = not e.is_dir(follow_symlinks=False)
                 stat = e.stat(follow_symlinks=e.is_symlink() and os.path.isfile(e.path))
-                yield Child(e.name, is_file, stat.st_size if is_file else 0, stat.st_mtime)
+                own = _described(e.stat(follow_symlinks=False))
+                yield Child(e.name, is_file, stat.st_size if is_file else 0, stat.st_mtime, *own)
         return
     from pyarrow import fs
 

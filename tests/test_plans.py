@@ -22,7 +22,7 @@ def plan_of(df) -> str:
 
 # Queries whose own job is an action on files or a stored table leave no plan to look at.
 LAZY = sorted(set(QUERIES) - {
-    "compare_file", "run_sync", "file_md5", "part_md5", "copy_files", "copy_waves", "copy_ranges", "create_markers", "failure_log", "list_files",
+    "compare_file", "run_sync", "keep_attributes", "file_md5", "part_md5", "copy_files", "copy_waves", "copy_ranges", "create_markers", "failure_log", "list_files",
     "list_empty_dirs", "read_manifest", "read_uri_list", "write_plan", "bandwidth_monitor",
 })
 

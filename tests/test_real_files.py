@@ -11,11 +11,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from haulmark.operators import digest, diff, transfer
+from haulmark.operators.attributes import apply_attributes
 from haulmark.operators.layout import assign_groups
 from haulmark.operators.listing import make_pairs, union_sources
 from haulmark.operators.sync import copy_action
 from haulmark.operators.transfer import CopyConf, copy_files
-from haulmark.plans import cleanup_dir, compare_file, compare_pairs, compare_trees, copy_manifest, copy_tree, plan_sync, run_sync
+from haulmark.plans import (
+    cleanup_dir, compare_file, compare_pairs, compare_trees, copy_manifest, copy_tree, keep_attributes, plan_sync, run_sync,
+)
 from haulmark.queries.sync import run_sync_query
 from haulmark.sources import logs
 from haulmark.sources.files import list_files
@@ -431,3 +434,49 @@ def test_verification_rules(spark):
         "f": "SHORT_READ", "g": "UNREADABLE", "h": "NO_METADATA"}
     unchecked = statuses(diff.verify_objects(listing, meta, digests, verify=False))
     assert unchecked["d"] == unchecked["e"] == "OK" and unchecked["b"] == "LENGTH_CONFLICT"
+
+
+def test_attributes_are_kept_with_a_read_only_directory(spark, tmp_path):
+    """Links are left alone, unknown names fail as rows, and a directory is closed after what lies in it."""
+    modes = {"a": 0o555, "a/b": 0o500, "a/b/f": 0o400, "a/g": 0o640, "top": 0o604, "same": 0o644}
+    for side in ("src", "dst"):
+        (tmp_path / side / "a" / "b").mkdir(parents=True)
+        for name in ("a/b/f", "a/g", "top", "same", "extra" if side == "dst" else "lost"):
+            (tmp_path / side / name).write_text(name)
+            (tmp_path / side / name).chmod(0o644)
+        (tmp_path / side / "link").symlink_to("top")
+    for name in sorted(modes, reverse=True):
+        (tmp_path / "src" / name).chmod(modes[name])
+    src = list_files(spark, str(tmp_path / "src"), dirs="all", attributes=True)
+    listed = {r.entry_name: r.permission for r in src.collect()}
+    assert {k: v for k, v in listed.items() if k in modes} == {k: f"{v:04o}" for k, v in modes.items()}
+    assert listed["link"] is None
+    try:
+        done = keep_attributes(src, str(tmp_path / "dst"), frozenset({"USER", "GROUP", "PERMISSION"}))
+        rows = {r.path.removeprefix(f"{tmp_path}/dst/"): (r.depth, r.status) for r in done.collect()}
+        assert rows == {n: (n.count("/") + 1, "CHANGED") for n in modes if n != "same"}
+        assert {n: (tmp_path / "dst" / n).stat().st_mode & 0o7777 for n in modes} == modes
+        assert (tmp_path / "dst" / "extra").stat().st_mode & 0o7777 == 0o644
+        # Nothing is left to do, and nothing is done.
+        assert keep_attributes(src, str(tmp_path / "dst"), frozenset({"PERMISSION"})).count() == 0
+    finally:
+        for side in ("src", "dst"):
+            (tmp_path / side / "a").chmod(0o755)
+            (tmp_path / side / "a" / "b").chmod(0o755)
+
+
+def test_attribute_changes_that_fail_or_are_empty(spark, tmp_path):
+    (tmp_path / "f").write_text("x")
+    (tmp_path / "link").symlink_to("f")
+    (tmp_path / "f").chmod(0o600)
+    changes = spark.createDataFrame(
+        [("f", None, None, None), (None, None, None, "0777"), ("gone", None, None, "0600"), ("link", None, None, "0777"),
+         ("f", "no such user at all", None, None), ("f", None, None, "rwx")],
+        "entry_name string, new_owner string, new_grp string, new_permission string",
+    )
+    rows = apply_attributes(changes, str(tmp_path)).collect()
+    assert sorted((r.path.rpartition("/")[2], r.status, r.error.partition(":")[0]) for r in rows) == [
+        ("f", "FAILED", "KeyError"), ("f", "FAILED", "ValueError"), ("gone", "FAILED", "FileNotFoundError"),
+        ("link", "FAILED", "ValueError")]
+    assert (tmp_path / "f").stat().st_mode & 0o7777 == 0o600
+    assert apply_attributes(changes.limit(0), str(tmp_path)).collect() == []
