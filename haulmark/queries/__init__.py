@@ -4,7 +4,7 @@ The tables are read as file listings, upload and transfer logs, manifests and so
 """
 
 from haulmark.queries import (  # noqa: F401
-    cleanup, compare, digests, layout, listings, scalars, sync, transfers,
+    cleanup, compare, digests, layout, listings, scalars, stores, sync, transfers,
 )
 from haulmark.queries.base import ORACLES, QUERIES
 

@@ -24,6 +24,7 @@ def plan_of(df) -> str:
 LAZY = sorted(set(QUERIES) - {
     "compare_file", "run_sync", "keep_attributes", "file_md5", "part_md5", "copy_files", "copy_waves", "copy_ranges", "create_markers", "failure_log", "list_files",
     "list_empty_dirs", "read_manifest", "read_uri_list", "write_plan", "bandwidth_monitor",
+    "list_keys", "keys_source", "upload_files", "verify_store", "download_files",
 })
 
 
