@@ -141,7 +141,10 @@ class _KeysReader(DataSourceReader):
                 waiting += parts
         return [_Interval(*part) for part in waiting + whole]
 
-    def read(self, partition: _Interval) -> Iterator[tuple]:
+    def read(self, partition: _Interval | None) -> Iterator[tuple]:
+        # Without partitions Spark makes one of its own.
+        if partition is None:
+            return
         for page, _ in _pages(self.store, self.prefix, partition.after, partition.until, self.page_keys, self.tries):
             for found in page:
                 yield found.key, found.size, found.mtime
