@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 from typing import NamedTuple, Protocol
 
-from haulmark.sources.filesystem import blocks
+from haulmark.sources.filesystem import blocks, local_path
 
 TRIES = 4
 _FIRST_WAIT_S = 0.1
@@ -104,8 +104,10 @@ class FolderStore:
     """
 
     def __init__(self, root: str):
-        self.root = root[len("file:"):] if root.startswith("file:") else root
-        self.root = "/" + self.root.strip("/")
+        local = local_path(root)
+        if local is None:
+            raise ValueError(f"{root} is not a folder on a file system that is mounted here")
+        self.root = "/" + local.strip("/")
         self.promised = self.root + ".promised"
 
     def page(self, prefix: str, after: str, limit: int) -> list[Stored]:
@@ -131,10 +133,11 @@ class FolderStore:
                     found = os.stat(path)
                     yield Stored(name, found.st_size, found.st_mtime)
                     continue
-                below = False
+                empty = True
                 for below in self._walk(name, prefix, after, limit):
+                    empty = False
                     yield below
-                if not below and name > after and name.startswith(prefix) and not any(os.scandir(path)):
+                if empty and name > after and name.startswith(prefix) and not any(os.scandir(path)):
                     yield Stored(name, 0, os.stat(path).st_mtime)
             last = chunk[-1][0]
 

@@ -119,6 +119,11 @@ def test_odd_keys_and_boundaries(spark, page_keys):
         assert names("") == sorted(ODD)
 
 
+def test_folder_store_needs_a_mounted_folder():
+    with pytest.raises(ValueError, match="mounted"):
+        FolderStore("hdfs://nn/backup")
+
+
 def test_folder_store_lists_in_key_order(spark, tmp_path):
     store = FolderStore(f"file:{tmp_path}/objects")
     keys = [k for k in ODD if not k.endswith("/")]
