@@ -6,7 +6,8 @@ import base64
 import hashlib
 import time
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -60,22 +61,33 @@ def _file(path: str) -> Iterator[bytes]:
         yield from fs.blocks(stream)
 
 
-def _tried(call: Callable[[], tuple[int, str]], tries: int) -> tuple[str | None, int, int | None, str | None, str | None]:
-    """``(status, attempts, size, md5, error)`` of the last attempt; None for a success.  Refusals are tried again."""
-    status, error = None, None
+def _tried(calls: Sequence[Callable[[], tuple[int, str]]], tries: int) -> list[tuple[str | None, int, int | None, str | None, str | None]]:
+    """``(status, attempts, size, md5, error)`` of the last attempt of each call; None for a success.
+
+    Refusals are tried again.  A call has its next attempt when all others have had theirs, so many that fail wait together.
+    """
+    found = [(None, tries, None, None, None)] * len(calls)
+    waiting = range(len(calls))
     for attempt in range(1, tries + 1):
-        try:
-            size, md5 = call()
-            return None, attempt, size, md5, None
-        except FileNotFoundError as e:
-            return "OPEN_FAILED", attempt, None, None, str(e)
-        except _Refused as e:
-            status, error = e.args
-        except (OSError, ValueError) as e:
-            status, error = "FAILED", str(e)
+        again = []
+        for i in waiting:
+            try:
+                size, md5 = calls[i]()
+                found[i] = None, attempt, size, md5, None
+            except FileNotFoundError as e:
+                found[i] = "OPEN_FAILED", attempt, None, None, str(e)
+            except _Refused as e:
+                found[i] = e.args[0], attempt, None, None, e.args[1]
+                again.append(i)
+            except (OSError, ValueError) as e:
+                found[i] = "FAILED", attempt, None, None, str(e)
+                again.append(i)
+        waiting = again
+        if not waiting:
+            break
         if attempt < tries:
             time.sleep(0.05 * 2 ** (attempt - 1))
-    return status, tries, None, None, error
+    return found
 
 
 def _upload(store: Store, src_file: str, key: str) -> tuple[int, str]:
@@ -105,11 +117,9 @@ def upload_files(pairs: DataFrame, store: Store, tries: int = TRIES, tasks: int
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for src_file, key in zip(batch["src_file"], batch["key"]):
-                status, attempts, size, md5, error = _tried(lambda: _upload(store, src_file, key), tries)
-                rows.append((src_file, key, status or "UPLOADED", attempts, size, md5, error))
-            yield _frame(rows, _UPLOADED)
+            pairs = list(zip(batch["src_file"], batch["key"]))
+            found = _tried([partial(_upload, store, src_file, key) for src_file, key in pairs], tries)
+            yield _frame([(*pair, status or "UPLOADED", *rest) for pair, (status, *rest) in zip(pairs, found)], _UPLOADED)
 
     return pin(_spread(pairs.select("src_file", "key"), "key", tasks).mapInPandas(run, _UPLOADED), "uploads")
 
@@ -129,15 +139,17 @@ def read_objects(listing: DataFrame, store: Store, contents: bool = True, tries:
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
+            rows, calls, read = [], [], []
             for name, key in zip(batch["entry_name"], batch["key"]):
                 promise = retried(lambda: store.head(key), tries)
                 if promise is None:
                     continue
-                md5 = count = None
                 if contents and promise.size and not _conflict(promise):
-                    _, _, count, md5, _ = _tried(lambda: _read(store, key), tries)
-                rows.append((name, promise.size, promise.md5, promise.user_metadata, md5, count))
+                    read.append(len(rows))
+                    calls.append(partial(_read, store, key))
+                rows.append((name, promise.size, promise.md5, promise.user_metadata, None, None))
+            for i, (_, _, count, md5, _) in zip(read, _tried(calls, tries)):
+                rows[i] = *rows[i][:4], md5, count
             yield _frame(rows, _READ)
 
     key = F.when(F.col("base_dir") == "", F.col("entry_name")).otherwise(F.concat_ws("/", "base_dir", "entry_name"))
@@ -200,10 +212,8 @@ def download_files(objects: DataFrame, store: Store, verify: bool = True, tries:
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for key, dest_file in zip(batch["key"], batch["dest_file"]):
-                status, attempts, size, md5, error = _tried(lambda: _download(store, key, dest_file, verify), tries)
-                rows.append((key, dest_file, status or "DOWNLOADED", attempts, size, md5, error))
-            yield _frame(rows, _DOWNLOADED)
+            pairs = list(zip(batch["key"], batch["dest_file"]))
+            found = _tried([partial(_download, store, key, dest_file, verify) for key, dest_file in pairs], tries)
+            yield _frame([(*pair, status or "DOWNLOADED", *rest) for pair, (status, *rest) in zip(pairs, found)], _DOWNLOADED)
 
     return pin(_spread(objects.select("key", "dest_file"), "key", tasks).mapInPandas(run, _DOWNLOADED), "downloads")

@@ -11,8 +11,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from haulmark.operators import objects
 from haulmark.operators.objects import download_files, upload_files, verify_store
 from haulmark.sources.keys import _KeysReader, list_keys, register_keys, split_interval
+from haulmark.sources import stores
 from haulmark.sources.stores import FolderStore, Stored, between, retried
 
 MILLION = 1_000_000
@@ -140,6 +142,66 @@ def test_folder_store_lists_in_key_order(spark, tmp_path):
     assert [s.key for s in store.page("dir/", "dir/sub", 2)] == sorted(k for k in keys if k.startswith("dir/") and k > "dir/sub")[:2]
 
 
+def pages_of(store, limit, prefix=""):
+    found, after = [], ""
+    while page := store.page(prefix, after, limit):
+        found += [s.key for s in page]
+        after = found[-1]
+    return found
+
+
+def test_pages_do_not_each_read_their_directory(tmp_path, monkeypatch):
+    store = FolderStore(f"{tmp_path}/objects")
+    for i in range(600):
+        store.put(f"flat/k{i:03d}", [b"x"], {})
+    monkeypatch.setattr(stores, "_SETTLED_S", 0.0)
+    read, scan = [], os.scandir
+    monkeypatch.setattr(stores.os, "scandir", lambda path: read.append(path) or scan(path))
+    assert pages_of(store, 20) == [f"flat/k{i:03d}" for i in range(600)]
+    assert len(read) <= 2
+    # What changes is seen by the next page.
+    store.put("flat/k0005", [b"x"], {})
+    os.unlink(f"{tmp_path}/objects/flat/k001")
+    assert [s.key for s in store.page("flat/", "flat/k000", 2)] == ["flat/k0005", "flat/k002"]
+
+
+@pytest.mark.parametrize("kept", [10, 1 << 20])
+def test_remembered_names_give_the_same_pages(tmp_path, monkeypatch, kept):
+    store = FolderStore(f"{tmp_path}/objects")
+    for key in (k for k in ODD if not k.endswith("/")):
+        store.put(key, [b"x"], {})
+    os.makedirs(f"{tmp_path}/objects/dir/void")
+    asked = [(p, a, n) for p in ("", "dir", "dir/", "dir/s", "dir/sub/", "x") for a in ("", *ODD, "dir/sub/\U0010ffff") for n in (1, 3, 50)]
+    fresh = [store.page(*a) for a in asked]
+    monkeypatch.setattr(stores, "_SETTLED_S", 0.0)
+    monkeypatch.setattr(stores, "NAMES_KEPT", kept)
+    assert [store.page(*a) for a in asked] == fresh
+
+
+def test_refused_objects_wait_together(monkeypatch):
+    waits, calls = [], []
+    monkeypatch.setattr(objects.time, "sleep", waits.append)
+
+    def refused(i):
+        calls.append(i)
+        raise objects._Refused("NO_CHECKSUM", f"{i}")
+
+    def second_time(i):
+        calls.append(i)
+        if calls.count(i) == 1:
+            raise OSError("busy")
+        return i, "md5"
+
+    def missing(i):
+        raise FileNotFoundError(i)
+
+    kinds = [refused, second_time, missing, lambda i: (i, "md5")]
+    found = objects._tried([lambda i=i: kinds[i % 4](i) for i in range(400)], 3)
+    assert waits == [0.05, 0.1]
+    assert found[:4] == [("NO_CHECKSUM", 3, None, None, "0"), (None, 2, 1, "md5", None), ("OPEN_FAILED", 1, None, None, "2"), (None, 1, 3, "md5", None)]
+    assert calls.count(0) == 3 and calls.count(1) == 2 and len(found) == 400
+
+
 def test_source_lists_only_the_subtree(spark, tmp_path):
     register_keys(spark, "numbered_keys", Numbered(200_000, str(tmp_path)))
 
