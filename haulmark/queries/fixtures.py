@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +16,8 @@ from haulmark.session import new_folder
 from haulmark.sources import filesystem as fs
 
 SRC_ROOT, DST_ROOT = "hdfs://nn:8020/backup", "s3n://bucket/backup"
+#: Files whose contents a task of a tree unpacks at a time.
+_UNPACKED = 100
 EPOCH_BOUND = "2024-01-15-12-00-00-000"
 EPOCH_BOUND_MS = 1705320000000
 
@@ -165,10 +167,16 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"SELECT {_RESULT} FROM {{orders}}", orders=table(spark, sf_dir, "orders"))
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows of a batch, unpacked few at a time: contents stay packed until they are written."""
+    for start in range(0, batch.num_rows, _UNPACKED):
+        yield from zip(*(column.to_pylist() for column in batch.slice(start, _UNPACKED).columns))
+
+
 def _tree_writer(root: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch["entry_name"], batch["c"]):
+            for name, content in _rows(batch):
                 path = f"{root}/{name}"
                 if name.endswith("/"):
                     fs.make_dir(path)
@@ -176,7 +184,7 @@ def _tree_writer(root: str):
                 fs.make_dir(path.rpartition("/")[0])
                 with fs.writing(path) as out:
                     out.write(content.encode())
-            yield batch[["entry_name"]]
+            yield batch.select(["entry_name"])
 
     return run
 
@@ -188,7 +196,7 @@ def fresh_tree(spark: SparkSession, label: str, content: DataFrame) -> str:
     """Write ``entry_name, c`` as real files (names ending in ``/``: directories) into a folder of their own."""
     root = new_folder(spark, f"tree-{label}")
     tasks = spark.sparkContext.defaultParallelism
-    content.select("entry_name", "c").repartition(tasks, "entry_name").mapInPandas(
+    content.select("entry_name", "c").repartition(tasks, "entry_name").mapInArrow(
         _tree_writer(root), "entry_name string"
     ).write.format("noop").mode("overwrite").save()
     return root
