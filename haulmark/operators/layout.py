@@ -18,6 +18,9 @@ DIR_WEIGHT = 1000
 BYTES_PER_TASK = 256 * 1024 * 1024
 TASKS_PER_NODE = 20
 
+#: Files one task should copy: many small ones take their time by number, not by bytes.
+FILES_PER_TASK = 4_000
+
 #: An item above one such part of a group's share of the weight is placed by itself.
 _PIECES = 20
 
@@ -153,10 +156,16 @@ def split_plan(rows: DataFrame, num_splits: int, order_col: str, rows_per_bin: i
 
 
 def task_count(pairs: DataFrame, nodes: int, bytes_per_task: int = BYTES_PER_TASK,
-               per_node: int = TASKS_PER_NODE) -> DataFrame:
-    """One row: bytes in all and the number of tasks worth starting, at most ``per_node`` for each of ``nodes``."""
+               per_node: int = TASKS_PER_NODE, files_per_task: int | None = None) -> DataFrame:
+    """One row: bytes in all and the number of tasks worth starting, at most ``per_node`` for each of ``nodes``.
+
+    With ``files_per_task`` the number of pairs asks for tasks as well, and the larger number counts.
+    """
     total = F.coalesce(F.sum("file_size"), F.lit(0)).cast("bigint")
-    return pairs.agg(total.alias("total_bytes")).withColumn(
+    wanted = F.floor(F.col("total_bytes") / bytes_per_task)
+    if files_per_task is not None:
+        wanted = F.greatest(wanted, F.ceil(F.col("pairs") / files_per_task))
+    return pairs.agg(total.alias("total_bytes"), F.count("*").alias("pairs")).withColumn(
         "tasks",
-        F.greatest(F.lit(1), F.least(F.floor(F.col("total_bytes") / bytes_per_task), F.lit(nodes * per_node))).cast("bigint"),
-    )
+        F.greatest(F.lit(1), F.least(wanted, F.lit(nodes * per_node))).cast("bigint"),
+    ).drop("pairs")

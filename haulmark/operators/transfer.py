@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from haulmark import schemas
 from haulmark.operators.digest import INTERIM_CHUNK_BYTES, TRIES, range_coverage, range_plan
+from haulmark.operators.layout import FILES_PER_TASK
 from haulmark.session import pin
 from haulmark.sources import filesystem as fs
 from haulmark.sources.logs import failures, is_done
@@ -31,7 +32,8 @@ class CopyConf:
     verify_checksum: bool = True
     #: Keep a copy whose source no longer has the planned size (a log that is still written).
     allow_size_change: bool = False
-    #: Copies in flight per task, to hide the latency of a store.
+    #: Copies in flight per task, to hide the latency of a store.  Small files that go from disk to disk are copied one
+    #: after the other: there is nothing to wait for, and threads only get in each other's way.
     threads: int = 4
     tries: int = TRIES
     #: Files of at least this size are copied in parallel ranges; None: never.
@@ -40,7 +42,7 @@ class CopyConf:
     #: Read a file that was copied in ranges once more, in one task, for the digest of the whole.  Without it ``src_md5``
     #: is null for such files, each range being checked by itself, and no task reads more than a range.
     whole_md5: bool = True
-    #: Number of tasks; None: one per work group, or four per core without groups.
+    #: Number of tasks; None: one per work group or, if that has many files, several; four per core without groups.
     tasks: int | None = None
 
 
@@ -192,11 +194,19 @@ def _interim(dest: str, part_no: int) -> str:
     return f"{dest}._parts.multipart-down-{part_no:04d}"
 
 
+def _waits(row) -> bool:
+    """Whether copying it takes time in which another copy could go on."""
+    remote = any(isinstance(path, str) and fs.local_path(path) is None for path in (row.src_file, row.dest_file))
+    return remote or (not pd.isna(row.file_size) and row.file_size > fs.BLOCK)
+
+
 def _copier(conf: CopyConf):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(conf.threads) as pool:
             for batch in batches:
-                rows = list(pool.map(lambda row: _copy_row(row, conf), batch.itertuples(index=False)))
+                pairs = list(batch.itertuples(index=False))
+                begun = [pool.submit(_copy_row, row, conf) if _waits(row) else None for row in pairs]
+                rows = [_copy_row(row, conf) if job is None else job.result() for row, job in zip(pairs, begun)]
                 yield pd.DataFrame(rows, columns=_RESULT)
 
     return run
@@ -271,7 +281,8 @@ def _fetch_ranges(large: DataFrame, conf: CopyConf, tasks: int) -> DataFrame:
 def copy_files(plan: DataFrame, conf: CopyConf | None = None) -> DataFrame:
     """Run a plan of pairs now and return one RESULT row per pair.
 
-    ``plan`` is PAIR, optionally with ``group_id`` (a group is one task), ``action`` (from ``copy_action``),
+    ``plan`` is PAIR, optionally with ``group_id`` (a group is one task, or several if ``conf.tasks`` does not say how many
+    there are and the largest has more than ``FILES_PER_TASK`` files), ``action`` (from ``copy_action``),
     ``expected_md5`` and ``may_grow`` (the source may be a log that is still written).  Targets are written under a name of their own, checked, then moved into place, so a task that
     runs again does no harm.  The results are stored, so that looking at them does not copy again.
     """
@@ -298,8 +309,14 @@ def copy_files(plan: DataFrame, conf: CopyConf | None = None) -> DataFrame:
             small = rows.filter(~F.coalesce(is_large, F.lit(False)))
             rows = small.unionByName(_fetch_ranges(rows.filter(is_large), conf, tasks))
     if "group_id" in rows.columns:
-        groups = conf.tasks or (rows.agg(F.max("group_id")).first()[0] or 0) + 1
-        spread = rows.repartitionById(groups, "group_id").drop("group_id")
+        groups, task = conf.tasks, F.col("group_id")
+        if not groups:
+            last, files = rows.groupBy("group_id").count().agg(F.max("group_id"), F.max("count")).first()
+            groups, parts = (last or 0) + 1, max(1, -(-(files or 0) // FILES_PER_TASK))
+            if parts > 1:
+                task = (task * parts + F.pmod(F.xxhash64("src_file", "dest_file"), F.lit(parts))).cast("int")
+                groups *= parts
+        spread = rows.withColumn("group_id", task).repartitionById(groups, "group_id").drop("group_id")
     else:
         spread = rows.repartition(tasks, "src_file", "dest_file")
     return pin(spread.mapInPandas(_copier(conf), schemas.RESULT), "copied")

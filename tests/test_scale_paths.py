@@ -190,6 +190,13 @@ def test_task_count_follows_the_nodes(spark):
     assert [layout.task_count(pairs, n).first().tasks for n in (1, 50)] == [20, 1000]
 
 
+def test_task_count_follows_the_files(spark):
+    pairs = spark.range(95).selectExpr("1L AS file_size")
+    assert layout.task_count(pairs, 1).first().tasks == 1
+    assert [layout.task_count(pairs, n, files_per_task=f).first().tasks for n, f in ((1, 10), (1, 1), (5, 1))] == [10, 20, 95]
+    assert layout.task_count(pairs.limit(0), 1, files_per_task=10).first().tasks == 1
+
+
 def test_splits_are_contiguous_and_even(spark):
     rng = random.Random(8)
     sizes = [rng.randrange(1000) for _ in range(2000)] + [0, 0]

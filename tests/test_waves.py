@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import os
 import random
+import threading
+import tracemalloc
+from collections import namedtuple
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +18,7 @@ from haulmark.operators.listing import make_pairs
 from haulmark.operators.transfer import CopyConf, copy_files
 from haulmark.plans import Journal, copy_in_waves, waves
 from haulmark.plans.sync import SyncPlan, run_sync
-from haulmark.queries import QUERIES
+from haulmark.queries import QUERIES, fixtures
 from haulmark.sources import filesystem as fs
 from haulmark.sources.files import list_files
 from tests.conftest import SF
@@ -197,3 +202,45 @@ def test_nothing_is_deleted_after_failures(spark, tmp_path):
     assert run_sync(plan, str(target), 1, dry_run_deletes=False).deleted is None and (target / "old").exists()
     run_sync(plan, str(target), 1, dry_run_deletes=False, delete_after_failures=True)
     assert not (target / "old").exists()
+
+
+def test_a_wave_of_many_files_has_many_tasks(spark, pairs, tmp_path, monkeypatch):
+    asked, copy = [], waves.copy_files
+    monkeypatch.setattr(waves, "FILES_PER_TASK", 10, raising=False)
+    monkeypatch.setattr(waves, "copy_files", lambda plan, conf: asked.append(conf.tasks) or copy(plan, conf))
+    result = copy_in_waves(spark, f"{tmp_path}/journal", pairs)
+    assert asked == [5] and result.count() == len(FILES) + 1
+    assert harvest(tmp_path / "copy") == harvest(tmp_path / "tree")
+
+
+def test_a_large_group_is_several_tasks(spark, pairs, monkeypatch):
+    plan = pairs.withColumn("group_id", F.lit(2))
+    monkeypatch.setattr(transfer, "FILES_PER_TASK", 10, raising=False)
+    result = copy_files(plan)
+    assert result.filter("status IN ('COPIED', 'MKDIR')").count() == len(FILES) + 1
+    assert result.select(F.input_file_name().alias("f")).distinct().count() > 1
+    # A number of tasks that was asked for stays.
+    assert copy_files(plan, CopyConf(tasks=4)).select(F.input_file_name().alias("f")).distinct().count() == 1
+
+
+def test_small_local_files_need_no_threads(tmp_path, monkeypatch):
+    row = namedtuple("row", "src_file dest_file is_file file_size")
+    rows = [row("/a", "/b", True, 5), row("/a", "", True, 5), row("/a", "/b", True, 5 << 20), row("s3://x/a", "/b", True, 5),
+            row(None, "/b/", False, None), row("/a", "hdfs://x/b", True, 5)]
+    monkeypatch.setattr(transfer, "_copy_row", lambda r, conf: (r.src_file, r.dest_file, threading.current_thread().name, *range(6)))
+    [found] = transfer._copier(CopyConf())(iter([pd.DataFrame(rows)]))
+    here = threading.current_thread().name
+    assert [name == here for name in found["status"]] == [True, True, False, False, True, False]
+    assert found["dest_file"].tolist() == [r.dest_file for r in rows]
+
+
+def test_a_tree_is_written_few_contents_at_a_time(tmp_path):
+    names = [f"d/{i}" for i in range(3000)] + ["hollow/"]
+    batch = pa.RecordBatch.from_pydict({"entry_name": names, "c": ["x" * 10_000] * 3000 + [""]})
+    tracemalloc.start()
+    written = [name for out in fixtures._tree_writer(str(tmp_path))(iter([batch])) for name in out["entry_name"].to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert written == names and peak < 10_000_000
+    assert len(list((tmp_path / "d").iterdir())) == 3000 and (tmp_path / "hollow").is_dir()
+    assert (tmp_path / "d/2999").read_bytes() == b"x" * 10_000
