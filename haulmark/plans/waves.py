@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulmark import schemas
-from haulmark.operators.layout import assign_groups, task_count
+from haulmark.operators.layout import FILES_PER_TASK, assign_groups, task_count
 from haulmark.operators.ordered import running_sum
 from haulmark.operators.transfer import CopyConf, copy_files, unfinished
 from haulmark.plans.copying import routed
@@ -102,8 +102,8 @@ def copy_in_waves(spark: SparkSession, journal: str, pairs: DataFrame | None = N
 
     The first call routes and cuts the plan and stores it in the folder ``journal``; a later one, after the job was lost
     or stopped, goes on with the waves that have no commit row, and takes no notice of ``pairs``.  A wave that was
-    interrupted is copied again as a whole, to the same places.  Each wave has as many tasks as its bytes ask for, at
-    most as many as ``nodes`` can run.
+    interrupted is copied again as a whole, to the same places.  Each wave has as many tasks as its bytes or its
+    number of files ask for, at most as many as ``nodes`` can run.
 
     ``max_waves`` ends the call early, for instance with a maintenance window.  ``retry_failed`` adds one more wave for
     pairs that failed, once all others are done.
@@ -121,7 +121,7 @@ def copy_in_waves(spark: SparkSession, journal: str, pairs: DataFrame | None = N
             pending = record.pending()
     for wave in pending[:max_waves]:
         rows = record.plan().filter(F.col("wave") == wave).drop("wave")
-        tasks = task_count(rows, nodes).first()["tasks"]
+        tasks = task_count(rows, nodes, files_per_task=FILES_PER_TASK).first()["tasks"]
         result = copy_files(assign_groups(rows, tasks), replace(conf or CopyConf(), tasks=tasks))
         result.write.mode("overwrite").parquet(f"{record.path}/results/wave={wave}")
         record.commit(wave, result)
