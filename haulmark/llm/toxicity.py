@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -175,23 +176,27 @@ def fit_chain(df: DataFrame, labels: DataFrame, categories: Sequence[str] = ("qu
             yield {"id": part["id"], "found": [words.of(t) for t in part["text"].to_pylist()],
                    **{c: part[c] for c in categories}}
 
-    rows = map_arrow(texts, present, "id bigint, found array<bigint>, " + ", ".join(f"{c} int" for c in categories)).collect()
-    rows.sort(key=lambda row: (row["id"], row["found"]))
-    return _fit_rows(rows, tuple(categories), names, own)
+    # Numbers in columns: as rows of lists the sample takes many times the memory, here and in the JVM.
+    rows = map_arrow(texts, present, "id bigint, found array<int>, " + ", ".join(f"{c} int" for c in categories)).toArrow()
+    return _fit_rows(rows.sort_by("id"), tuple(categories), names, own)
 
 
-def _fit_rows(rows: list, categories: tuple[str, ...], names: tuple[int, ...], own: list[np.ndarray]) -> ChainModel:
-    """Fit each category on its own features (``own``: which of ``names`` those are) and the earlier log-odds."""
+def _fit_rows(rows: pa.Table, categories: tuple[str, ...], names: tuple[int, ...], own: list[np.ndarray]) -> ChainModel:
+    """Fit each category on its own features (``own``: which of ``names`` those are) and the earlier log-odds.
+
+    ``rows``: one per document, with the features found in it.
+    """
     count, width = len(rows), max(1, len(names))
-    fold = np.array([xxhash.xxh3_64_intdigest(str(row["id"]).encode()) % FOLDS for row in rows])
-    every_row = np.repeat(np.arange(count), [len(row["found"]) for row in rows])
-    every_column = np.array([f for row in rows for f in row["found"]], np.int64)
+    fold = np.array([xxhash.xxh3_64_intdigest(str(i).encode()) % FOLDS for i in rows["id"].to_pylist()])
+    found = rows["found"].combine_chunks()
+    every_row = np.repeat(np.arange(count, dtype=np.int32), pc.list_value_length(found).to_numpy(zero_copy_only=False))
+    every_column = found.flatten().to_numpy(zero_copy_only=False)
     unseen = np.zeros((count, 0))
     weights, earlier, biases, threshold = [], [], [], 1.0
     for c, allowed in zip(categories, own):
         picked = allowed[every_column] if len(every_column) else np.zeros(0, bool)
         at, columns = every_row[picked], every_column[picked]
-        target = np.array([row[c] for row in rows], float)
+        target = rows[c].to_numpy().astype(float)
         odds = np.zeros(count)
         for out in range(FOLDS):
             inside = fold != out

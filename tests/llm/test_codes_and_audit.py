@@ -11,6 +11,7 @@ from itertools import permutations
 from math import floor, isfinite
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -305,6 +306,21 @@ def test_label_limit_holds_for_repeated_documents(spark, monkeypatch):
     assert seen == [50]
 
 
+def test_fit_takes_columns_of_numbers(spark, monkeypatch):
+    seen = []
+    fit = toxicity._fit_rows
+    monkeypatch.setattr(toxicity, "_fit_rows", lambda rows, *rest: seen.append(rows) or fit(rows, *rest))
+    rows = labelled_rows(60)
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(60, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1 - t, t) for i, _, t in rows] + [(60, 0, 0)], "doc_id bigint, quality int, toxic int")
+    model = toxicity.fit_chain(docs, labels)
+    # Not as many objects as there are features in the sample.
+    assert isinstance(seen[0], pa.Table) and seen[0]["id"].to_pylist() == list(range(61))
+    assert seen[0]["found"].to_pylist()[60] == [] and seen[0]["found"].type.value_type == pa.int32()
+    rejected = toxicity.score(docs, model).filter("rejected and id < 60").select("id").collect()
+    assert sorted(r.id for r in rejected) == [i for i, _, t in rows if t]
+
+
 def test_labels_of_other_documents_do_not_count(spark):
     rows = labelled_rows(90)
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
