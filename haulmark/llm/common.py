@@ -56,8 +56,13 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", size: int = 1_000_000) -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch, each of about ``size`` bytes of ``column`` or one row: what is unpacked at a time."""
-    lengths = pc.fill_null(pc.binary_length(batch[column].cast(pa.binary())), 0).to_numpy(zero_copy_only=False)
+    """Consecutive parts of a batch, each of about ``size`` bytes of ``column`` or one row: what is unpacked at a time.
+
+    Of a column of arrays, ``size`` elements.
+    """
+    values = batch[column]
+    lengths = pc.list_value_length(values) if pa.types.is_nested(values.type) else pc.binary_length(values.cast(pa.binary()))
+    lengths = pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(lengths) // size
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for start, stop in zip(cuts, cuts[1:]):
@@ -75,6 +80,8 @@ def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
         for columns in function(batches):
             arrays = [pa.array(columns[f.name], type=f.type, from_pandas=False) for f in arrow]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        # Spark keeps the worker for a while: what it freed goes back to the machine.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, struct)
 

@@ -9,6 +9,7 @@ path is a parameter; the file must lie at that path on every executor.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,14 +25,46 @@ SPACE = "▁"
 #: Words in a worker's table after which it starts anew, so that its memory is bounded.
 WORDS_KEPT = 100_000
 _NONE = np.iinfo(np.int32).max
+#: Ids decoded at a time.
+_DECODED_AT_ONCE = 250_000
 
 
-class BpeModel:
-    """Tables of one model: pieces, merge ranks and the bytes each id stands for."""
+class Pieces:
+    """The bytes that each id of one model stands for: all that decoding needs."""
 
     def __init__(self, path: str):
-        library = sentencepiece.SentencePieceProcessor(model_file=path)
+        self._read(sentencepiece.SentencePieceProcessor(model_file=path))
+
+    def _read(self, library: sentencepiece.SentencePieceProcessor) -> None:
         self.size = size = len(library)
+        pieces = [library.id_to_piece(i) for i in range(size)]
+        self.byte_ids = [library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        byte_of = {self.byte_ids[b]: bytes([b]) for b in range(256)}
+        self.plain = [
+            b"" if library.is_control(i) else " ⁇ ".encode() if library.is_unknown(i)
+            else byte_of.get(i) or pieces[i].replace(SPACE, " ").encode() for i in range(size)
+        ]
+        self.starts_with_space = np.array([p.startswith(SPACE) for p in pieces])
+        self.control = np.array([library.is_control(i) for i in range(size)])
+
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of ids: control ids vanish, an unknown id becomes its sign, broken UTF-8 one sign per byte."""
+        data = b"".join(map(self.plain.__getitem__, ids.tolist()))
+        visible = np.flatnonzero(~self.control[ids])
+        if len(visible) and self.starts_with_space[ids[visible[0]]]:
+            data = data[1:]
+        try:
+            return data.decode("utf-8")
+        except UnicodeDecodeError:
+            return re.sub("[\udc80-\udcff]", "�", data.decode("utf-8", "surrogateescape"))
+
+
+class BpeModel(Pieces):
+    """Tables of one model: pieces, merge ranks and the bytes each id stands for."""
+
+    def _read(self, library: sentencepiece.SentencePieceProcessor) -> None:
+        super()._read(library)
+        size = self.size
         if size > 46_340:
             raise ValueError("pairs of ids must fit 31 bits")
         self.bos, self.eos = library.bos_id(), library.eos_id()
@@ -43,21 +76,22 @@ class BpeModel:
         for piece, i in self.ids.items():
             if len(piece) == 1:
                 self.char_id[ord(piece)] = i
-        self.byte_ids = [library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         scores = np.array([library.get_score(i) for i in range(size)])
         values, ranks, counts = np.unique(-scores[normal], return_inverse=True, return_counts=True)
         self.rank = np.full(size + 1, _NONE, np.int32)
         self.rank[normal] = ranks
         # Ranks that several pieces share: there one merge at a time decides what can be merged next.
         self.shared = np.append(counts > 1, False)
-        pairs = {}
+        # Plain numbers: a dict of them takes many times the memory, in every worker at once.
+        keys, wholes = array("i"), array("i")
         for piece, whole in self.ids.items():
             for i in range(1, len(piece)):
                 left, right = self.ids.get(piece[:i]), self.ids.get(piece[i:])
                 if left is not None and right is not None:
-                    pairs[left * size + right] = whole
-        self.pair_keys = np.array(sorted(pairs), np.int32)
-        self.pair_whole = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int32)
+                    keys.append(left * size + right)
+                    wholes.append(whole)
+        order = np.argsort(np.array(keys, np.int32))
+        self.pair_keys, self.pair_whole = np.array(keys, np.int32)[order], np.array(wholes, np.int32)[order]
         # Characters that occur in no longer piece stand alone, and no piece goes on from another character to a space.
         joined = {c for piece in self.ids if len(piece) > 1 for c in piece}
         if any(SPACE in piece.lstrip(SPACE) for piece in self.ids):
@@ -65,13 +99,6 @@ class BpeModel:
         alone = "".join(re.escape(c) for c in "\n\t\r" if c not in joined)
         self.word = re.compile(rf"[{alone}]|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" if alone else rf"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.known: dict[str, bytes] = {}
-        self.byte_of = {self.byte_ids[b]: bytes([b]) for b in range(256)}
-        self.plain = [
-            b"" if library.is_control(i) else " ⁇ ".encode() if library.is_unknown(i)
-            else self.byte_of.get(i) or pieces[i].replace(SPACE, " ").encode() for i in range(size)
-        ]
-        self.starts_with_space = np.array([p.startswith(SPACE) for p in pieces])
-        self.control = np.array([library.is_control(i) for i in range(size)])
 
     def _pairs(self, symbols: np.ndarray, word: np.ndarray, at: np.ndarray) -> np.ndarray:
         """What the symbols at these places make together with the one after them, ``size`` if nothing."""
@@ -157,17 +184,6 @@ class BpeModel:
         get = self.known.__getitem__
         return [b"".join([begin, *map(get, words), end]) for words in split]
 
-    def decode(self, ids: np.ndarray) -> str:
-        """The text of ids: control ids vanish, an unknown id becomes its sign, broken UTF-8 one sign per byte."""
-        data = b"".join(map(self.plain.__getitem__, ids.tolist()))
-        visible = np.flatnonzero(~self.control[ids])
-        if len(visible) and self.starts_with_space[ids[visible[0]]]:
-            data = data[1:]
-        try:
-            return data.decode("utf-8")
-        except UnicodeDecodeError:
-            return re.sub("[\udc80-\udcff]", "�", data.decode("utf-8", "surrogateescape"))
-
 
 @lru_cache(maxsize=2)
 def load(path: str) -> BpeModel:
@@ -175,6 +191,12 @@ def load(path: str) -> BpeModel:
     return BpeModel(path)
 
 
+@lru_cache(maxsize=2)
+def load_pieces(path: str) -> Pieces:
+    """What decoding needs of a model, without the tables for encoding; one per worker process."""
+    return Pieces(path)
+
+
 def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id`` and ``ids array<int>`` of every row's whole text, begin and end ids included.
 
@@ -193,11 +215,18 @@ def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "t
     return map_arrow(id_and_text(df, id_col, text_col), run, "id bigint, ids array<int>")
 
 
+def _texts(model: str):
+    """Texts of an Arrow batch of ids, a slice at a time: as Python strings a batch takes several times its memory."""
+    def run(ids: pa.Array) -> pa.Array:
+        pieces, texts = load_pieces(model), [pa.array([], pa.string())]
+        for part in slices(pa.RecordBatch.from_arrays([ids], ["ids"]), "ids", size=_DECODED_AT_ONCE):
+            rows = (np.asarray(row.values if row.is_valid else [], np.int64) for row in part["ids"])
+            texts.append(pa.array([pieces.decode(row) for row in rows], pa.string()))
+        return pa.concat_arrays(texts)
+
+    return run
+
+
 def decode(df: DataFrame, model: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``df`` with the text of its ids in ``text_col``; null or no ids give an empty text."""
-    @F.pandas_udf("string")
-    def text(ids):
-        bpe = load(model)
-        return ids.map(lambda row: bpe.decode(np.asarray(row if row is not None else [], np.int64)))
-
-    return df.withColumn(text_col, text(F.col(ids_col)))
+    return df.withColumn(text_col, F.arrow_udf(_texts(model), "string")(F.col(ids_col)))

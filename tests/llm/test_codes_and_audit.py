@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import permutations
@@ -18,8 +19,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from haulmark.llm import filter_audit, html_text, line_dedup, text_tries, token_files, toxicity, vector_codes
-from haulmark.llm.queries import QUERIES, byte_model
+from haulmark.llm import (
+    filter_audit, html_text, line_dedup, sentencepiece_bpe, text_tries, token_files, toxicity, vector_codes,
+)
+from haulmark.llm.queries import QUERIES, byte_model, piece_model
+from haulmark.session import BATCH_BYTES, BATCH_CONF, pin
 from tests.conftest import SF
 from tests.llm.test_operators import frame, words
 
@@ -375,3 +379,59 @@ def test_columns_of_the_caller_stay(spark):
     pages = spark.createDataFrame([(1, "<p>some words of text here</p>", "mine")], "page_id bigint, html string, text string")
     found = html_text.extract_text(pages, _plain_weights()).collect()
     assert [tuple(r) for r in found] == [(1, "<p>some words of text here</p>", "mine", "some words of text here")]
+
+
+def traced_peak(call) -> int:
+    """Bytes of Python's and numpy's memory at the most during the call."""
+    tracemalloc.start()
+    try:
+        call()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_counting_features_needs_little_memory():
+    texts = [" ".join(words(1500, 9000 + i)) + f" {''.join(random.Random(i).choices('abcdefghij', k=9))}" for i in range(400)]
+    batch = pa.RecordBatch.from_pydict({
+        "text": texts + [None, ""], "quality": pa.array([i % 2 for i in range(402)], pa.int32()),
+        "toxic": pa.array([int(i % 3 == 0) for i in range(402)], pa.int32())})
+    parts = []
+    peak = traced_peak(lambda: parts.extend(toxicity._count_features(("quality", "toxic"))(iter([batch]))))
+    found, want = Counter(), Counter()
+    for part in parts:
+        for name, *numbers in zip(*(np.asarray(part[c]).tolist() for c in ("feature", "n", "quality", "toxic"))):
+            found.update({(name, i): n for i, n in enumerate(numbers)})
+    for i, text in enumerate(texts):
+        for name in toxicity._WordFeatures().of(text).tolist():
+            want.update({(name, 0): 1, (name, 1): i % 2, (name, 2): int(i % 3 == 0)})
+    assert +found == +want
+    assert peak < 2 * sum(map(len, texts))
+
+
+def test_a_decoding_batch_is_never_all_python_strings(spark):
+    row = list(range(1000, 2000))
+    ids = pa.array([row, None, [], *[row] * 3000], pa.list_(pa.int32()))
+    decoded = sentencepiece_bpe._texts(piece_model())
+    texts = decoded(ids)
+    want = sentencepiece_bpe.load(piece_model()).decode(np.array(row, np.int64))
+    assert texts.to_pylist() == [want, "", "", *[want] * 3000]
+    assert not hasattr(sentencepiece_bpe.load_pieces(piece_model()), "pair_keys")
+    assert traced_peak(lambda: decoded(ids)) < texts.nbytes / 2
+
+
+def test_stored_tables_are_made_from_small_batches(spark):
+    def largest(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"size": [batch.nbytes]})
+
+    texts = spark.range(0, 9000, 1, 1).select(F.expr("repeat('x', 3000)").alias("text"))
+    stored = pin(texts.mapInArrow(largest, "size bigint"), "sizes")
+    assert stored.agg(F.max("size")).first()[0] <= 2 * BATCH_BYTES
+    assert spark.conf.get(BATCH_CONF, None) is None
+    spark.conf.set(BATCH_CONF, "9000000")
+    try:
+        assert BATCH_BYTES < pin(texts.mapInArrow(largest, "size bigint"), "sizes").agg(F.max("size")).first()[0] < 18_000_000
+        assert spark.conf.get(BATCH_CONF) == "9000000"
+    finally:
+        spark.conf.unset(BATCH_CONF)
