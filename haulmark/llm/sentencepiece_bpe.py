@@ -25,7 +25,8 @@ SPACE = "▁"
 #: Words in a worker's table after which it starts anew, so that its memory is bounded.
 WORDS_KEPT = 100_000
 _NONE = np.iinfo(np.int32).max
-#: Ids decoded at a time.
+#: Bytes of text encoded and ids decoded at a time.
+_ENCODED_AT_ONCE = 250_000
 _DECODED_AT_ONCE = 250_000
 
 
@@ -205,12 +206,11 @@ def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "t
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         bpe = load(model)
-        for batch in batches:
-            for part in slices(batch):
-                packed = bpe.encode([t or "" for t in part["text"].to_pylist()])
-                offsets = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
-                values = np.frombuffer(b"".join(packed), "<i4")
-                yield {"id": part["id"], "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))}
+        for part in (part for batch in batches for part in slices(batch, size=_ENCODED_AT_ONCE)):
+            packed = bpe.encode([t or "" for t in part["text"].to_pylist()])
+            offsets = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
+            values = np.frombuffer(b"".join(packed), "<i4")
+            yield {"id": part["id"], "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))}
 
     return map_arrow(id_and_text(df, id_col, text_col), run, "id bigint, ids array<int>")
 

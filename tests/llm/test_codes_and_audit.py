@@ -19,6 +19,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from haulmark.llm import (
     filter_audit, html_text, line_dedup, sentencepiece_bpe, text_tries, token_files, toxicity, vector_codes,
 )
@@ -435,3 +436,37 @@ def test_stored_tables_are_made_from_small_batches(spark):
         assert spark.conf.get(BATCH_CONF) == "9000000"
     finally:
         spark.conf.unset(BATCH_CONF)
+
+
+def test_functions_of_columns_get_small_batches_in_stored_tables(spark):
+    @F.arrow_udf("bigint")
+    def size(texts: pa.Array) -> pa.Array:
+        return pa.array([texts.nbytes] * len(texts), pa.int64())
+
+    texts = spark.range(0, 9000, 1, 1).select(F.expr("repeat('x', 3000)").alias("text"))
+    assert pin(texts.select(size("text").alias("size")), "sizes").agg(F.max("size")).first()[0] <= 2 * BATCH_BYTES
+
+
+@pytest.mark.parametrize("stage", ["toxicity", "sentencepiece"])
+def test_whoever_writes_a_stage_gives_python_no_large_batches(spark, tmp_path, stage):
+    rows = [(i, f"text {i} of {'foul' if i % 4 == 0 else 'kind'} words", "en", "web", 9) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars int")
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(80)], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    result = dict(corpus_pipeline.STAGES)[stage](spark, docs, str(tmp_path))
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" in plan and "Arrow" not in plan and "Python" not in plan
+    assert sorted(r.doc_id for r in result.collect()) == [i for i in range(80) if i % 4 or stage == "sentencepiece"]
+
+
+def test_encoding_unpacks_little_at_a_time(spark, monkeypatch):
+    texts = [" ".join(words(500, 7000 + i)) for i in range(300)]
+    library = sentencepiece_bpe.load(piece_model())
+    sizes, encode = [], library.encode
+    monkeypatch.setattr(library, "encode", lambda part: sizes.append(sum(map(len, part))) or encode(part))
+    monkeypatch.setattr(sentencepiece_bpe, "map_arrow", lambda df, run, schema: run)
+    run = sentencepiece_bpe.encode(spark.createDataFrame([], "doc_id bigint, text string"), piece_model())
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(302), pa.int64()), "text": [*texts, None, ""]})
+    found = [ids for part in run(iter([batch])) for ids in part["ids"].to_pylist()]
+    assert found == [np.frombuffer(ids, "<u4").tolist() for ids in encode([*texts, "", ""])]
+    assert max(sizes) < 300_000 and sum(sizes) == sum(map(len, texts)) > 600_000
