@@ -14,6 +14,7 @@ from haulmark.operators.sync import (
     attr_drift, budget_admit, copy_action, duplicate_dests, extraneous, select_updates,
 )
 from haulmark.operators.transfer import CopyConf, copy_files, delete_files
+from haulmark.session import pin
 from haulmark.sources.files import list_files
 from haulmark.sources.logs import failures
 
@@ -85,11 +86,14 @@ def plan_sync(src: DataFrame, dst: DataFrame, dest_root: str, overwrite: bool =
 
 def run_sync(plan: SyncPlan, dest_root: str, groups: int = 200, conf: CopyConf | None = None,
              dry_run_deletes: bool = True, delete_after_failures: bool = False) -> SyncResult:
-    """Carry a plan out: copy ``todo``, balanced over ``groups`` tasks, then delete.
+    """Carry a plan out: copy ``todo``, balanced over ``groups`` work groups, then delete.
 
+    Groups are balanced by bytes, and one of small files has far more of them than the others; it is several tasks, as of
+    ``copy_files``.  What to do and the groups are stored, because both are read several times.
     If a pair failed nothing is deleted (``deleted`` is None), unless ``delete_after_failures``.  Files go first, each a row of some task; what is left of the topmost directories is then empty and goes with them.
     """
-    copied = copy_files(assign_groups(plan.todo, groups), replace(conf or CopyConf(), tasks=groups))
+    grouped = pin(assign_groups(pin(plan.todo, "todo"), groups), "groups")
+    copied = copy_files(grouped, replace(conf or CopyConf(), tasks=None))
     if plan.delete is None or not (delete_after_failures or failures(copied).isEmpty()):
         return SyncResult(copied, None)
     path = F.concat(F.lit(dest_root.rstrip("/") + "/"), "entry_name").alias("path")

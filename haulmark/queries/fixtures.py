@@ -175,13 +175,17 @@ def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
 
 def _tree_writer(root: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parents = set()
         for batch in batches:
             for name, content in _rows(batch):
                 path = f"{root}/{name}"
                 if name.endswith("/"):
                     fs.make_dir(path)
                     continue
-                fs.make_dir(path.rpartition("/")[0])
+                parent = path.rpartition("/")[0]
+                if parent not in parents:
+                    fs.make_dir(parent)
+                    parents.add(parent)
                 with fs.writing(path) as out:
                     out.write(content.encode())
             yield batch.select(["entry_name"])

@@ -7,13 +7,19 @@ import os
 import pwd
 import shutil
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import lru_cache
-from stat import S_IMODE, S_ISLNK
+from stat import S_IMODE, S_ISDIR, S_ISLNK
+from threading import BoundedSemaphore
 from typing import BinaryIO, NamedTuple
 
 BLOCK = 1024 * 1024
 
+#: Replaced files of a process that wait to be freed, at most, and the threads that free them.
+_MOST_HELD = 64
+_FREEING_THREADS = 4
+
 
 class Child(NamedTuple):
     name: str
@@ -110,10 +116,15 @@ def stat(path: str) -> tuple[bool, bool, int]:
     """``(exists, is_file, size)``."""
     local = local_path(path)
     if local is not None:
-        if not os.path.lexists(local):
+        try:
+            found = os.lstat(local)
+        except (OSError, ValueError):
             return False, False, 0
-        is_file = not os.path.isdir(local)
-        return True, is_file, os.path.getsize(local) if is_file else 0
+        if S_ISLNK(found.st_mode):
+            is_file = not os.path.isdir(local)
+            return True, is_file, os.path.getsize(local) if is_file else 0
+        is_file = not S_ISDIR(found.st_mode)
+        return True, is_file, found.st_size if is_file else 0
     from pyarrow import fs
 
     store, inner = _remote(path)
@@ -123,10 +134,11 @@ def stat(path: str) -> tuple[bool, bool, int]:
 
 @contextmanager
 def reading(path: str) -> Iterator[BinaryIO]:
-    """Open for reading; the object has ``read(n)`` and ``seek(n)``."""
+    """Open for reading; the object has ``read(n)``, which may give less before the end, and ``seek(n)``."""
     local = local_path(path)
     if local is not None:
-        with open(local, "rb") as stream:
+        # Read in blocks anyway: a buffer would be made for every small file, and be of no use to a large one.
+        with open(local, "rb", buffering=0) as stream:
             yield stream
         return
     store, inner = _remote(path)
@@ -170,17 +182,71 @@ def make_dir(path: str) -> None:
     """Create a directory and its parents."""
     local = local_path(path)
     if local is not None:
-        os.makedirs(local, exist_ok=True)
+        if not os.path.isdir(local):
+            os.makedirs(local, exist_ok=True)
         return
     store, inner = _remote(path)
     store.create_dir(inner, recursive=True)
 
 
+class _Replaced:
+    """Replaced files that are kept until they are freed in the background.  Sent with a task's code it starts anew."""
+
+    def __init__(self) -> None:
+        self._pool: ThreadPoolExecutor | None = None
+        self._room = BoundedSemaphore(_MOST_HELD)
+        self._on_disk: dict[str, bool] = {}
+
+    def __reduce__(self) -> tuple:
+        return _Replaced, ()
+
+    def hold(self, local: str) -> int | None:
+        """A handle that keeps what is there; None if there is nothing or it is on no disk of this machine.
+
+        Shares from elsewhere, which have no device, move open files aside first: they would not be replaced in one step.
+        """
+        directory = os.path.dirname(local)
+        try:
+            if directory not in self._on_disk:
+                self._on_disk[directory] = hasattr(os, "O_PATH") and os.major(os.stat(directory or ".").st_dev) != 0
+            return os.open(local, os.O_PATH | os.O_NOFOLLOW) if self._on_disk[directory] else None
+        except (OSError, ValueError):
+            return None
+
+    def free(self, handle: int) -> None:
+        """Close the handle in the background, or at once if many wait already."""
+        if not self._room.acquire(blocking=False):
+            os.close(handle)
+            return
+        if self._pool is None:
+            self._pool = ThreadPoolExecutor(_FREEING_THREADS)
+        self._pool.submit(self._close, handle)
+
+    def _close(self, handle: int) -> None:
+        try:
+            os.close(handle)
+        finally:
+            self._room.release()
+
+
+_replaced = _Replaced()
+
+
 def move(path: str, target: str) -> None:
-    """Put a finished file in its place, replacing what was there."""
+    """Put a finished file in its place, replacing what was there.
+
+    Blocks of a replaced file are freed with its last reference.  On a disk that is told of each that takes longer than the
+    copy of a small file, and it would be under the lock of the directory, one file after the other: so it is put off.
+    """
     local = local_path(path)
     if local is not None:
-        os.replace(local, local_path(target))
+        place = local_path(target)
+        handle = _replaced.hold(place)
+        try:
+            os.replace(local, place)
+        finally:
+            if handle is not None:
+                _replaced.free(handle)
         return
     store, inner = _remote(path)
     store.move(inner, _remote(target)[1])
