@@ -9,9 +9,10 @@ import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from math import gcd
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark import schemas
@@ -278,11 +279,34 @@ def _fetch_ranges(large: DataFrame, conf: CopyConf, tasks: int) -> DataFrame:
     return large.drop("parts").join(found, ["src_file", "dest_file"]).select(large.columns)
 
 
+def _task_of_group(rows: DataFrame) -> tuple[Column, int]:
+    """Number of each row's task, and how many there are: for a group one for every ``FILES_PER_TASK`` files.
+
+    Groups of equal weight are few large files, which wait for the disk, or very many small ones, which take the processor.
+    Tasks begin by number, so the numbers are dealt out such that those of one group do not all run at the same time.
+    """
+    group = F.coalesce("group_id", F.lit(0))
+    # One row per group.
+    counts = rows.groupBy(group.alias("group_id")).agg(F.count("*").alias("files")).collect()
+    if not counts:
+        return F.lit(0), 1
+    places, total = [], 0
+    for row in sorted(counts):
+        parts = -(-row.files // FILES_PER_TASK)
+        places.append(f"{row.group_id}, struct({total}L AS first, {parts}L AS parts)")
+        total += parts
+    # The task that begins as number k is k * step modulo the total; rows need the way back.
+    step = next(s for s in range(round(total * 0.618) or 1, 2 * total + 1) if gcd(s, total) == 1)
+    place = F.element_at(F.expr(f"map({', '.join(places)})"), group)
+    part = place["first"] + F.pmod(F.xxhash64("src_file", "dest_file"), place["parts"])
+    return F.pmod(part * pow(step, -1, total), F.lit(total)).cast("int"), total
+
+
 def copy_files(plan: DataFrame, conf: CopyConf | None = None) -> DataFrame:
     """Run a plan of pairs now and return one RESULT row per pair.
 
     ``plan`` is PAIR, optionally with ``group_id`` (a group is one task, or several if ``conf.tasks`` does not say how many
-    there are and the largest has more than ``FILES_PER_TASK`` files), ``action`` (from ``copy_action``),
+    there are and it has more than ``FILES_PER_TASK`` files), ``action`` (from ``copy_action``),
     ``expected_md5`` and ``may_grow`` (the source may be a log that is still written).  Targets are written under a name of their own, checked, then moved into place, so a task that
     runs again does no harm.  The results are stored, so that looking at them does not copy again.
     """
@@ -309,13 +333,7 @@ def copy_files(plan: DataFrame, conf: CopyConf | None = None) -> DataFrame:
             small = rows.filter(~F.coalesce(is_large, F.lit(False)))
             rows = small.unionByName(_fetch_ranges(rows.filter(is_large), conf, tasks))
     if "group_id" in rows.columns:
-        groups, task = conf.tasks, F.col("group_id")
-        if not groups:
-            last, files = rows.groupBy("group_id").count().agg(F.max("group_id"), F.max("count")).first()
-            groups, parts = (last or 0) + 1, max(1, -(-(files or 0) // FILES_PER_TASK))
-            if parts > 1:
-                task = (task * parts + F.pmod(F.xxhash64("src_file", "dest_file"), F.lit(parts))).cast("int")
-                groups *= parts
+        task, groups = (F.col("group_id"), conf.tasks) if conf.tasks else _task_of_group(rows)
         spread = rows.withColumn("group_id", task).repartitionById(groups, "group_id").drop("group_id")
     else:
         spread = rows.repartition(tasks, "src_file", "dest_file")
