@@ -11,6 +11,7 @@ from collections import namedtuple
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from haulmark.operators import transfer
@@ -244,3 +245,66 @@ def test_a_tree_is_written_few_contents_at_a_time(tmp_path):
     assert written == names and peak < 10_000_000
     assert len(list((tmp_path / "d").iterdir())) == 3000 and (tmp_path / "hollow").is_dir()
     assert (tmp_path / "d/2999").read_bytes() == b"x" * 10_000
+
+
+def test_sync_copies_a_large_group_by_several_tasks(spark, pairs, monkeypatch, tmp_path):
+    """However many groups are asked for: one of many small files is not the work of one task."""
+    monkeypatch.setattr(transfer, "FILES_PER_TASK", 10, raising=False)
+    plan = SyncPlan(pairs.withColumn("action", F.lit("COPY")), None, None)
+    copied = run_sync(plan, f"{tmp_path}/copy", groups=1).copied
+    assert copied.filter("status IN ('COPIED', 'MKDIR')").count() == len(FILES) + 1
+    assert copied.select(F.input_file_name().alias("f")).distinct().count() > 1
+    assert harvest(tmp_path / "copy") == harvest(tmp_path / "tree")
+
+
+def test_each_group_has_tasks_for_its_own_files(spark, monkeypatch):
+    monkeypatch.setattr(transfer, "FILES_PER_TASK", 10, raising=False)
+    rows = spark.range(0, 60).selectExpr("concat('/a/', id) AS src_file", "concat('/b/', id) AS dest_file",
+                                         "CASE WHEN id < 45 THEN 7 WHEN id < 55 THEN -1 END AS group_id")
+    task, total = transfer._task_of_group(rows)
+    numbered = rows.select("group_id", task.alias("task")).distinct().collect()
+    assert total == 5 + 1 + 1
+    of = {g: {r.task for r in numbered if r.group_id == g} for g in (7, -1, None)}
+    assert len(of[-1]) == len(of[None]) == 1 and 2 <= len(of[7]) <= 5
+    assert sum(map(len, of.values())) == len(set().union(*of.values())) and set().union(*of.values()) <= set(range(7))
+    empty, one = transfer._task_of_group(rows.limit(0))
+    assert one == 1 and rows.select(empty.alias("task")).distinct().collect() == [(0,)]
+
+
+def test_a_replaced_file_is_freed_after_its_place_is_taken(tmp_path, monkeypatch):
+    old, new = tmp_path / "old", tmp_path / "new"
+    kept = fs._Replaced()
+    kept._on_disk[str(tmp_path)] = True
+    monkeypatch.setattr(fs, "_replaced", kept)
+    seen, free = [], fs._Replaced.free
+    monkeypatch.setattr(fs._Replaced, "free", lambda self, handle: seen.append((old.read_bytes(), os.fstat(handle).st_nlink, handle)))
+    old.write_bytes(b"old")
+    new.write_bytes(b"new")
+    fs.move(str(new), str(old))
+    assert [row[:2] for row in seen] == [(b"new", 0)]
+    # In the background while there is room, here if there is none.
+    free(kept, seen[0][2])
+    kept._pool.shutdown()
+    with pytest.raises(OSError):
+        os.fstat(seen[0][2])
+    handles = [kept.hold(str(old)) for _ in range(3)]
+    kept._room = threading.BoundedSemaphore(1)
+    kept._room.acquire()
+    for handle in handles:
+        free(kept, handle)
+        with pytest.raises(OSError):
+            os.fstat(handle)
+    # Nothing to hold, or no disk of this machine.
+    assert kept.hold(str(new)) is None
+    kept._on_disk[str(tmp_path)] = False
+    assert kept.hold(str(old)) is None
+    # Code that was used here still travels.
+    assert cloudpickle.loads(cloudpickle.dumps(kept))._pool is None
+
+
+def test_a_tree_makes_a_directory_once(tmp_path, monkeypatch):
+    made, make = [], fs.make_dir
+    monkeypatch.setattr(fs, "make_dir", lambda path: made.append(path) or make(path))
+    batch = pa.RecordBatch.from_pydict({"entry_name": [f"d{i % 3}/{i}" for i in range(30)], "c": ["x"] * 30})
+    list(fixtures._tree_writer(str(tmp_path))(iter([batch, batch])))
+    assert made == [f"{tmp_path}/d{i}" for i in range(3)] and len(list(tmp_path.glob("*/*"))) == 30
